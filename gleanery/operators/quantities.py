@@ -102,10 +102,10 @@ def parse_size(text: str | None, bare: tuple[float, ...] = (1.0,)) -> list[float
 
 
 def _parse(texts: pd.Series, units: pd.Series) -> pd.Series:
-    codes, uniques = pd.factorize(texts.fillna("") + "\x00" + units.fillna(""))
+    codes, uniques = pd.factorize(texts.fillna("") + "\x1f" + units.fillna(""))
     parsed = []
     for key in uniques:
-        text, unit = key.rsplit("\x00", 1)
+        text, unit = key.rsplit("\x1f", 1)
         bare = (float(SOURCE_UNIT[unit]),) if unit in SOURCE_UNIT else tuple(float(v) for v in dict.fromkeys(SOURCE_UNIT.values())) if unit == "?" else (1.0,)
         parsed.append(parse_size(text, bare))
     return pd.Series([parsed[c] for c in codes])
