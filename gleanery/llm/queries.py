@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm.dedup import collapse
+from gleanery.llm.leak import leaked
 from gleanery.llm.repetition import SHARE, repetition
 from gleanery.session import table
 
@@ -34,6 +35,15 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_records, p10_found, p10_share)}
+def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaks with the number of words of the item in the passage."""
+    return leaked(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf_dir, "eval_items", "eval_id", "text"), "eval_id", "text")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_passages(spark, sf_dir).select("doc_id", "eval_id")
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_records, p8_found, p8_passages, p10_found, p10_share)}
 
 ORACLE_SQL: dict[str, str] = {}
