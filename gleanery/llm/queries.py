@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.llm.canon import map_values
 from gleanery.llm.dedup import collapse
 from gleanery.llm.leak import leaked
 from gleanery.llm.repetition import SHARE, repetition
@@ -35,6 +36,30 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
 
 
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("category", "genre", "quality", "language")
+    wide = table(spark, sf_dir, "meta", "meta_id", *fields)
+    return wide.select("meta_id", F.explode(F.array(*[F.struct(F.lit(f).alias("fld"), F.col(f).alias("value")) for f in fields])).alias("x")).select("meta_id", "x.*").where(F.col("value").isNotNull())
+
+
+def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms = table(spark, sf_dir, "canon_terms", "fld", "term_id", "name", "aliases")
+    return map_values(_typed(spark, sf_dir), "fld", "value", terms, "term_id", "name", "aliases")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "canon_terms", "fld", F.col("name").alias("value")).distinct()
+    wanted = _mapped(spark, sf_dir).where(F.col("term_id").isNotNull()).join(F.broadcast(names), ["fld", "value"], "left_anti")
+    return _typed(spark, sf_dir).join(wanted, ["fld", "value"]).select("meta_id", "fld", "term_id")
+
+
+def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that stand for no entry, with the number of rows that have them."""
+    lost = _mapped(spark, sf_dir).where(F.col("term_id").isNull()).select("fld", "value")
+    counts = _typed(spark, sf_dir).groupBy("fld", "value").agg(F.count("*").alias("n_rows"))
+    return counts.join(lost, ["fld", "value"])
+
+
 def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaks with the number of words of the item in the passage."""
     return leaked(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf_dir, "eval_items", "eval_id", "text"), "eval_id", "text")
@@ -44,6 +69,6 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_passages(spark, sf_dir).select("doc_id", "eval_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_records, p8_found, p8_passages, p10_found, p10_share)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_records, p4_found, p4_unmatched, p8_found, p8_passages, p10_found, p10_share)}
 
 ORACLE_SQL: dict[str, str] = {}
