@@ -7,11 +7,24 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.canon import map_values
 from gleanery.llm.dedup import collapse
+from gleanery.llm.encoding import garbled
 from gleanery.llm.leak import leaked
 from gleanery.llm.repetition import SHARE, repetition
 from gleanery.session import table
 
 
+def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Garbled pieces of names, paths and titles with the text that was meant."""
+    rows = table(spark, sf_dir, "torrents_item", F.lit("torrents_item").alias("tbl"), F.col("item_id").alias("row_id"), F.col("filename").alias("text"))
+    rows = rows.unionByName(table(spark, sf_dir, "torrent_info", F.lit("torrent_info").alias("tbl"), F.col("info_id").alias("row_id"), F.col("filepaths").alias("text")))
+    rows = rows.unionByName(table(spark, sf_dir, "meta", F.lit("meta").alias("tbl"), F.col("meta_id").alias("row_id"), F.col("title").alias("text")))
+    return garbled(rows, ["tbl", "row_id"], "text")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_pieces(spark, sf_dir).select("tbl", "row_id").distinct()
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "torrent", F.lit("torrent").alias("tbl"), F.col("row_id"), F.col("_id").alias("value"))
     rows = rows.unionByName(table(spark, sf_dir, "meta", F.lit("meta").alias("tbl"), F.col("meta_id").alias("row_id"), F.col("infohash").alias("value")))
@@ -69,6 +82,6 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_passages(spark, sf_dir).select("doc_id", "eval_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_records, p4_found, p4_unmatched, p8_found, p8_passages, p10_found, p10_share)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p3_records, p4_found, p4_unmatched, p8_found, p8_passages, p10_found, p10_share)}
 
 ORACLE_SQL: dict[str, str] = {}
