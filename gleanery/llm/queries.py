@@ -9,6 +9,7 @@ from gleanery.llm.canon import map_values
 from gleanery.llm.dedup import collapse
 from gleanery.llm.encoding import garbled
 from gleanery.llm.leak import leaked
+from gleanery.llm.markup import clean, unwrapped, wrappers
 from gleanery.llm.repetition import SHARE, repetition
 from gleanery.session import table
 
@@ -73,6 +74,31 @@ def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(lost, ["fld", "value"])
 
 
+def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meta = table(spark, sf_dir, "meta", "meta_id", "url", "description").where(F.col("description").isNotNull())
+    host = F.regexp_extract("url", r"^[a-z]+://(?:www\.)?([^/:?#]+)", 1)
+    rows = meta.select(F.lit("meta").alias("tbl"), F.col("meta_id").alias("row_id"), host.alias("host"), F.col("description").alias("text"))
+    info = table(spark, sf_dir, "torrent_info", "info_id", "comment").where(F.col("comment").isNotNull())
+    # Comments come from files of no host; they share one group.
+    return rows.unionByName(info.select(F.lit("torrent_info").alias("tbl"), F.col("info_id").alias("row_id"), F.lit("").alias("host"), F.col("comment").alias("text")))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unwrapped(_marked(spark, sf_dir), ["tbl", "row_id"], "host", "text").where("n_marks > 0").select("tbl", "row_id")
+
+
+def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean text of every description and comment, as blocks and as lines."""
+    return clean(_marked(spark, sf_dir), ["tbl", "row_id"], "text")
+
+
+def p6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wrapper of each host."""
+    found = wrappers(_marked(spark, sf_dir), ["tbl", "row_id"], "host", "text")[1]
+    nodes = F.zip_with("names", "optional", lambda n, o: F.when(o, F.concat(n, F.lit("?"))).otherwise(n))
+    return found.select("host", F.array_join(nodes, " ").alias("wrapper"), F.col("n").alias("n_rows"))
+
+
 def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaks with the number of words of the item in the passage."""
     return leaked(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf_dir, "eval_items", "eval_id", "text"), "eval_id", "text")
@@ -82,6 +108,6 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_passages(spark, sf_dir).select("doc_id", "eval_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p3_records, p4_found, p4_unmatched, p8_found, p8_passages, p10_found, p10_share)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p3_records, p4_found, p4_unmatched, p6_found, p6_clean, p6_wrappers, p8_found, p8_passages, p10_found, p10_share)}
 
 ORACLE_SQL: dict[str, str] = {}
