@@ -10,6 +10,7 @@ from gleanery.llm.dedup import collapse
 from gleanery.llm.encoding import garbled
 from gleanery.llm.leak import leaked
 from gleanery.llm.markup import clean, unwrapped, wrappers
+from gleanery.llm.mix import counted, mix, shares
 from gleanery.llm.repetition import SHARE, repetition
 from gleanery.session import table
 
@@ -41,6 +42,23 @@ def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(spark, sf_dir).where("row_id = keep_id").select("tbl", "keep_id", "copies")
 
 
+def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    targets = table(spark, sf_dir, "mix_targets", "source", "weight", "max_repeats")
+    docs = counted(table(spark, sf_dir, "documents", "doc_id", "source", "text"), "doc_id", "source", "text")
+    return mix(docs, "doc_id", "source", "n_tokens", targets), targets
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of the mixture, with their number of copies."""
+    return _mixture(spark, sf_dir)[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of all tokens that each source reaches."""
+    mixed, targets = _mixture(spark, sf_dir)
+    return shares(mixed, "source", "n_tokens", targets)
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text").where((F.col("share") >= SHARE) & (F.col("n_words") > 0)).select("doc_id")
 
@@ -108,6 +126,6 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_passages(spark, sf_dir).select("doc_id", "eval_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p3_records, p4_found, p4_unmatched, p6_found, p6_clean, p6_wrappers, p8_found, p8_passages, p10_found, p10_share)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p3_records, p4_found, p4_unmatched, p6_found, p6_clean, p6_wrappers, p8_found, p8_passages, p9_mix, p9_shares, p10_found, p10_share)}
 
 ORACLE_SQL: dict[str, str] = {}
