@@ -35,10 +35,16 @@ def plain_words(text: Column) -> Column:
     return F.regexp_extract_all(joined, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def shingles(words: Column, size: int = SHINGLE) -> Column:
+def word_hashes(words: Column) -> Column:
+    """A hash for each word. To be a column of its own: ``shingles`` refers to it many times."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def shingles(hashes: Column, size: int = SHINGLE) -> Column:
     """Hashes of the runs of ``size`` words, in order; texts of fewer words have none."""
-    starts = F.sequence(F.lit(1), F.size(words) - size + 1)
-    return F.when(F.size(words) >= size, F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(words, i, size), " ")))).otherwise(F.array().cast("array<long>"))
+    starts = F.sequence(F.lit(0), F.size(hashes) - size)
+    runs = F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(size)]))
+    return F.when(F.size(hashes) >= size, runs).otherwise(F.array().cast("array<long>"))
 
 
 def needed(n: int, size: int = SHINGLE, share: float = SHARE, noise: float = NOISE) -> tuple[int, int, int]:
@@ -83,14 +89,14 @@ def leaked(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_i
     """
     size = SHINGLE
     its = checkpoint(items.select(F.col(item_id).alias("item"), plain_words(F.col(item_text)).alias("iw")).where(F.size("iw") >= size))
-    grams = its.select("item", F.size("iw").alias("n"), F.posexplode(shingles(F.col("iw"))).alias("ipos", "h"))
+    grams = its.withColumn("hw", word_hashes(F.col("iw"))).select("item", F.size("iw").alias("n"), F.posexplode(shingles(F.col("hw"))).alias("ipos", "h"))
     n_items = its.count()
     spread = grams.groupBy("h").agg(F.countDistinct("item").alias("in_items"))
     grams = small_side(grams.join(spread, "h").withColumn("shared", (F.col("in_items") >= SHARED_ITEMS) & (F.col("in_items") >= SHARED_SHARE * n_items)), BROADCAST_ROWS)
     words = docs.select(F.col(doc_id).alias("doc"), plain_words(F.col(doc_text)).alias("dw")).where(F.size("dw") >= size)
     # Of the corpus only shingles that some item has are kept.
     hits = checkpoint(
-        words.select("doc", F.size("dw").alias("m"), F.posexplode(shingles(F.col("dw"))).alias("dpos", "h")).join(grams.select("h").distinct(), "h", "left_semi")
+        words.select("doc", word_hashes(F.col("dw")).alias("hw")).select("doc", F.size("hw").alias("m"), F.posexplode(shingles(F.col("hw"))).alias("dpos", "h")).join(grams.select("h").distinct(), "h", "left_semi")
     )
     rarity = hits.groupBy("h").agg(F.count("*").alias("df"))
     rare = grams.join(rarity, "h", "left").withColumn("rank", F.expr("row_number() over (partition by item order by coalesce(df, 0), h, ipos)"))
@@ -106,7 +112,10 @@ def leaked(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_i
     dense = near.groupBy("doc", "item", "band", "n").agg(F.countDistinct("ipos").alias("got"), F.max((~F.col("shared")).cast("int")).alias("own"))
     sure = dense.where((F.col("own") == 1) & (F.col("got") >= F.greatest(F.lit(1), F.ceil(F.col("n") * SHARE) - size + 1 - size * F.ceil(F.ceil(F.col("n") * SHARE) * NOISE)))).select("doc", "item").distinct()
     common = grams.where("shared").groupBy("item").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("ipos", F.col("ipos") + size - 1)))).alias("common"))
-    pairs = sure.join(words, "doc").join(small_side(its.join(common, "item", "left")), "item")
+    # Few documents leak: their ids, counted first, go to the texts and not all texts to the ids.
+    sure = small_side(sure)
+    texts = docs.select(F.col(doc_id).alias("doc"), F.col(doc_text).alias("text")).join(sure, "doc").select("doc", "item", plain_words(F.col("text")).alias("dw"))
+    pairs = texts.join(small_side(its.join(common, "item", "left")), "item")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
