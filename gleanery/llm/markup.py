@@ -56,20 +56,22 @@ _MARKS = [
     ("wikihead", r"^[ ]{0,3}(?P<wh>={2,6})[ ]*[^=\s\n][^=\n]*?[ ]*(?P=wh)[ ]*$"),
     ("image", r"!\[[^\]\n]*\]\([^()\n]*\)"),
     ("link", r"\[[^\]\[\n]+\]\((?:[^()\s]|\([^()\s]*\))+(?:\s+\"[^\"\n]*\")?\)|\[[^\]\[\n]+\]\[[^\]\[\n]*\]|<(?:https?://|mailto:)[^<>\s]+>"),
-    ("setext", r"(?<=\S)[ ]*\n[ ]{0,3}(?:={3,}|-{3,})[ ]*$"),
+    ("setext", r"(?<=[^\s])\n[ ]{0,3}(?:={3,}|-{3,})[ ]*$"),
     ("head", r"^[ ]{0,3}\#{1,6}[ ]+(?=\S)"),
     ("rule", r"^[ ]{0,3}(?:[-*_][ ]*){3,}$|^-{4,}[ ]*$"),
     ("table", r"^[ ]*\|?[ ]*:?-{2,}:?[ ]*(?:\|[ ]*:?-{2,}:?[ ]*)+\|?[ ]*$"),
     ("row", r"^[ ]*\|[^\n|]*\|[^\n]*\|?[ ]*$"),
     ("quote", r"^[ ]{0,3}>+[ ]+(?=\S)"),
     ("bullet", r"^[ ]{0,6}[*+\-][ ]+(?=\S)|^\#[ ]+(?=\S)|^[*\#:;]{2,}[ ]+(?=\S)"),
-    ("number", r"^[ ]{0,3}[0-9]{1,3}[.)][ ]+(?=\S)(?=[^\n]*\n[ ]{0,3}[0-9]{1,3}[.)][ ])|(?<=^[ ]{0,3}[0-9]{1,3}[.)][ ][^\n]*\n)[ ]{0,3}[0-9]{1,3}[.)][ ]+(?=\S)"),
+    ("number", r"^[ ]{0,3}[0-9]{1,3}[.)][ ]+(?=\S)(?=[^\n]*\n[ ]{0,3}[0-9]{1,3}[.)][ ])|(?<=\n)[ ]{0,3}[0-9]{1,3}[.)][ ]+(?=\S)"),
     ("code", r"(?<![`\\])(?P<bt>`{1,2})(?!`)[^`\n]+?(?<!`)(?P=bt)(?!`)"),
     ("strong", r"(?<![*\\\w])\*{2,3}(?=[^\s*])[^\n]*?(?<=[^\s*])\*{2,3}(?![*\w])|(?<![_\\\w])__(?=[^\s_])[^\n]*?(?<=[^\s_])__(?![_\w])"),
     ("strike", r"(?<!~)~~(?=[^\s~])[^\n]*?(?<=[^\s~])~~(?!~)"),
     ("emphasis", r"(?<![*\\\w])\*(?=[^\s*])[^*\n]*?(?<=[^\s*])\*(?![*\w])|(?<![_\\\w/])_(?=[^\s_])[^_\n]*?(?<=[^\s_])_(?![_\w])"),
 ]
-_LEXER = regex.compile("|".join(f"(?P<k_{k}>{p})" for k, p in _MARKS), regex.M | regex.S | regex.I)
+#: No mark begins with a letter, or with a space or digit within a line.
+_BEGIN = r"(?=[<&`~$\\\[{'=!\n\-*_#>|:;+]|(?:(?<=\n)|\A)[ 0-9])"
+_LEXER = regex.compile(_BEGIN + "(?:" + "|".join(f"(?P<k_{k}>{p})" for k, p in _MARKS) + ")", regex.M | regex.S | regex.I)
 _WORTH = r"[<&\[\]*_#=\\`~|$'{]|\n *[-+>] |^ *[-+>] |\n *[-0-9]"
 
 
@@ -81,6 +83,10 @@ def _case_fits(kind: str, m: regex.Match) -> bool:
             return f"[/{name}]" in m.string
         if name == "*" and not regex.search(r"(?i)\[/?list|\[\*\].*\[\*\]", m.string):
             return False
+    if kind == "number":  # one numbered line is no list
+        number = r"[ ]{0,3}[0-9]{1,3}[.)][ ]"
+        before, after = m.string[: m.start()].rstrip("\n").rpartition("\n")[2], m.string[m.end() :].partition("\n")[2]
+        return bool(regex.match(number, before) or regex.match(number, after))
     if kind == "entity":
         return m["ent"][0] == "#" or f"{m['ent']};" in html.entities.html5 or f"{m['ent'].lower()};" in html.entities.html5
     if kind == "tag" and m["tag"] and len(m["tag"]) == 1 and m[0].startswith("<") and " " in m[0] and "=" not in m[0]:
