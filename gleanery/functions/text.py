@@ -16,6 +16,11 @@ def _map(pairs: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
 
 
+def stripped(s: Column) -> Column:
+    """Without spaces, common or unbreakable, at both ends."""
+    return F.regexp_replace(s, "^[ \u00a0]+|[ \u00a0]+$", "")
+
+
 def word_count(s: Column) -> Column:
     """Number of words between single spaces; blank text has one, as a split has."""
     return F.size(F.split(s, " "))
@@ -89,7 +94,7 @@ def class_with(s: Column, prefix: str) -> Column:
 
 
 def category_of_subcategory(s: Column) -> Column:
-    return F.try_element_at(_map(lx.CATEGORY_OF_SUBCATEGORY), F.lower(F.trim(s)))
+    return F.try_element_at(_map(lx.CATEGORY_OF_SUBCATEGORY), F.lower(stripped(s)))
 
 
 def category_of_genre(s: Column) -> Column:
@@ -109,7 +114,7 @@ def schema_of(category: Column, genre: Column, quality: Column) -> Column:
 
 def is_synonym(a: Column, b: Column) -> Column:
     """Whether two terms mean the same: equal, listed either way, or one of them empty or "other"."""
-    a, b = F.lower(F.trim(a)), F.lower(F.trim(b))
+    a, b = F.lower(stripped(a)), F.lower(stripped(b))
     listed = F.lit(False)
     for k, vs in lx.SYNONYMS.items():
         listed = listed | ((a == k) & b.isin(list(vs))) | ((b == k) & a.isin(list(vs)))

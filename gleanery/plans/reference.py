@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from gleanery.functions import lexicon as lx
 from gleanery.functions import text as tx
 from gleanery.functions import urls as ur
-from gleanery.operators import matching, state, votes
-from gleanery.session import table
+from gleanery.operators import matching, paths, state, votes
+from gleanery.session import checkpoint, drained, table
+from gleanery.sources import dom, metainfo
+from gleanery.streaming import views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -41,6 +43,9 @@ def _list(words) -> str:
     return f"[{_in(words)}]"
 
 
+# SQL of a category without white space around it.
+_TRIM = r"regexp_replace(category, '^[ \x{00A0}]+|[ \x{00A0}]+$', '', 'g')"
+
 # SQL of the host of an address, as ur.host reads it.
 _HOST = r"regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:www\.)?([^/?#:]+)', 1)"
 
@@ -244,9 +249,9 @@ def _map_sql(pairs: dict, key: str) -> str:
 
 
 @query(f"""
-SELECT meta_id, coalesce({_map_sql(lx.SCHEMA_OF_CATEGORY, f"{_map_sql(lx.CATEGORY_OF_SUBCATEGORY, 'lower(trim(category, ' '))')}")}, {_map_sql(lx.SCHEMA_OF_GENRE, _has_class_sql('genre', 'genre'))},
+SELECT meta_id, coalesce({_map_sql(lx.SCHEMA_OF_CATEGORY, f"{_map_sql(lx.CATEGORY_OF_SUBCATEGORY, f'lower({_TRIM})')}")}, {_map_sql(lx.SCHEMA_OF_GENRE, _has_class_sql('genre', 'genre'))},
        {_map_sql(lx.SCHEMA_OF_QUALITY, _has_class_sql('quality', 'quality'))}, '{lx.DEFAULT_SCHEMA}') AS item_schema,
-       {_map_sql(lx.CATEGORY_OF_SUBCATEGORY, 'lower(trim(category, ' '))')} AS broad_category, {_map_sql(lx.CATEGORY_OF_GENRE, _has_class_sql("string_split(trim(genre, ' '), '|')[1]", 'genre'))} AS genre_category,
+       {_map_sql(lx.CATEGORY_OF_SUBCATEGORY, f'lower({_TRIM})')} AS broad_category, {_map_sql(lx.CATEGORY_OF_GENRE, _has_class_sql("string_split(trim(genre, ' '), '|')[1]", 'genre'))} AS genre_category,
        CASE WHEN category IS NOT NULL THEN concat_ws(',', {', '.join(f"CASE WHEN contains(lower(category), '{w}') THEN '{t}' END" for w, t in lx.TAG_RULES)}) END AS tags FROM meta
 """)
 def schema_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,7 +264,7 @@ _SYN = " OR ".join(f"(a = '{k}' AND b IN ({_in(v)})) OR (b = '{k}' AND a IN ({_i
 
 
 @query(f"""
-WITH m AS (SELECT meta_id, lower(trim(category, ' ')) AS a, {_map_sql(lx.CATEGORY_OF_GENRE, _has_class_sql("string_split(trim(genre, ' '), '|')[1]", 'genre'))} AS b FROM meta)
+WITH m AS (SELECT meta_id, lower({_TRIM}) AS a, {_map_sql(lx.CATEGORY_OF_GENRE, _has_class_sql("string_split(trim(genre, ' '), '|')[1]", 'genre'))} AS b FROM meta)
 SELECT meta_id, coalesce(a, '') IN ('', 'other') OR coalesce(b, '') IN ('', 'other') OR coalesce(a = b OR {_SYN}, false) AS congruent FROM m
 """)
 def synonym_congruence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,3 +295,588 @@ def url_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", ur.host(u).alias("host"), ur.without_fragment(u).alias("bare"), ur.segment(u, 3).alias("section"), ur.segment_count(u).alias("n_segments"), ur.site_key(u).alias("site_key"), ur.registered_domain(u).alias("domain"),
         ur.resolve(u, F.concat(F.lit("/img/"), "doc_id", F.lit(".png"))).alias("image"), ur.is_hex(F.md5("text")).alias("is_hex"),
     )
+
+
+# Text of a description as positioned tokens, one to a line of its stripped text.
+_TOKENS = f"(SELECT meta_id, {_host('url')} AS site, list_filter(string_split({_STRIP}, chr(10)), lambda x: x <> '') AS tokens FROM meta WHERE description IS NOT NULL)"
+
+
+def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "meta", "meta_id", "url", "description").where("description IS NOT NULL")
+    return rows.select("meta_id", ur.host(F.col("url")).alias("site"), F.filter(F.split(tx.strip_tags(F.col("description")), "\n"), lambda x: x != "").alias("tokens"))
+
+
+@query(f"SELECT meta_id, CAST(i AS INTEGER) - 1 AS pos, tokens[i] AS token FROM {_TOKENS}, unnest(range(1, len(tokens) + 1)) t(i)")
+def page_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tokens(spark, sf_dir).select("meta_id", F.posexplode("tokens").alias("pos", "token"))
+
+
+_TEMPLATE = f"""
+p AS {_TOKENS}, b AS (SELECT site, arg_min(tokens, meta_id) AS base FROM p GROUP BY 1),
+tpl AS (SELECT site, CAST(i AS INTEGER) - 1 AS pos, count_if(p.tokens[i] IS DISTINCT FROM base[i]) AS n_differ, count_if(p.tokens[i] IS DISTINCT FROM base[i]) >= 2 AS is_variable
+        FROM p JOIN b USING (site), unnest(range(1, len(base) + 1)) t(i) GROUP BY 1, 2)
+"""
+
+
+@query(f"WITH {_TEMPLATE} SELECT * FROM tpl")
+def template_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token positions that vary between the pages of a site."""
+    return votes.template_positions(_tokens(spark, sf_dir), "site", "meta_id", "tokens")
+
+
+@query(f"""
+WITH {_TEMPLATE}, t AS (SELECT meta_id, site, CAST(i AS INTEGER) - 1 AS pos, tokens[i] AS token FROM p, unnest(range(1, len(tokens) + 1)) t(i)),
+w AS (SELECT t.*, is_variable, lag(token) OVER o AS label, lag(is_variable) OVER o AS before FROM t JOIN tpl USING (site, pos) WINDOW o AS (PARTITION BY meta_id ORDER BY pos))
+SELECT meta_id, pos, lower(replace(label, ':', '')) AS label, token AS value FROM w
+WHERE is_variable AND NOT before AND len(label) > 2 AND len(label) < 20 AND NOT regexp_matches(label, '^[0-9.]+$') AND len(label) - len(replace(label, ' ', '')) < 2
+""")
+def label_value_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A variable token right after a constant one is a value, and the constant one its label."""
+    pages = _tokens(spark, sf_dir)
+    learned = votes.template_positions(pages, "site", "meta_id", "tokens")
+    o = Window.partitionBy("meta_id").orderBy("pos")
+    rows = pages.select("meta_id", "site", F.posexplode("tokens").alias("pos", "token")).join(learned, ["site", "pos"])
+    rows = rows.withColumn("label", F.lag("token").over(o)).withColumn("before", F.lag("is_variable").over(o))
+    n = F.length("label")
+    ok = F.col("is_variable") & ~F.col("before") & (n > 2) & (n < 20) & ~F.col("label").rlike("^[0-9.]+$") & (n - F.length(F.replace("label", F.lit(" "), F.lit(""))) < 2)
+    return rows.where(ok).select("meta_id", "pos", F.lower(F.replace("label", F.lit(":"), F.lit(""))).alias("label"), F.col("token").alias("value"))
+
+
+_ENDING = "please seed|thanks to|short answer"
+
+
+@query(f"""
+WITH t AS (SELECT meta_id, CAST(i AS INTEGER) - 1 AS pos, len(tokens) AS n, tokens[i] AS token FROM {_TOKENS}, unnest(range(1, len(tokens) + 1)) t(i)),
+g AS (SELECT *, max((len(token) > 5)::INT) OVER o AS started, max((regexp_matches(lower(token), '{_ENDING}') AND pos * 10 > n * 4 OR pos * 4 > n * 3)::INT) OVER o AS stopped,
+             max(regexp_matches(lower(token), '{_ENDING}')::INT) OVER o AS no_tags, lag(contains(lower(token), 'description')) OVER (PARTITION BY meta_id ORDER BY pos) AS next_is
+      FROM t WINDOW o AS (PARTITION BY meta_id ORDER BY pos ROWS UNBOUNDED PRECEDING))
+SELECT meta_id, pos, token, no_tags = 0 AS may_tag, coalesce(next_is, false) AS after_label FROM g WHERE started = 1 AND stopped = 0
+""")
+def scan_gate_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens from the first long one up to an ending word after 40 % or to 75 % of the page."""
+    o = Window.partitionBy("meta_id").orderBy("pos")
+    so_far = o.rowsBetween(Window.unboundedPreceding, 0)
+    t = _tokens(spark, sf_dir).select("meta_id", F.size("tokens").alias("n"), F.posexplode("tokens").alias("pos", "token"))
+    ending = F.lower("token").rlike(_ENDING)
+    stop = ending & (F.col("pos") * 10 > F.col("n") * 4) | (F.col("pos") * 4 > F.col("n") * 3)
+    g = t.select("meta_id", "pos", "token", F.max(F.length("token") > 5).over(so_far).alias("started"), F.max(stop).over(so_far).alias("stopped"), F.max(ending).over(so_far).alias("no_tags"), F.lag(F.lower("token").contains("description")).over(o).alias("next_is"))
+    return g.where("started AND NOT stopped").select("meta_id", "pos", "token", (~F.col("no_tags")).alias("may_tag"), F.coalesce("next_is", F.lit(False)).alias("after_label"))
+
+
+@query(f"""
+WITH t AS (SELECT meta_id, tokens, list_filter(range(1, len(tokens) + 1), lambda i: len(tokens[i]) BETWEEN 33 AND 4095) AS ok FROM {_TOKENS})
+SELECT meta_id, arg_max(tokens[i], row(len(tokens[i]), -i)) AS longest, min(i) - 1 AS first_pos FROM t, unnest(ok) u(i) GROUP BY 1
+""")
+def longest_and_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each page the longest acceptable token, the earlier where lengths tie, and the first one's position."""
+    t = _tokens(spark, sf_dir).select("meta_id", F.posexplode("tokens").alias("pos", "token")).where(F.length("token").between(33, 4095))
+    return t.groupBy("meta_id").agg(F.max_by("token", F.struct(F.length("token"), -F.col("pos"))).alias("longest"), F.min("pos").cast("long").alias("first_pos"))
+
+
+# Votes: each page of a site votes, for each field it has, for the shape of its address.
+_BALLOTS = " UNION ALL ".join(f"SELECT {_host('url')} AS site, '{f}' AS field, len(string_split(url, '/')) || ':' || substr(coalesce(string_split(url, '/')[4], ''), 1, 4) AS path FROM meta WHERE {f} IS NOT NULL" for f in ("category", "genre", "quality", "language"))
+
+
+def _ballots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("category", "genre", "quality", "language")
+    u = F.col("url")
+    path = F.concat_ws(":", ur.segment_count(u).cast("string"), F.substring(F.coalesce(ur.segment(u, 3), F.lit("")), 1, 4))
+    wide = table(spark, sf_dir, "meta", "url", *fields)
+    named = F.filter(F.array(*[F.when(F.col(f).isNotNull(), F.lit(f)) for f in fields]), lambda x: x.isNotNull())
+    return wide.select(ur.host(u).alias("site"), F.explode(named).alias("field"), path.alias("path"))
+
+
+@query(f"""
+WITH v AS (SELECT site, field, path, count(*) AS votes FROM ({_BALLOTS}) GROUP BY 1, 2, 3),
+     k AS (SELECT *, max(votes) OVER (PARTITION BY site, field) > sum(votes) OVER (PARTITION BY site, field) // 3 AS strong FROM v)
+SELECT site, field, path, votes, row_number() OVER (PARTITION BY site, field ORDER BY votes DESC, path) AS place FROM k WHERE strong
+""")
+def path_votes_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes of each field's paths, best first, without fields in which no path has over a third of them."""
+    strong = votes.prune_weak(votes.votes(_ballots(spark, sf_dir), "site", "field", "path"), ["site", "field"])
+    return strong.withColumn("place", F.row_number().over(Window.partitionBy("site", "field").orderBy(F.desc("votes"), "path")))
+
+
+@query(f"""
+WITH v AS (SELECT site, field, path, count(*) AS votes FROM ({_BALLOTS}) GROUP BY 1, 2, 3 HAVING count(*) > 1)
+SELECT *, votes > bar AS trusted FROM (SELECT *, sum(votes) OVER (PARTITION BY site, field) * CAST(0.3 AS DOUBLE) AS bar FROM v)
+""")
+def path_trust_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return votes.trust_bar(votes.votes(_ballots(spark, sf_dir), "site", "field", "path"), ["site", "field"])
+
+
+@query(f"""
+WITH v AS (SELECT site, field, path, count(*) AS votes FROM ({_BALLOTS}) GROUP BY 1, 2, 3)
+SELECT site, field, path, votes FROM (SELECT *, row_number() OVER (PARTITION BY site, field ORDER BY votes, path) AS r FROM v) WHERE NOT (r = 1 AND votes < 40)
+""")
+def least_voted_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each field's paths without the least voted one, if that has fewer than 40 votes."""
+    r = F.row_number().over(Window.partitionBy("site", "field").orderBy("votes", "path"))
+    return votes.votes(_ballots(spark, sf_dir), "site", "field", "path").withColumn("r", r).where(~((F.col("r") == 1) & (F.col("votes") < 40))).drop("r")
+
+
+_NORM = f"SELECT meta_id, {_host('url')} AS site, category, url FROM meta"
+
+
+@query(f"""
+WITH m AS ({_NORM}), n AS (SELECT site, count(*) AS pages FROM m GROUP BY 1), v AS (SELECT site, category, count(*) AS votes FROM m WHERE {_phrase_sql('category', lx.words('category'), 2)} GROUP BY 1, 2)
+SELECT site, category, votes, votes > pages * 0.6 AS replaces, sum(votes) OVER (PARTITION BY site) > pages // 3 AS enough FROM v JOIN n USING (site)
+""")
+def category_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes of the categories of each site: which replace all others, and whether there are enough."""
+    m = table(spark, sf_dir, "meta", "url", "category").withColumn("site", ur.host(F.col("url")))
+    pages = m.groupBy("site").agg(F.count("*").alias("pages"))
+    v = votes.votes(m.where(tx.is_category(F.col("category"))), "site", "category").join(pages, "site")
+    return v.select("site", "category", "votes", (F.col("votes") > F.col("pages") * 0.6).alias("replaces"), (F.sum("votes").over(Window.partitionBy("site")) > F.expr("pages div 3")).alias("enough"))
+
+
+@query(f"""
+WITH s AS (SELECT meta_id, i - 1 AS pos, string_split(url, '/')[i] AS part FROM meta, unnest(range(1, len(string_split(url, '/')) + 1)) t(i)),
+     c AS (SELECT meta_id, pos, part FROM s WHERE {_first_sql('part', lx.words('category'))} IS NOT NULL)
+SELECT meta_id, '@url[' || max(pos) || ']' AS path, arg_max({_first_sql('part', lx.words('category'))}, pos) AS category FROM c GROUP BY 1
+""")
+def url_segment_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last segment of an address that holds a category, as a path and as the category."""
+    parts = table(spark, sf_dir, "meta", "meta_id", "url").select("meta_id", F.posexplode(F.split("url", "/")).alias("pos", "part")).withColumn("category", tx.extract_category(F.col("part"))).where("category IS NOT NULL")
+    return parts.groupBy("meta_id").agg(F.concat(F.lit("@url["), F.max("pos").cast("string"), F.lit("]")).alias("path"), F.max_by("category", "pos").alias("category"))
+
+
+@query(f"""
+WITH m AS (SELECT meta_id, {_host('url')} AS site, string_split(regexp_replace(description, ' (?:>|») ', chr(1), 'g'), chr(1)) AS crumbs FROM meta WHERE regexp_matches(description, ' (?:->|>|») ')),
+     n AS (SELECT site, count(*) AS pages FROM m GROUP BY 1), c AS (SELECT site, meta_id, i - 1 AS pos, lag(crumbs[i]) OVER (PARTITION BY meta_id ORDER BY i) AS before FROM m, unnest(range(1, len(crumbs) + 1)) t(i))
+SELECT site, pos, count(*) AS votes, count(*) > 0.75 * any_value(pages) AS accepted FROM c JOIN n USING (site) WHERE before IS NOT NULL GROUP BY 1, 2
+""")
+def breadcrumb_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions after a breadcrumb sign, accepted if over three quarters of a site's pages have them."""
+    m = table(spark, sf_dir, "meta", "meta_id", "url", "description").where(F.col("description").rlike(" (?:->|>|») "))
+    m = m.select("meta_id", ur.host(F.col("url")).alias("site"), F.split("description", " (?:>|») ").alias("crumbs"))
+    pages = m.groupBy("site").agg(F.count("*").alias("pages"))
+    c = m.select("site", "meta_id", F.posexplode("crumbs").alias("pos", "crumb")).withColumn("before", F.lag("crumb").over(Window.partitionBy("meta_id").orderBy("pos"))).where("before IS NOT NULL")
+    v = c.groupBy("site", F.col("pos").cast("long").alias("pos")).agg(F.count("*").alias("votes")).join(pages, "site")
+    return v.select("site", "pos", "votes", (F.col("votes") > F.col("pages") * 0.75).alias("accepted"))
+
+
+_IMGS = f"(SELECT meta_id, {_host('url')} AS site, unnest(list_distinct(regexp_extract_all(description, 'src=\"([^\"]+)\"', 1))) AS src FROM meta WHERE description IS NOT NULL)"
+
+
+@query(f"""
+WITH i AS {_IMGS}, n AS (SELECT site, count(DISTINCT meta_id) AS pages FROM i GROUP BY 1), c AS (SELECT site, src, count(*) AS n_src FROM i GROUP BY 1, 2),
+     k AS (SELECT i.* FROM i JOIN c USING (site, src) JOIN n USING (site) WHERE n_src <= greatest(pages // 2, 1) AND NOT contains(src, 'logo')),
+     v AS (SELECT site, regexp_extract(src, '^[a-z]+://([^/]+)', 1) AS place, count(*) AS votes FROM k GROUP BY 1, 2)
+SELECT site, arg_min(place, row(-votes, place)) AS place, max(votes) AS votes FROM v GROUP BY 1
+""")
+def best_image_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a site's images come from: pictures on over half the pages and logos do not count."""
+    m = table(spark, sf_dir, "meta", "meta_id", "url", "description").where("description IS NOT NULL")
+    i = m.select("meta_id", ur.host(F.col("url")).alias("site"), F.explode(F.array_distinct(F.regexp_extract_all("description", F.lit('src="([^"]+)"'), F.lit(1)))).alias("src"))
+    pages, c = i.groupBy("site").agg(F.countDistinct("meta_id").alias("pages")), i.groupBy("site", "src").agg(F.count("*").alias("n_src"))
+    kept = i.join(c, ["site", "src"]).join(pages, "site").where(F.expr("n_src <= greatest(pages div 2, 1)") & ~F.col("src").contains("logo"))
+    v = votes.votes(kept.withColumn("place", F.regexp_extract("src", "^[a-z]+://([^/]+)", 1)), "site", "place")
+    return v.groupBy("site").agg(F.min_by("place", F.struct(-F.col("votes"), "place")).alias("place"), F.max("votes").alias("votes"))
+
+
+@query("SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_acctbal > 0 AND s_acctbal > 0 AND c_acctbal / s_acctbal BETWEEN 0.99 AND 1.01")
+def near_match_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of balances within 1 % of each other."""
+    return matching.near_join(table(spark, sf_dir, "customer", "c_custkey", "c_acctbal"), table(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal"), "c_acctbal", "s_acctbal").select("c_custkey", "s_suppkey")
+
+
+@query(r"""
+WITH j AS (SELECT m.meta_id, i.info_id, m.infohash AS a, i.infohash AS b, list_filter(string_split_regex(lower(m.title), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w, lower(i.filedir) AS d FROM meta m JOIN torrent_info i USING (item_id))
+SELECT meta_id, info_id, coalesce(lower(a) = lower(b), true) AND coalesce(len(list_filter(w, lambda x: contains(d, x))) >= ceil(len(w) / 2), true) AS same_item FROM j
+""")
+def page_file_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a page and a file of one item agree in digest and title, as far as both state them."""
+    m, i = table(spark, sf_dir, "meta", "item_id", "meta_id", F.col("infohash").alias("a"), "title"), table(spark, sf_dir, "torrent_info", "item_id", "info_id", F.col("infohash").alias("b"), "filedir")
+    none = F.lit(None).cast("double")
+    return m.join(i, "item_id").select("meta_id", "info_id", matching.same_item(none, none, F.col("a"), F.col("b"), F.col("title"), F.col("filedir")).alias("same_item"))
+
+
+@query("SELECT m.meta_id, i.info_id FROM meta m JOIN torrent_info i ON lower(m.infohash) = lower(i.infohash)")
+def digest_equality_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m, i = table(spark, sf_dir, "meta", "meta_id", F.lower("infohash").alias("h")), table(spark, sf_dir, "torrent_info", "info_id", F.lower("infohash").alias("h"))
+    return m.join(i, "h").select("meta_id", "info_id")
+
+
+@query(f"""
+SELECT meta_id, {_host('url')} AS host, coalesce(s._id, -1) AS source_id, coalesce(s.crbl, 0) = 0 AS may_crawl FROM meta LEFT JOIN sources s ON {_host('url')} = s.d
+""")
+def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source of each page's host, with a default for unknown ones, and whether it is blocked."""
+    s = table(spark, sf_dir, "sources", F.col("_id").alias("sid"), F.col("d").alias("host"), "crbl")
+    m = table(spark, sf_dir, "meta", "meta_id", ur.host(F.col("url")).alias("host"))
+    return m.join(s, "host", "left").select("meta_id", "host", F.coalesce("sid", F.lit(-1)).alias("source_id"), (F.coalesce("crbl", F.lit(0)) == 0).alias("may_crawl"))
+
+
+@query(f"""
+WITH h AS (SELECT DISTINCT {_host('link')} AS d FROM {_LINKS}), n AS (SELECT d FROM h WHERE d NOT IN (SELECT d FROM sources WHERE d IS NOT NULL))
+SELECT d, (SELECT max(_id) FROM sources) + row_number() OVER (ORDER BY d) AS source_id FROM n
+""")
+def new_source_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of hosts that are no source yet, from the largest id on, in one job."""
+    known = table(spark, sf_dir, "sources", "d", "_id")
+    new = _links(spark, sf_dir).select(ur.host(F.col("link")).alias("d")).distinct().join(known.select("d"), "d", "left_anti")
+    top = known.agg(F.max("_id").alias("top"))
+    # A global order over new hosts: their number is that of hosts, not of links.
+    return new.crossJoin(F.broadcast(top)).select("d", (F.col("top") + F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("d"))).alias("source_id"))
+
+
+@query("""
+WITH o AS (SELECT user_id, event_type, arg_max(props, row(ts, event_id)) AS v FROM events WHERE event_id % 2 = 0 GROUP BY 1, 2), n AS (SELECT user_id, event_type, arg_max(props, row(ts, event_id)) AS v FROM events WHERE event_id % 2 = 1 GROUP BY 1, 2)
+SELECT user_id, event_type, o.v AS old_value, n.v AS new_value FROM o LEFT JOIN n USING (user_id, event_type) WHERE lower(trim(o.v, ' ')) IS DISTINCT FROM lower(trim(n.v, ' '))
+""")
+def snapshot_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest values of one half of the events that the other half lacks or has otherwise."""
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
+    latest = lambda k: e.where(F.col("event_id") % 2 == k).groupBy("user_id", "event_type").agg(F.max_by("props", F.struct("ts", "event_id")).alias("v"))
+    return state.mismatches(latest(0), latest(1), ["user_id", "event_type"], "v")
+
+
+@query("SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS n_seen, floor(epoch(max(ts))) - floor(epoch(min(ts))) > 1800 AS promoted FROM events WHERE ts IS NOT NULL GROUP BY 1")
+def first_last_seen_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.first_last_seen(table(spark, sf_dir, "events", "user_id", "ts"), "user_id", "ts")
+
+
+@query("SELECT time_bucket(INTERVAL 60 minutes, ts) AS hour, event_type, count(*) AS n_lines, count_if(value < 0) AS n_errors FROM events GROUP BY 1, 2")
+def hourly_rotation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and errors of each hour's file."""
+    e = table(spark, sf_dir, "events", "ts", "event_type", "value")
+    return e.groupBy(F.window("ts", "60 minutes").alias("w"), "event_type").agg(F.count("*").alias("n_lines"), F.count_if(F.col("value") < 0).alias("n_errors")).select(F.col("w.start").alias("hour"), "event_type", "n_lines", "n_errors")
+
+
+@query(f"""
+WITH m AS (SELECT {_host('url')} AS site, category, language, season FROM meta)
+SELECT site, count(DISTINCT category) > 1 OR count(category) < 2 AS category_ok, count(DISTINCT language) > 1 OR count(language) < 2 AS language_ok, count(DISTINCT season) > 1 OR count(season) < 2 AS season_ok FROM m GROUP BY 1
+""")
+def constant_field_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that never vary on a site are not learned."""
+    m = table(spark, sf_dir, "meta", ur.host(F.col("url")).alias("site"), "category", "language", "season")
+    return m.groupBy("site").agg(*[((F.countDistinct(c) > 1) | (F.count(c) < 2)).alias(f"{c}_ok") for c in ("category", "language", "season")])
+
+
+@query(f"""
+WITH l AS (SELECT row_id, pos, link, ends_with(link, '.torrent') OR contains(link, '.torrent?') AS is_file FROM {_LINKS}),
+     f AS (SELECT *, CASE WHEN is_file THEN 10 WHEN pos = 0 THEN 9 ELSE 5 END AS priority FROM l), s AS (SELECT *, row_number() OVER (PARTITION BY {_host('link')} ORDER BY priority DESC, link, row_id, pos) AS r FROM f)
+SELECT row_id, pos, link, priority, CAST((r - 1) % 4 AS INTEGER) AS lane FROM s WHERE r <= 20 OR is_file
+""")
+def frontier_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty links of each site by priority, and all file links, dealt out to four lanes in turn."""
+    link = F.col("link")
+    f = _links(spark, sf_dir).withColumn("is_file", link.endswith(".torrent") | link.contains(".torrent?"))
+    f = f.withColumn("priority", F.when(F.col("is_file"), 10).when(F.col("pos") == 0, 9).otherwise(5))
+    r = F.row_number().over(Window.partitionBy(ur.host(link)).orderBy(F.desc("priority"), "link", "row_id", "pos"))
+    return f.withColumn("r", r).where((F.col("r") <= 20) | F.col("is_file")).select("row_id", "pos", "link", "priority", ((F.col("r") - 1) % 4).alias("lane"))
+
+
+@query(f"""
+WITH l AS (SELECT row_id, link, contains(link, '.torrent') AS is_file FROM {_LINKS}), d AS (SELECT url FROM documents), m AS (SELECT url FROM meta),
+     one AS (SELECT row_id, min(link) AS link FROM l WHERE is_file GROUP BY 1)
+SELECT 'rest' AS part, row_id, link FROM (SELECT row_id, link FROM l EXCEPT SELECT row_id, link FROM l WHERE is_file) UNION ALL SELECT 'first file', row_id, link FROM one
+UNION ALL SELECT 'pages', NULL, url FROM (SELECT url FROM d UNION SELECT url FROM m) UNION ALL SELECT 'both', NULL, url FROM (SELECT url FROM d INTERSECT SELECT url FROM m)
+""")
+def link_set_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links without files, the first file of each page, and union and intersection of pages."""
+    l = _links(spark, sf_dir).select("row_id", "link", F.col("link").contains(".torrent").alias("is_file"))
+    files = l.where("is_file").select("row_id", "link")
+    rest = l.select("row_id", "link").subtract(files).select(F.lit("rest").alias("part"), "row_id", "link")
+    first = files.groupBy("row_id").agg(F.min("link").alias("link")).select(F.lit("first file").alias("part"), "row_id", "link")
+    d, m = table(spark, sf_dir, "documents", "url"), table(spark, sf_dir, "meta", "url")
+    named = lambda df, part: df.select(F.lit(part).alias("part"), F.lit(None).cast("long").alias("row_id"), F.col("url").alias("link"))
+    return rest.unionByName(first).unionByName(named(d.union(m).distinct(), "pages")).unionByName(named(d.intersect(m), "both"))
+
+
+@query(f"""
+WITH want AS (SELECT replace(d, '.', '_') AS name FROM sources WHERE coalesce(crbl, 0) = 0), run AS (SELECT DISTINCT replace(_id, '.', '_') AS name, ok FROM torrents_domain WHERE _id IS NOT NULL)
+SELECT 'start' AS what, name FROM want WHERE name NOT IN (SELECT name FROM run) UNION ALL SELECT DISTINCT 'stop', name FROM run r WHERE name IN (SELECT name FROM run WHERE NOT ok) AND name NOT IN (SELECT name FROM run WHERE ok)
+""")
+def anti_semi_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites to start because they do not run, and to stop because none of their visits was good."""
+    want = table(spark, sf_dir, "sources", "d", "crbl").where(F.coalesce("crbl", F.lit(0)) == 0).select(F.replace("d", F.lit("."), F.lit("_")).alias("name"))
+    run = table(spark, sf_dir, "torrents_domain", F.replace(F.col("_id"), F.lit("."), F.lit("_")).alias("name"), "ok").where("name IS NOT NULL")
+    start = want.join(run.select("name").distinct(), "name", "left_anti").select(F.lit("start").alias("what"), "name")
+    bad = run.join(run.where("NOT ok"), "name", "left_semi").join(run.where("ok").select("name"), "name", "left_anti")
+    return start.unionByName(bad.select(F.lit("stop").alias("what"), "name").distinct())
+
+
+@query("""
+WITH c AS (SELECT user_id, event_type, props FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS r FROM events) WHERE r = 1),
+     n AS (SELECT user_id, event_type, arg_max(props, row(ts, event_id)) AS props FROM events WHERE value > 0 GROUP BY 1, 2)
+SELECT user_id, event_type, CASE WHEN n.user_id IS NOT NULL THEN n.props ELSE c.props END AS props FROM c LEFT JOIN n USING (user_id, event_type)
+""")
+def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first value of each key, with the latest good one put in its place."""
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    first = e.groupBy("user_id", "event_type").agg(F.min_by(F.struct("ts", "event_id", "props"), F.struct("ts", "event_id")).alias("x")).select("user_id", "event_type", "x.ts", "x.event_id", "x.props")
+    new = e.where("value > 0").select("user_id", "event_type", "ts", "event_id", "props")
+    return state.upsert(first, new, ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "props")
+
+
+@query("SELECT _id, count_if(NOT coalesce(ok, false)) AS fail_count, list_sort(list(DISTINCT crawler_id) FILTER (crawler_id IS NOT NULL)) AS crawlers FROM torrents_domain WHERE _id IS NOT NULL GROUP BY 1")
+def counters_and_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures counted and crawlers collected for each site."""
+    t = table(spark, sf_dir, "torrents_domain", "_id", "ok", "crawler_id").where("_id IS NOT NULL")
+    sets = state.set_add(t, "_id", "crawler_id").withColumnRenamed("values", "crawlers")
+    return t.groupBy("_id").agg(F.count_if(~F.coalesce("ok", F.lit(False))).alias("fail_count")).join(sets, "_id", "left")
+
+
+@query("""
+WITH v AS (SELECT _id, visit_id, coalesce(ok, false) AS ok FROM torrents_domain WHERE _id IS NOT NULL), s AS (SELECT *, sum(ok::INT) OVER (PARTITION BY _id ORDER BY visit_id) AS run FROM v),
+     f AS (SELECT *, sum((NOT ok)::INT) OVER (PARTITION BY _id, run ORDER BY visit_id) AS failures FROM s)
+SELECT _id, visit_id, ok, failures FROM (SELECT *, max((failures > 3)::INT) OVER (PARTITION BY _id ORDER BY visit_id) AS cut FROM f) WHERE cut = 0
+""")
+def failure_run_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits of a site up to its fourth failure in a row."""
+    v = table(spark, sf_dir, "torrents_domain", "_id", "visit_id", "ok").where("_id IS NOT NULL").withColumn("ok", F.coalesce("ok", F.lit(False)))
+    return state.failure_cut(v, "_id", "visit_id", "ok", 3)
+
+
+@query(r"""
+SELECT item_id, concat_ws(chr(9), '88 - ' || strftime(ingested_at, '%d-%m-%Y %H:%M:%S'), regexp_replace(coalesce(filename, ''), '[\t\n\r\f\v]', ' ', 'g'), coalesce(size, ''), coalesce(origins, ''), coalesce(item_schema, ''), coalesce(meta, '')) AS line
+FROM torrents_item WHERE error_type IS NULL
+UNION ALL SELECT item_id, concat_ws(chr(9), '*88 - ' || strftime(ingested_at, '%d-%m-%Y %H:%M:%S'), coalesce(origins, ''), error_type) FROM torrents_item WHERE error_type IS NOT NULL
+""")
+def item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered rows: six fields of an item, three of an error."""
+    t = table(spark, sf_dir, "torrents_item", "item_id", "filename", "size", "origins", "item_schema", "meta", "error_type", "ingested_at")
+    c, stamp = lambda x: F.coalesce(x, F.lit("")), F.date_format("ingested_at", "dd-MM-yyyy HH:mm:ss")
+    good = F.concat_ws("\t", F.concat(F.lit("88 - "), stamp), ur.squeezed(c("filename")), c("size"), c("origins"), c("item_schema"), c("meta"))
+    bad = F.concat_ws("\t", F.concat(F.lit("*88 - "), stamp), c("origins"), "error_type")
+    return t.select("item_id", F.when(F.col("error_type").isNull(), good).otherwise(bad).alias("line"))
+
+
+@query(r"""
+WITH p AS (SELECT item_id, unnest(string_split(meta, chr(9))) AS kv FROM torrents_item WHERE meta IS NOT NULL AND meta <> ''),
+     k AS (SELECT item_id, split_part(kv, ':', 1) AS ns, regexp_extract(kv, '^[^:]*:([^=]*)=', 1) AS key, regexp_extract(kv, '^[^=]*=(.*)$', 1) AS value FROM p)
+SELECT item_id, array_to_string(list_sort(list(ns || ':' || CASE WHEN key = 'image' THEN 'thumbnail' ELSE key END || '=' || trim(value, ' '))), chr(9)) AS line FROM k GROUP BY 1
+""")
+def meta_serialisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of an item's metadata parsed, renamed, trimmed and written again in order."""
+    t = table(spark, sf_dir, "torrents_item", "item_id", "meta").where("meta IS NOT NULL AND meta != ''")
+    def again(kv: Column) -> Column:
+        ns, key, value = F.substring_index(kv, ":", 1), F.regexp_extract(kv, "^[^:]*:([^=]*)=", 1), F.regexp_extract(kv, "^[^=]*=(.*)$", 1)
+        return F.concat(ns, F.lit(":"), F.when(key == "image", F.lit("thumbnail")).otherwise(key), F.lit("="), F.trim(value))
+    return t.select("item_id", F.array_join(F.array_sort(F.transform(F.split("meta", "\t"), again)), "\t").alias("line"))
+
+
+@query(r"""
+SELECT item_id, coalesce(CASE WHEN NOT regexp_matches(filename, '^[0-9]*$|^[0-9A-Fa-f]{40}$|[<>{}]|&[a-z]+;|^(?i:unknown|noname)$') THEN filename END, title, filedir, split_part(filepaths, '///', 1), 'no name') AS name
+FROM torrents_item t LEFT JOIN (SELECT item_id, min(title) AS title FROM meta WHERE item_id IS NOT NULL GROUP BY 1) USING (item_id)
+LEFT JOIN (SELECT item_id, min(filedir) AS filedir, min(filepaths) AS filepaths FROM torrent_info WHERE item_id IS NOT NULL GROUP BY 1) USING (item_id)
+""")
+def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of items: placeholders give way to the title, the folder, the first path, or a literal."""
+    t = table(spark, sf_dir, "torrents_item", "item_id", "filename")
+    m = table(spark, sf_dir, "meta", "item_id", "title").where("item_id IS NOT NULL").groupBy("item_id").agg(F.min("title").alias("title"))
+    i = table(spark, sf_dir, "torrent_info", "item_id", "filedir", "filepaths").where("item_id IS NOT NULL").groupBy("item_id").agg(F.min("filedir").alias("filedir"), F.min("filepaths").alias("filepaths"))
+    good = F.when(~F.col("filename").rlike("^[0-9]*$|^[0-9A-Fa-f]{40}$|[<>{}]|&[a-z]+;|^(?i:unknown|noname)$"), F.col("filename"))
+    return t.join(m, "item_id", "left").join(i, "item_id", "left").select("item_id", F.coalesce(good, "title", "filedir", F.split_part("filepaths", F.lit("///"), F.lit(1)), F.lit("no name")).alias("name"))
+
+
+@query(f"""
+WITH RECURSIVE e AS (SELECT DISTINCT {_host('url')} AS a, {_host('link')} AS b FROM documents d JOIN {_LINKS} l ON l.row_id = d.doc_id WHERE {_host('url')} <> {_host('link')}),
+s AS (SELECT min(a) AS start FROM e), r(node, depth) AS (SELECT start, 0 FROM s UNION SELECT b, depth + 1 FROM r JOIN e ON e.a = r.node WHERE depth < 3)
+SELECT node, min(depth) AS depth FROM r GROUP BY 1
+""")
+def crawl_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites within three links of the first one, with their distance."""
+    docs = table(spark, sf_dir, "documents", F.col("doc_id").alias("row_id"), ur.host(F.col("url")).alias("a"))
+    edges = docs.join(_links(spark, sf_dir).select("row_id", ur.host(F.col("link")).alias("b")), "row_id").where("a != b").select("a", "b").distinct()
+    reach = edges.agg(F.min("a").alias("node")).where("node IS NOT NULL").withColumn("depth", F.lit(0))
+    front = reach
+    for depth in range(1, 4):  # a step for each level; a node keeps the level that reached it first
+        front = front.join(edges, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct().join(reach, "node", "left_anti").withColumn("depth", F.lit(depth))
+        reach = reach.unionByName(front)
+    return reach
+
+
+@query("SELECT row_number() OVER (ORDER BY p.k, e.k) AS n, 'http://example.test/' || p.v || e.v AS url FROM (VALUES (1, 'index'), (2, 'new'), (3, 'latest'), (4, 'home')) p(k, v), (VALUES (1, ''), (2, '.html'), (3, '.php'), (4, '.asp')) e(k, v)")
+def fresh_start_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses at which a fresh crawl starts: a product of two lists of four literals."""
+    pages, ends = ("index", "new", "latest", "home"), ("", ".html", ".php", ".asp")
+    return spark.createDataFrame([(n + 1, f"http://example.test/{p}{e}") for n, (p, e) in enumerate((p, e) for p in pages for e in ends)], "n long, url string")
+
+
+@query(f"""
+WITH v AS (SELECT _id, ls, ok, cko, n_tp, visit_id FROM torrents_domain WHERE _id IS NOT NULL), s AS (SELECT _id, max(cko) AS fails, bool_or(coalesce(ok, false)) AS done, max(coalesce(n_tp, 0)) AS n_tp FROM v GROUP BY 1)
+SELECT s._id, fails, n_tp FROM s WHERE coalesce(fails, 0) <= 5 AND NOT done AND n_tp > 0 AND NOT EXISTS (SELECT 1 FROM s o WHERE o._id = 'www.' || s._id)
+""")
+def site_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites to learn: few failures, not done, with pages, and no twin under www."""
+    v = table(spark, sf_dir, "torrents_domain", "_id", "ok", "cko", "n_tp").where("_id IS NOT NULL")
+    s = v.groupBy("_id").agg(F.max("cko").alias("fails"), F.max(F.coalesce("ok", F.lit(False))).alias("done"), F.max(F.coalesce("n_tp", F.lit(0))).alias("n_tp"))
+    twins = s.where(F.col("_id").startswith("www.")).select(F.substring("_id", 5, 1000).alias("_id"))
+    return s.where((F.coalesce("fails", F.lit(0)) <= 5) & ~F.col("done") & (F.col("n_tp") > 0)).join(twins, "_id", "left_anti").select("_id", "fails", "n_tp")
+
+
+@query(f"""
+WITH l AS (SELECT {_host('link')} AS host, count(*) AS n_links, count_if(contains(link, '.torrent')) AS n_files FROM {_LINKS} GROUP BY 1)
+SELECT list_aggregate(string_split(host, '.')[-2:], 'string_agg', '.') AS domain, sum(n_links)::BIGINT AS n_links FROM l WHERE host NOT IN (SELECT d FROM sources WHERE d IS NOT NULL) AND n_files > 0 GROUP BY 1
+""")
+def new_site_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domains of hosts that are no source and have file links."""
+    l = _links(spark, sf_dir).groupBy(ur.host(F.col("link")).alias("host")).agg(F.count("*").alias("n_links"), F.count_if(F.col("link").contains(".torrent")).alias("n_files"))
+    new = l.join(table(spark, sf_dir, "sources", F.col("d").alias("host")), "host", "left_anti").where("n_files > 0")
+    labels = F.split("host", r"\.")
+    return new.groupBy(F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".").alias("domain")).agg(F.sum("n_links").alias("n_links"))
+
+
+@query(f"""
+WITH l AS (SELECT row_id, link, {_host('link')} AS h, contains(link, '.torrent') AS is_file, contains(link, '/torrent/') AS is_detail FROM {_LINKS}), s AS (SELECT d, list_contains(g, 's') AS store FROM sources)
+SELECT row_id, link, CASE WHEN coalesce(store, false) THEN is_file OR is_detail WHEN is_detail THEN true ELSE NOT is_file END AS follow, CASE WHEN coalesce(store, false) THEN 3 ELSE 2 END AS ttl FROM l LEFT JOIN s ON h = d
+""")
+def transition_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which links may be followed: from stores only files and details, else no file from a listing."""
+    stores = table(spark, sf_dir, "sources", F.col("d").alias("h"), F.array_contains("g", "s").alias("store"))
+    l = _links(spark, sf_dir).select("row_id", "link", ur.host(F.col("link")).alias("h"), F.col("link").contains(".torrent").alias("is_file"), F.col("link").contains("/torrent/").alias("is_detail"))
+    store = F.coalesce("store", F.lit(False))
+    follow = F.when(store, F.col("is_file") | F.col("is_detail")).when(F.col("is_detail"), F.lit(True)).otherwise(~F.col("is_file"))
+    return l.join(stores, "h", "left").select("row_id", "link", follow.alias("follow"), F.when(store, 3).otherwise(2).alias("ttl"))
+
+
+@query("SELECT o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)) - 1 AS ordinal, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)) % 4 AS proxy FROM orders")
+def ordinal_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordinals among siblings, and their assignment in turn."""
+    r = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    return table(spark, sf_dir, "orders", "o_orderkey", "o_custkey").select("o_orderkey", (r - 1).cast("long").alias("ordinal"), (r % 4).cast("long").alias("proxy"))
+
+
+@query("""
+WITH f AS (SELECT meta_id, unnest(['category', 'genre', 'language']) AS field, unnest([category, genre, language]) AS value FROM meta), c AS (SELECT meta_id, value FROM f WHERE value IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT field) > 1)
+SELECT meta_id, arg_min(value, row(len(value), field)) AS first_value, string_agg(DISTINCT value, ',' ORDER BY value) AS all_values, count(*) AS n_fields FROM f WHERE value IS NOT NULL AND NOT EXISTS (SELECT 1 FROM c WHERE c.meta_id = f.meta_id AND c.value = f.value AND f.field <> 'category') GROUP BY 1
+""")
+def field_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that repeat another field's value go, except category; the rest is joined in order."""
+    fields = ("category", "genre", "language")
+    f = table(spark, sf_dir, "meta", "meta_id", *fields).select("meta_id", F.explode(F.array(*[F.struct(F.lit(x).alias("field"), F.col(x).alias("value")) for x in fields])).alias("x")).select("meta_id", "x.*").where("value IS NOT NULL")
+    n = F.size(F.collect_set("field").over(Window.partitionBy("meta_id", "value")))
+    kept = f.withColumn("n", n).where("n = 1 OR field = 'category'")
+    return kept.groupBy("meta_id").agg(F.min_by("value", F.struct(F.length("value"), "field")).alias("first_value"), F.array_join(F.array_sort(F.collect_set("value")), ",").alias("all_values"), F.count("*").alias("n_fields"))
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT source_id) AS n_sources, count_if(error_type IS NULL) AS n_items, count_if(error_type IS NOT NULL) AS n_errors, max(item_id) + 1 AS next_id FROM torrents_item")
+def crawl_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("error_type")
+    return table(spark, sf_dir, "torrents_item", "item_id", "source_id", "error_type").agg(F.count("*").alias("n_rows"), F.countDistinct("source_id").alias("n_sources"), F.count_if(e.isNull()).alias("n_items"), F.count_if(e.isNotNull()).alias("n_errors"), (F.max("item_id") + 1).alias("next_id"))
+
+
+@query("SELECT info_id, list_sum(list_transform(regexp_extract_all(filesizes, '([0-9]+)', 1), lambda x: CAST(x AS BIGINT)))::BIGINT AS total, len(list_distinct(regexp_extract_all(trackers, '([a-z]+://[^ |;,\"\\]]+)', 1))) AS n_trackers FROM torrent_info WHERE NOT regexp_matches(filesizes, '[0-9],[0-9]')")
+def file_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of the sizes and number of distinct trackers of each file."""
+    i = table(spark, sf_dir, "torrent_info", "info_id", "filesizes", "trackers").where(~F.col("filesizes").rlike("[0-9],[0-9]"))
+    total = F.aggregate(F.regexp_extract_all("filesizes", F.lit("([0-9]+)"), F.lit(1)), F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
+    return i.select("info_id", total.alias("total"), F.size(F.array_distinct(F.regexp_extract_all("trackers", F.lit(r'([a-z]+://[^ |;,"\]]+)'), F.lit(1)))).alias("n_trackers"))
+
+
+# Page trees: the HTML descriptions are the pages.
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = table(spark, sf_dir, "meta", "meta_id", "url", "description", "title", "category")
+    return m.where(F.col("description").rlike(r"(?i)<(?:h[1-6]|p|div|ul|table)[ >]")).select("meta_id", ur.host(F.col("url")).alias("site"), F.col("description").alias("html"))
+
+
+@query()
+def dom_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of all HTML pages, with paths and short paths."""
+    return paths.anchored(dom.nodes(_pages(spark, sf_dir), "meta_id", "html"), "meta_id").drop("attrs")
+
+
+def _induced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    pages = _pages(spark, sf_dir)
+    nodes = checkpoint(dom.nodes(pages, "meta_id", "html"))
+    # The texts to be found: headings as titles, list items and table cells as fields.
+    values = nodes.where(F.col("tag").isin("h2", "h3", "li", "td", "code") & (F.col("text") != "")).groupBy("meta_id", "tag").agg(F.min_by("text", "node_id").alias("value"))
+    field = F.when(F.col("tag").isin("h2", "h3"), "title").when(F.col("tag") == "li", "keyword").when(F.col("tag") == "td", "category").otherwise("sample")
+    known = paths.induce(nodes, "meta_id", values.select("meta_id", field.alias("field"), "value"), "field", "value")
+    sites = pages.select("meta_id", "site")
+    return nodes, sites, known.join(sites, "meta_id")
+
+
+@query()
+def path_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _induced(spark, sf_dir)[2]
+
+
+@query()
+def wrapper_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn each site's paths by vote and apply them to all its pages."""
+    nodes, sites, known = _induced(spark, sf_dir)
+    return paths.extract(nodes, "meta_id", sites, paths.wrapper(known, "site", "field"))
+
+
+@query()
+def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Download links of pages by short path."""
+    return paths.download_paths(dom.nodes(_pages(spark, sf_dir), "meta_id", "html"), "meta_id")
+
+
+@query()
+def record_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of pages with the fields that follow from others filled in."""
+    m = table(spark, sf_dir, "meta", "meta_id", "title", "description", "category", "genre", "quality", "season", "episode")
+    record = m.withColumn("subcategory", F.col("category")).withColumn("category", tx.extract_category(F.col("category"))).withColumn("image", F.lit(None).cast("string"))
+    return paths.cascade(record).drop("description")
+
+
+@query()
+def image_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The image that stands for each page; sizes follow from the address, as files are not fetched."""
+    m = table(spark, sf_dir, "meta", "meta_id", "url", "description").where(F.col("description").contains("src="))
+    i = m.select(F.col("meta_id").alias("page"), ur.host(F.col("url")).alias("site"), F.explode(F.array_distinct(F.regexp_extract_all("description", F.lit('src="([^"]+)"'), F.lit(1)))).alias("src"))
+    w = (F.pmod(F.crc32(F.encode("src", "UTF-8")), F.lit(300)) + 20).cast("int")
+    return paths.chosen_image(i.select("page", "src", w.alias("width"), (w + 10).alias("height"), (ur.host(F.col("src")) != F.col("site")).alias("off_domain")), "page")
+
+
+@query()
+def magnet_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled identifiers read as magnet links."""
+    t = table(spark, sf_dir, "torrent", "row_id", "_id").where(F.col("_id").rlike("(?i)^[^;|,]*xt=urn:btih:[^ ]+&|&xt=urn:btih:"))
+    return metainfo.decode_magnets(t.select("row_id", F.concat(F.lit("magnet:?"), F.lower(F.col("_id"))).alias("uri")), "row_id", "uri").select("row_id", "infohash", "name", "size", "error")
+
+
+@query()
+def metainfo_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metainfo written as bencoded bytes from the table, and read again."""
+    i = table(spark, sf_dir, "torrent_info", "info_id", "filepaths").where("filepaths IS NOT NULL")
+    name = F.encode(F.col("filepaths"), "UTF-8")
+    size = F.length(name)
+    raw = F.concat(F.encode(F.lit("d4:infod6:lengthi"), "UTF-8"), F.encode(size.cast("string"), "UTF-8"), F.encode(F.lit("e4:name"), "UTF-8"), F.encode(size.cast("string"), "UTF-8"), F.encode(F.lit(":"), "UTF-8"), name, F.encode(F.lit("ee"), "UTF-8"))
+    return metainfo.decode_files(i.select("info_id", raw.alias("content")), "info_id").select("info_id", "infohash", "name", "size", "error")
+
+
+@query()
+def base32_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of items' origins in one notation."""
+    t = table(spark, sf_dir, "torrents_item", "item_id", "origins").select("item_id", F.regexp_extract("origins", "7:([A-Z2-7]{32})", 1).alias("digest")).where("digest != ''")
+    return t.select("item_id", "digest", ur.canonical_digest(F.col("digest")).alias("hex"))
+
+
+@query()
+def tracker_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "torrent_info", "info_id", "trackers").where("trackers IS NOT NULL")
+    return t.select("info_id", ur.signed_crc(F.regexp_extract("trackers", "([a-z]+://[^ |;,]+)", 1)).alias("tracker_id"))
+
+
+# Streams over the events.
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+@query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS r FROM events) WHERE r = 1")
+def stream_visited_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drained(views.visited_once(_event_stream(spark, sf_dir), ["event_id"])).select("event_id", "user_id", "event_type")
+
+
+@query("SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, epoch_us(max(ts)) - epoch_us(min(ts)) > 1800000000 AS promoted FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL GROUP BY 1")
+def stream_first_last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    states = drained(views.seen(_event_stream(spark, sf_dir), "user_id"), "update")
+    return states.groupBy("user_id").agg(F.max_by(F.struct("first_seen", "last_seen", "promoted"), "batch").alias("s")).select("user_id", "s.*")
+
+
+@query()
+def stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours that the watermark has passed; the last ones stay open."""
+    return drained(views.hourly_counts(_event_stream(spark, sf_dir), "event_type")).drop("batch")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,17 +34,36 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as ``spark.checkpoint.dir`` names it.
 
     A folder of this machine is taken only where the session names none, as in tests.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), "gleanery-checkpoints"))
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        named = os.path.join(tempfile.gettempdir(), "gleanery-checkpoints")
+        spark.sparkContext.setCheckpointDir(named)
+    return named
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage, in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
+    """Run a stream over all that is there now and read its rows, with the ``batch`` each came in."""
+    spark = stream.sparkSession
+    at = f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{at}/out/batch={n}")
+
+    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    return spark.read.parquet(f"{at}/out")
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Checkpoint ``df`` and mark it for broadcast if it was counted to be within ``limit``.
 
