@@ -76,10 +76,10 @@ def extract(nodes: DataFrame, page: str, site_of: DataFrame, learned: DataFrame,
     return hits.where("value IS NOT NULL AND value != ''").select(page, "field", "value", "votes", "trusted", F.col("short_path").alias("path"))
 
 
-def download_paths(nodes: DataFrame, page: str) -> DataFrame:
+def download_paths(nodes: DataFrame, page: str, pattern: str = DOWNLOAD) -> DataFrame:
     """Short paths of links that look like downloads; the first node where paths repeat."""
     href = F.substring_index(F.col("attrs")["href"], "?", 1)
-    links = anchored(nodes, page).where((F.col("tag") == "a") & href.rlike(DOWNLOAD))
+    links = anchored(nodes, page).where((F.col("tag") == "a") & href.rlike(pattern))
     return links.groupBy(page, F.col("short_path").alias("path")).agg(F.min_by(F.col("attrs")["href"], "node_id").alias("href"))
 
 

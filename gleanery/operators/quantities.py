@@ -139,10 +139,16 @@ def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Join two tables whose ``readings`` state one quantity and choose their readings.
 
     Result: all columns but the readings, with bytes_left, bytes_right, log_residual and
-    unique (false if another choice of readings fits within 1 % as well). Rows of either
+    unique (false if another choice of readings fits within 1 % as well). Columns of these
+    names are replaced; others that both sides have get the suffix ``_right`` on the
+    right. Rows of either
     side without partner or without a size give no row; null keys never match. Repeated
     keys match each with each, as in any join.
     """
+    made = ("bytes_left", "bytes_right", "log_residual", "unique")
+    left, right = left.drop(*made), right.drop(*made)
+    for c in set(left.columns) & set(right.columns) - {key, "readings"}:
+        right = right.withColumnRenamed(c, f"{c}_right")
     # A side whose key repeats a lot is split by the adaptive skew join.
     j = left.withColumnRenamed("readings", "__l").join(right.withColumnRenamed("readings", "__r"), key)
     fits = F.flatten(F.transform("__l", lambda x: F.transform("__r", lambda y: F.abs(F.log(x) - F.log(y)))))

@@ -806,8 +806,9 @@ def wrapper_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Download links of pages by short path."""
-    return paths.download_paths(dom.nodes(_pages(spark, sf_dir), "meta_id", "html"), "meta_id")
+    """Links of pages to numbered items, by short path."""
+    m = table(spark, sf_dir, "meta", "meta_id", "description").where(F.col("description").contains("<a "))
+    return paths.download_paths(dom.nodes(m, "meta_id", "description"), "meta_id", "/[0-9]+$")
 
 
 @query()
