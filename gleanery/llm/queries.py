@@ -128,4 +128,23 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p3_records, p4_found, p4_unmatched, p6_found, p6_clean, p6_wrappers, p8_found, p8_passages, p9_mix, p9_shares, p10_found, p10_share)}
 
-ORACLE_SQL: dict[str, str] = {}
+_CANON = r"""
+v AS (SELECT 'torrent' AS tbl, row_id, _id AS v FROM torrent UNION ALL SELECT 'meta', meta_id, infohash FROM meta),
+s AS (SELECT tbl, row_id, regexp_matches(lower(v), '(?:^|[^\p{L}\p{N}])(?:xt|dn|xl|kt)\s*[=:]') AS labelled, regexp_replace(lower(v), '[^\p{L}\p{N}]', '', 'g') AS bare,
+      string_split(regexp_replace(lower(v), '(^|[^\p{L}\p{N}])(xt|dn|xl|kt)\s*[=:]', chr(1) || '\2=', 'g'), chr(1))[2:] AS parts FROM v WHERE v IS NOT NULL),
+k AS (SELECT tbl, row_id, CASE WHEN labelled THEN array_to_string(list_sort(list_transform(parts, lambda p: substr(p, 1, 3) || regexp_replace(substr(p, 4), '[^\p{L}\p{N}]', '', 'g'))), '|') WHEN regexp_full_match(bare, '[0-9a-f]{40}') THEN bare END AS k FROM s)
+"""
+_SPACE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+_REPEATS = rf"""
+w AS (SELECT doc_id, list_filter(list_transform(string_split_regex(lower(coalesce(text, '')), '{_SPACE}'), lambda x: regexp_replace(x, '[^\p{{L}}\p{{N}}]', '', 'g')), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 5], ' ') AS gram FROM w, unnest(range(1, len(ws) - 4)) t(i)),
+r AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, gram ORDER BY i) AS n FROM g) WHERE n > 1),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, range(0, 6) t(k) GROUP BY 1)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "p3_found": f"WITH {_CANON}, m AS (SELECT tbl, row_id, min(row_id) OVER (PARTITION BY tbl, k) AS keep_id FROM k WHERE k IS NOT NULL) SELECT tbl, keep_id, row_id AS copy_id FROM m WHERE row_id > keep_id",
+    "p3_records": f"WITH {_CANON} SELECT tbl, min(row_id) AS keep_id, count(*) AS copies FROM k WHERE k IS NOT NULL GROUP BY tbl, k",
+    "p10_found": f"WITH {_REPEATS} SELECT doc_id FROM w JOIN c USING (doc_id) WHERE n >= 0.3 * len(ws)",
+    "p10_share": f"WITH {_REPEATS} SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_repeated, coalesce(n, 0) / greatest(len(ws), 1) AS share FROM w LEFT JOIN c USING (doc_id)",
+}
