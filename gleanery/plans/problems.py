@@ -72,4 +72,13 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_instants, p5_found, p5_bytes, p7_found, p7_values)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "p7_found": r"""
+WITH c AS (
+  SELECT 'origins' AS fld, item_id AS row_id, len(regexp_extract_all(origins, '(?:^|[\s|;,"''\[])[0-9]+:[^\s|;,"'']')) AS n FROM torrents_item
+  UNION ALL SELECT 'trackers', info_id, len(regexp_extract_all(trackers, '[A-Za-z][A-Za-z0-9+.\-]*://')) FROM torrent_info
+  UNION ALL SELECT 'filesizes', info_id, CASE WHEN regexp_matches(filesizes, '[0-9],[0-9]') AND NOT regexp_matches(filesizes, '[0-9]{4}') THEN len(regexp_extract_all(filesizes, '[0-9,]*[0-9]')) ELSE len(regexp_extract_all(filesizes, '[0-9]+')) END FROM torrent_info
+  UNION ALL SELECT 'filepaths', info_id, len(regexp_extract_all(filepaths, '\.[A-Za-z0-9]{1,5}"?\s*(?:[|;,\r\n"\]]|///|$)')) FROM torrent_info)
+SELECT fld, row_id, CAST(p AS INTEGER) AS pos FROM c, unnest(range(1, n + 1)) t(p) WHERE n > 1
+""",
+}

@@ -52,6 +52,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Partition by ``columns`` for work that is heavy for its bytes.
+
+    Adaptive execution would join small partitions by their size, and leave a few tasks
+    with all the work.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    asked = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(2 * cores, asked), *columns)
+
+
 def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over all that is there now and read its rows, with the ``batch`` each came in."""
     spark = stream.sparkSession
