@@ -522,14 +522,15 @@ def new_source_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH o AS (SELECT user_id, event_type, arg_max(props, row(ts, event_id)) AS v FROM events WHERE event_id % 2 = 0 GROUP BY 1, 2), n AS (SELECT user_id, event_type, arg_max(props, row(ts, event_id)) AS v FROM events WHERE event_id % 2 = 1 GROUP BY 1, 2)
+WITH o AS (SELECT user_id, event_type, arg_min(props, row(ts, event_id)) AS v FROM events GROUP BY 1, 2), n AS (SELECT user_id, event_type, arg_max(props, row(ts, event_id)) AS v FROM events WHERE value > 0 GROUP BY 1, 2)
 SELECT user_id, event_type, o.v AS old_value, n.v AS new_value FROM o LEFT JOIN n USING (user_id, event_type) WHERE lower(trim(o.v, ' ')) IS DISTINCT FROM lower(trim(n.v, ' '))
 """)
 def snapshot_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest values of one half of the events that the other half lacks or has otherwise."""
-    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
-    latest = lambda k: e.where(F.col("event_id") % 2 == k).groupBy("user_id", "event_type").agg(F.max_by("props", F.struct("ts", "event_id")).alias("v"))
-    return state.mismatches(latest(0), latest(1), ["user_id", "event_type"], "v")
+    """First values of each key that the latest good ones lack or have otherwise."""
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    first = e.groupBy("user_id", "event_type").agg(F.min_by("props", F.struct("ts", "event_id")).alias("v"))
+    latest = e.where("value > 0").groupBy("user_id", "event_type").agg(F.max_by("props", F.struct("ts", "event_id")).alias("v"))
+    return state.mismatches(first, latest, ["user_id", "event_type"], "v")
 
 
 @query("SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS n_seen, floor(epoch(max(ts))) - floor(epoch(min(ts))) > 1800 AS promoted FROM events WHERE ts IS NOT NULL GROUP BY 1")
