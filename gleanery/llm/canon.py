@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.session import checkpoint, small_side
+from gleanery.session import checkpoint, small_side, spread
 
 #: Rows the reference list may have; a longer one is refused rather than broadcast.
 REFERENCE_ROWS = 50_000
@@ -134,11 +134,11 @@ def map_values(values: DataFrame, field: str, value: str, reference: DataFrame,
 
     spark = values.sparkSession
     distinct = values.select(F.col(field).alias("f"), F.col(value).alias("v")).where(F.col("v").isNotNull()).distinct()
-    apart = checkpoint(distinct.mapInPandas(take_apart, "f string, v string, tokens array<string>, whole string"))
+    apart = checkpoint(spread(distinct, "v").mapInPandas(take_apart, "f string, v string, tokens array<string>, whole string"))
     # Values that agree once taken apart are looked at once.
     forms = apart.select("f", "tokens", "whole").distinct()
     units = forms.select("f", F.explode(F.array_distinct(F.concat("tokens", F.array("whole")))).alias("unit")).where("unit != ''").distinct()
-    repaired = checkpoint(units.mapInPandas(repair, "f string, unit string, word string, edits int"))
+    repaired = checkpoint(spread(units, "unit").mapInPandas(repair, "f string, unit string, word string, edits int"))
 
     listed = spark.createDataFrame([(f, t, p, p.split(), p.replace(" ", "")) for f, t, p in phrases], "f string, term long, phrase string, words array<string>, joined string")
     total = listed.groupBy("f").agg(F.count("*").alias("n"))
