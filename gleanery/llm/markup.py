@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.session import checkpoint, small_side
+from gleanery.session import checkpoint, small_side, spread
 
 # Names of HTML elements, bulletin-board tags, and LaTeX commands that take no brace.
 HTML = "a abbr acronym address area article aside audio b base big blockquote body br button caption center cite code col colgroup dd del details dfn dir div dl dt em embed fieldset figcaption figure font footer form frame frameset h1 h2 h3 h4 h5 h6 head header hr html i iframe img input ins kbd label legend li link main map mark menu meta nav noscript object ol optgroup option p param picture pre q ref s samp script section select small source span strike strong style sub summary sup table tbody td template textarea tfoot th thead time title tr track tt u ul var video wbr nowiki"
@@ -394,8 +394,8 @@ def infer(streams: DataFrame, salts: int = 16) -> DataFrame:
 
     kept = "host string, names array<string>, optional array<boolean>, n long"
     salted = streams.withColumn("salt", F.pmod(F.xxhash64("tokens"), F.lit(salts)))
-    parts = salted.groupBy("host", "salt").applyInPandas(part, kept)
-    return parts.groupBy("host").applyInPandas(join, kept)
+    parts = spread(salted, "host", "salt").groupBy("host", "salt").applyInPandas(part, kept)
+    return spread(parts, "host").groupBy("host").applyInPandas(join, kept)
 
 
 def read_streams(df: DataFrame, keys: list[str], host: str, text: str) -> DataFrame:
@@ -431,13 +431,16 @@ def unwrapped(df: DataFrame, keys: list[str], host: str, text: str) -> DataFrame
     rows, found = wrappers(df, keys, host, text)
     # One row for each host; counted before it is broadcast.
     per_host = small_side(found.select("host", "names", "optional"))
-    streams = rows.select("host", "tokens").distinct().join(per_host, "host")
+    marked = rows.where("n_marks > 0")
+    streams = spread(marked.select("host", "tokens").distinct(), "host", "tokens").join(per_host, "host")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fits = [Wrapper(list(zip(n, o)), 1).reads(list(t)) for n, o, t in zip(pdf.names, pdf.optional, pdf.tokens)]
-            slots = [sum(x.strip("()+?") != SLOT for x in t) for t in pdf.tokens]
-            yield pd.DataFrame({"host": pdf.host, "tokens": pdf.tokens, "fits": fits, "outside": slots})
+            outside = [sum(x.strip("()+?") != SLOT for x in t) for t in pdf.tokens]
+            yield pd.DataFrame({"host": pdf.host, "tokens": pdf.tokens, "fits": fits, "outside": outside})
 
     read = streams.mapInPandas(check, "host string, tokens array<string>, fits boolean, outside int")
-    return rows.join(read, ["host", "tokens"]).select(*keys, F.greatest("n_marks", F.when(F.col("fits"), F.col("outside")).otherwise(0)).alias("n_marks"), "fits")
+    seen = marked.join(read, ["host", "tokens"]).select(*keys, F.greatest("n_marks", F.when(F.col("fits"), F.col("outside")).otherwise(0)).alias("n_marks"), "fits")
+    # A text without marks is one slot, or nothing, which every wrapper it went into reads.
+    return seen.unionByName(rows.where("n_marks = 0").select(*keys, "n_marks", F.lit(True).alias("fits")))
