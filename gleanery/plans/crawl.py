@@ -84,14 +84,14 @@ def redirect_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH p AS (SELECT row_id, list_distinct(list_filter(disc, lambda x: contains(x, '.torrent'))) AS f, list_distinct(list_filter(disc, lambda x: NOT contains(x, '.torrent'))) AS o FROM torrent WHERE disc IS NOT NULL)
-SELECT row_id, len(f) = 1 AS is_detail, list_sort(CASE WHEN len(f) = 0 THEN o ELSE list_append(o, list_min(f)) END) AS links FROM p
+SELECT row_id, len(f) = 1 AS is_detail, array_to_string(list_sort(CASE WHEN len(f) = 0 THEN o ELSE list_append(o, list_min(f)) END), ' ') AS links FROM p
 """)
 def single_file_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with exactly one file are detail pages; of several files the first in order is kept."""
     is_file = lambda x: x.contains(".torrent")
     files, others = F.array_distinct(F.filter("disc", is_file)), F.array_distinct(F.filter("disc", lambda x: ~is_file(x)))
     kept = F.when(F.size(files) == 0, others).otherwise(F.concat(others, F.array(F.array_min(files))))
-    return table(spark, sf_dir, "torrent", "row_id", "disc").where("disc IS NOT NULL").select("row_id", (F.size(files) == 1).alias("is_detail"), F.array_sort(kept).alias("links"))
+    return table(spark, sf_dir, "torrent", "row_id", "disc").where("disc IS NOT NULL").select("row_id", (F.size(files) == 1).alias("is_detail"), F.array_join(F.array_sort(kept), " ").alias("links"))
 
 
 @query("SELECT meta_id, CASE WHEN lower(trim(description, ' ')) IS NOT DISTINCT FROM lower(trim(title, ' ')) THEN NULL ELSE description END AS description FROM meta")
@@ -237,12 +237,13 @@ def title_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.groupBy("token").agg(F.count("*").alias("n_rows"), F.countDistinct("meta_id").alias("n_pages")).where("n_pages > 1")
 
 
-@query("SELECT user_id, map_from_entries(list((event_type, n) ORDER BY event_type) FILTER (event_type <> 'click')) AS counts FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1")
+@query("SELECT user_id, string_agg(event_type || '=' || n, ',' ORDER BY event_type) FILTER (event_type <> 'click') AS counts FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1")
 def unset_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters of each user by kind, with one key removed."""
     e = table(spark, sf_dir, "events", "user_id", "event_type").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
     m = e.groupBy("user_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("event_type", "n")))).alias("counts"))
-    return m.select("user_id", F.map_filter("counts", lambda k, v: k != "click").alias("counts"))
+    left = F.map_entries(F.map_filter("counts", lambda k, v: k != "click"))
+    return m.select("user_id", F.nullif(F.array_join(F.array_sort(F.transform(left, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ","), F.lit("")).alias("counts"))
 
 
 def _next_is_description(tokens: Column) -> Column:

@@ -612,11 +612,11 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.upsert(first, new, ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "props")
 
 
-@query("SELECT _id, count_if(NOT coalesce(ok, false)) AS fail_count, list_sort(list(DISTINCT crawler_id) FILTER (crawler_id IS NOT NULL)) AS crawlers FROM torrents_domain WHERE _id IS NOT NULL GROUP BY 1")
+@query("SELECT _id, count_if(NOT coalesce(ok, false)) AS fail_count, array_to_string(list_sort(list(DISTINCT crawler_id) FILTER (crawler_id IS NOT NULL)), ',') AS crawlers FROM torrents_domain WHERE _id IS NOT NULL GROUP BY 1")
 def counters_and_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failures counted and crawlers collected for each site."""
     t = table(spark, sf_dir, "torrents_domain", "_id", "ok", "crawler_id").where("_id IS NOT NULL")
-    sets = state.set_add(t, "_id", "crawler_id").withColumnRenamed("values", "crawlers")
+    sets = state.set_add(t, "_id", "crawler_id").select("_id", F.array_join(F.col("values").cast("array<string>"), ",").alias("crawlers"))
     return t.groupBy("_id").agg(F.count_if(~F.coalesce("ok", F.lit(False))).alias("fail_count")).join(sets, "_id", "left")
 
 
