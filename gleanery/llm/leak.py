@@ -108,13 +108,16 @@ def leaked(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_i
     probe = hits.join(small_side(prefix), "h").where(F.col("m") >= F.col("least") - F.col("wrong")).select("doc", "item").distinct()
     # Bounds on position: enough of the item's shingles near one diagonal.
     near = probe.join(hits, "doc").join(grams, ["item", "h"]).withColumn("band", F.floor((F.col("dpos") - F.col("ipos")) / F.col("n")))
-    near = near.select("doc", "item", "n", "ipos", "shared", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    dense = near.groupBy("doc", "item", "band", "n").agg(F.countDistinct("ipos").alias("got"), F.max((~F.col("shared")).cast("int")).alias("own"))
-    sure = dense.where((F.col("own") == 1) & (F.col("got") >= F.greatest(F.lit(1), F.ceil(F.col("n") * SHARE) - size + 1 - size * F.ceil(F.ceil(F.col("n") * SHARE) * NOISE)))).select("doc", "item").distinct()
+    near = near.select("doc", "item", "n", "ipos", "dpos", "shared", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    dense = near.groupBy("doc", "item", "band", "n").agg(F.countDistinct("ipos").alias("got"), F.max((~F.col("shared")).cast("int")).alias("own"), F.min("dpos").alias("low"), F.max("dpos").alias("high"))
+    sure = dense.where((F.col("own") == 1) & (F.col("got") >= F.greatest(F.lit(1), F.ceil(F.col("n") * SHARE) - size + 1 - size * F.ceil(F.ceil(F.col("n") * SHARE) * NOISE))))
+    # Windows of about the item's size around the shared shingles; two bands may have the same.
+    sure = sure.select("doc", "item", F.greatest(F.col("low") - F.col("n"), F.lit(0)).alias("low"), (F.col("high") + F.col("n") + size).alias("high")).distinct()
     common = grams.where("shared").groupBy("item").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("ipos", F.col("ipos") + size - 1)))).alias("common"))
     # Few documents leak: their ids, counted first, go to the texts and not all texts to the ids.
     sure = small_side(sure)
-    texts = docs.select(F.col(doc_id).alias("doc"), F.col(doc_text).alias("text")).join(sure, "doc").select("doc", "item", plain_words(F.col("text")).alias("dw"))
+    texts = docs.select(F.col(doc_id).alias("doc"), F.col(doc_text).alias("text")).join(sure, "doc").select("doc", "item", "low", "high", plain_words(F.col("text")).alias("dw"))
+    texts = texts.select("doc", "item", F.expr("slice(dw, cast(low + 1 as int), cast(high - low as int))").alias("dw"))
     pairs = texts.join(small_side(its.join(common, "item", "left")), "item")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,4 +126,4 @@ def leaked(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_i
             yield pd.DataFrame({"doc": pdf.doc, "item": pdf["item"], "matched": got})
 
     found = pairs.select("doc", "item", "iw", "dw", "common").mapInPandas(verify, "doc long, item long, matched long").where("matched > 0")
-    return found.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "matched")
+    return found.groupBy(F.col("doc").alias(doc_id), F.col("item").alias(item_id)).agg(F.max("matched").alias("matched"))
