@@ -23,6 +23,9 @@ COUNT = {"thousand": 3, "mil": 3, "mille": 3, "tausend": 3, "million": 6, "milli
 #: Bytes in one of a bare number's unit, by the name a source gives it.
 SOURCE_UNIT = {"B": 1, "KiB": 1024, "MiB": 1024**2, "GiB": 1024**3, "512B": 512}
 
+#: No size reaches this many bytes; longer runs of digits state none.
+MOST = 2.0**80
+
 _BYTE = r"(?:bytes?|octets?|octetos?|octeto|байт(?:а|ов)?|b|o|б)"
 _BIT = r"(?:bits?|бит(?:а|ов)?)"
 _LONG = "|".join(sorted((k for k in PREFIX if len(k) > 1), key=len, reverse=True))
@@ -98,7 +101,7 @@ def parse_size(text: str | None, bare: tuple[float, ...] = (1.0,)) -> list[float
             pos = m.end()
         totals = [t + factor * v for t in totals for v in values][:16]
         factor, sign_ok = 1.0, True
-    return [t for t in dict.fromkeys(totals) if t > 0] if sign_ok else []
+    return [t for t in dict.fromkeys(totals) if 0 < t < MOST] if sign_ok else []
 
 
 def _parse(texts: pd.Series, units: pd.Series) -> pd.Series:
