@@ -24,14 +24,15 @@ SHINGLE, SHARE, NOISE = 5, 1 / 3, 0.1
 #: A shingle of this many items or more, and of this share of all items, is a standing instruction.
 SHARED_ITEMS, SHARED_SHARE = 3, 0.02
 
-_TAG = r"(?s)<!--.*?-->|</?[A-Za-z][^<>]{0,300}>|&(?:[A-Za-z]{2,10}|#[0-9]{1,6});|\[/?[A-Za-z]{1,8}(?:=[^\]]{0,60})?\]|\\[A-Za-z]+\*?|\]\([^)\s]{0,300}\)"
+# Both begin with a look at one character, which is all that most places need.
+_TAG = r"(?s)(?=[<&\[\]\\])(?:<!--.*?-->|</?[A-Za-z][^<>]{0,300}>|&(?:[A-Za-z]{2,10}|#[0-9]{1,6});|\[/?[A-Za-z]{1,8}(?:=[^\]]{0,60})?\]|\\[A-Za-z]+\*?|\]\([^)\s]{0,300}\))"
 
 
 def plain_words(text: Column) -> Column:
     """Words of a text without letter case, punctuation, spacing and markup."""
     bare = F.regexp_replace(F.lower(text), _TAG, " ")
     # Signs inside a word (emphasis, apostrophes) vanish, those between words part them.
-    joined = F.regexp_replace(bare, r"(?<=[\p{L}\p{N}])['’*_~`^{}]+(?=[\p{L}\p{N}])", "")
+    joined = F.regexp_replace(bare, r"(?=['’*_~`^{}])(?<=[\p{L}\p{N}])['’*_~`^{}]+(?=[\p{L}\p{N}])", "")
     return F.regexp_extract_all(joined, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
