@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +30,27 @@ def local_session(cores: str = "8", name: str = "gleanery") -> SparkSession:
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers, wherever they run and whatever their path.
+
+    Spark serves the archive from the driver, as it does with ``--py-files``.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_has_gleanery", False):
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    if root.is_dir():  # else it runs from an archive that was given along already
+        archive = os.path.join(tempfile.mkdtemp(prefix="gleanery-"), "gleanery.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        context.addPyFile(archive)
+    context._has_gleanery = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Scan one table; naming the columns keeps the read schema narrow."""
+    ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
@@ -66,6 +87,7 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
 def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over all that is there now and read its rows, with the ``batch`` each came in."""
     spark = stream.sparkSession
+    ship(spark)
     at = f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
 
     def write(batch: DataFrame, n: int) -> None:
