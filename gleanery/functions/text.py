@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanery.functions import lexicon as lx
 
@@ -191,3 +195,13 @@ def strip_tags(html: Column) -> Column:
     for entity, to in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):  # the ampersand last
         s = F.replace(s, F.lit(entity), F.lit(to))
     return s
+
+
+@F.pandas_udf(T.StringType())
+def _unescape(s: pd.Series) -> pd.Series:
+    return s.map(html.unescape, na_action="ignore")
+
+
+def unescaped(s: Column) -> Column:
+    """HTML entities resolved; texts without an ampersand, the bulk, never leave the JVM."""
+    return F.when(s.contains("&"), _unescape(F.when(s.contains("&"), s))).otherwise(s)

@@ -246,6 +246,25 @@ def unset_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("user_id", F.nullif(F.array_join(F.array_sort(F.transform(left, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ","), F.lit("")).alias("counts"))
 
 
+@query(r"""
+SELECT info_id, regexp_full_match(infohash, '[0-9a-fA-F]{40}|[A-Za-z2-7]{32}') AS is_digest, regexp_full_match(infohash, '[A-Za-z2-7]*') AS is_base32, len(regexp_replace(infohash, '[^0-9_]', '', 'g')) > 3 AS is_ugly,
+       'http://img.test/' || infohash || '.png' AS image, '//img.test/' || infohash || '.png' AS reference FROM torrent_info WHERE infohash IS NOT NULL
+""")
+def id_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of identifiers, and image addresses made absolute."""
+    h = F.col("infohash")
+    ref = F.concat(F.lit("//img.test/"), h, F.lit(".png"))
+    i = table(spark, sf_dir, "torrent_info", "info_id", "infohash").where(h.isNotNull())
+    return i.select("info_id", ur.is_digest(h).alias("is_digest"), ur.is_base32(h).alias("is_base32"), ur.is_ugly_id(h).alias("is_ugly"), ur.absolute_image(ref, F.lit("http://img.test")).alias("image"), ref.alias("reference"))
+
+
+@query()
+def unescaped_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions with entities resolved; SQL lacks the table of their names."""
+    d = table(spark, sf_dir, "meta", "meta_id", "description").where("description IS NOT NULL")
+    return d.select("meta_id", tx.unescaped(F.col("description")).alias("plain"))
+
+
 def _next_is_description(tokens: Column) -> Column:
     """The token accepted as description: the first acceptable one, of shorter ones too right after a token that announces it.
 

@@ -34,6 +34,11 @@ def test_text_functions(spark):
     assert one(spark, tx.tags_of(F.lit("Television Series"))) == "moving,episodic"
 
 
+def test_unescaping(spark):
+    df = spark.createDataFrame([("a &eacute; &#233; &amp;lt;",), ("plain",), (None,)], "s string")
+    assert [r.x for r in df.select(tx.unescaped(F.col("s")).alias("x")).collect()] == ["a é é &lt;", "plain", None]
+
+
 def test_url_functions(spark):
     u = F.lit("http://www.a.b.test:80/x/y.html?q#f")
     assert one(spark, ur.host(u)) == "a.b.test" and one(spark, ur.registered_domain(u)) == "b.test"
