@@ -370,11 +370,15 @@ class Wrapper:
         return " ".join(f"{t}?" if o else t for t, o in self.nodes)
 
 
-def infer(streams: DataFrame, salts: int = 16) -> DataFrame:
+#: Distinct streams of one host that a task folds.
+STREAMS = 2000
+
+
+def infer(streams: DataFrame, most: int = STREAMS) -> DataFrame:
     """host, wrapper and n_rows from distinct folded streams (columns host, tokens, n).
 
-    A host's streams are folded in two steps, over salted parts and over the parts'
-    results, so that no task holds all streams of a large host.
+    A host's streams are folded in two steps, over parts of at most about ``most`` of them
+    and over the parts' results, so that no task holds all streams of a large host.
     """
 
     def part(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -393,7 +397,8 @@ def infer(streams: DataFrame, salts: int = 16) -> DataFrame:
         return pd.DataFrame({"host": pdf.host.iloc[:1], "names": [[t for t, _ in whole.nodes]], "optional": [[o for _, o in whole.nodes]], "n": [whole.rows]})
 
     kept = "host string, names array<string>, optional array<boolean>, n long"
-    salted = streams.withColumn("salt", F.pmod(F.xxhash64("tokens"), F.lit(salts)))
+    per_host = small_side(streams.groupBy("host").agg(F.ceil(F.count("*") / most).alias("ways")))
+    salted = streams.join(per_host, "host").withColumn("salt", F.pmod(F.xxhash64("tokens"), F.col("ways"))).drop("ways")
     parts = spread(salted, "host", "salt").groupBy("host", "salt").applyInPandas(part, kept)
     return spread(parts, "host").groupBy("host").applyInPandas(join, kept)
 
