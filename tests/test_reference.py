@@ -194,8 +194,17 @@ def test_every_query_agrees_with_its_sql(spark):
 
 def test_queries_without_sql_run(spark):
     import __spark_entry__ as entry
+    from gleanery.plans import crawl, problems, reference
 
-    for name in set(entry.queries()) - set(entry.oracle_sql()):
-        if not name.startswith("p"):
+    for plans in (reference, crawl, problems):
+        for name in set(plans.QUERIES) - set(plans.ORACLE_SQL):
             assert entry.queries()[name](spark, DATA).count() >= 0, name
     assert entry.entry(spark).count() > 0
+
+
+def test_found_queries_give_each_row_once(spark):
+    from gleanery.plans.problems import QUERIES
+
+    for name, columns in {"p2_found": ["tbl", "key_a", "key_b"], "p5_found": ["item_id", "meta_id"], "p7_found": ["fld", "row_id", "pos"]}.items():
+        df = QUERIES[name](spark, DATA)
+        assert df.columns == columns and df.count() == df.distinct().count() > 0
