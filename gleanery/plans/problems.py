@@ -13,6 +13,7 @@ from gleanery.session import table
 
 def _instants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tbl, grp, row_id, utc_second of all three columns of times."""
+    # A fixed table of some twenty rows.
     zones = F.broadcast(table(spark, sf_dir, "crawlers", "crawler_id", "tz_name").dropDuplicates(["crawler_id"]))
     item = table(spark, sf_dir, "torrents_item", "item_id", "fid", "source_id").select(
         F.lit("torrents_item").alias("tbl"), F.col("source_id").cast("string").alias("grp"), F.col("item_id").alias("row_id"),
@@ -35,6 +36,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _item_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A fixed table of 400 rows.
     units = F.broadcast(table(spark, sf_dir, "sources", F.col("_id").alias("source_id"), "size_unit").dropDuplicates(["source_id"]))
     items = table(spark, sf_dir, "torrents_item", "item_id", "size", "source_id").where(F.col("size").isNotNull()).join(units, "source_id", "left")
     return items.select("item_id", size_readings(F.col("size"), F.coalesce("size_unit", F.lit("?"))).alias("readings"))
