@@ -4,11 +4,10 @@ A text is read into a stream of marks (HTML, bulletin-board, wiki, Markdown, LaT
 stretches of text. The streams of one host are folded into a union-free regular
 expression: repeats next to each other become repeated groups, streams are aligned on
 their common marks, what only some of them have becomes optional, and text becomes slots.
-A row is then read through the wrapper of its host: what falls into slots is its text,
-everything else is markup.
-
 Whether a sign marks something up at all is a matter of grammar and not of alignment
-("a < b", "[74]", "C#" align as well as tags do), so the reader of the streams decides it.
+("a < b", "[74]", "C#" align as well as tags do), so the reader of the streams decides it:
+which rows hold marks, and their clean text, follow from it alone. A wrapper says how the
+marks of its host are arranged, and whether it reads a row.
 """
 
 from __future__ import annotations
@@ -431,7 +430,7 @@ def wrappers(df: DataFrame, keys: list[str], host: str, text: str) -> tuple[Data
 def unwrapped(df: DataFrame, keys: list[str], host: str, text: str) -> DataFrame:
     """keys, n_marks and fits (whether the wrapper of the host reads the text) of every text.
 
-    ``n_marks`` counts what falls outside the slots of the wrapper.
+    ``n_marks`` counts the marks that the grammar finds; the wrapper never takes one away.
     """
     rows, found = wrappers(df, keys, host, text)
     # One row for each host; counted before it is broadcast.
