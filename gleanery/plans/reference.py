@@ -15,6 +15,7 @@ from gleanery.functions import lexicon as lx
 from gleanery.functions import text as tx
 from gleanery.functions import urls as ur
 from gleanery.operators import matching, paths, state, votes
+from gleanery.operators.packed import split_packed
 from gleanery.session import checkpoint, drained, table
 from gleanery.sources import dom, metainfo
 from gleanery.streaming import views
@@ -762,12 +763,31 @@ def crawl_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT info_id, list_sum(list_transform(regexp_extract_all(filesizes, '([0-9]+)', 1), lambda x: CAST(x AS BIGINT)))::BIGINT AS total, len(list_distinct(regexp_extract_all(trackers, '([a-z]+://[^ |;,\"\\]]+)', 1))) AS n_trackers FROM torrent_info WHERE NOT regexp_matches(filesizes, '[0-9],[0-9]')")
 def file_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sum of the sizes and number of distinct trackers of each file."""
+    """Sum of the sizes and number of distinct trackers of each file without a comma between two digits of its sizes, as its SQL has it; packed_file_totals has all."""
     i = table(spark, sf_dir, "torrent_info", "info_id", "filesizes", "trackers").where(~F.col("filesizes").rlike("[0-9],[0-9]"))
     total = F.aggregate(F.regexp_extract_all("filesizes", F.lit("([0-9]+)"), F.lit(1)), F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
     return i.select("info_id", total.alias("total"), F.size(F.array_distinct(F.regexp_extract_all("trackers", F.lit(r'([a-z]+://[^ |;,"\]]+)'), F.lit(1)))).alias("n_trackers"))
 
 
+def totals(info: DataFrame) -> DataFrame:
+    """info_id, total and n_trackers of every row of ``info``; null where filesizes or trackers is null.
+
+    Sizes and trackers are those that the packed fields split into, so a comma may part
+    sizes or group the thousands of one.
+    """
+    values = split_packed(info, {"filesizes": ("info_id", "number"), "trackers": ("info_id", "address")})
+    size = F.when(F.col("fld") == "filesizes", F.regexp_replace("value", "[^0-9]", "").cast("long"))
+    sums = values.groupBy(F.col("row_id").alias("info_id")).agg(F.sum(size).alias("total"), F.countDistinct(F.when(F.col("fld") == "trackers", F.col("value"))).alias("n_trackers"))
+    stated = lambda field, n: F.when(F.col(field).isNotNull(), F.coalesce(F.col(n), F.lit(0))).alias(n)
+    return info.select("info_id", "filesizes", "trackers").join(sums, "info_id", "left").select("info_id", stated("filesizes", "total"), stated("trackers", "n_trackers"))
+
+
+@query()
+def packed_file_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of the sizes and number of distinct trackers of every file, whatever its lists are packed with."""
+    return totals(table(spark, sf_dir, "torrent_info", "info_id", "filesizes", "trackers"))
+
+
 # Page trees: the HTML descriptions are the pages.
 
 

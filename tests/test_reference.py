@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gleanery.functions import text as tx
 from gleanery.functions import urls as ur
 from gleanery.operators import matching, paths, state, votes
+from gleanery.plans import reference
 from gleanery.sources import dom, files, images, metainfo
 
 DATA = "/root/testdata/sf0.001"
@@ -67,6 +68,14 @@ def test_prefix_and_suffix_hold_for_all(spark):
     assert (r.prefix, r.suffix) == ("http://a.test/t/", ".html")
 
 
+def test_totals_of_packed_files(spark):
+    rows = [(1, "8962853848,3378274919", "udp://a:1/x,1 udp://a:1/x,1"), (2, "4,406,997,494; 690,511,773", "udp://a:1\nhttp://b/;v=2"), (3, '"250,541,845","1,816,700"', None), (4, "12 34|56", ""), (5, "276521243,,7", "udp://a:1"), (6, None, "udp://a:1"), (7, " ;; ", "udp://a:1")]
+    df = spark.createDataFrame(rows, "info_id long, filesizes string, trackers string")
+    got = {r.info_id: (r.total, r.n_trackers) for r in reference.totals(df).collect()}
+    assert got == {1: (12341128767, 1), 2: (5097509267, 2), 3: (252358545, None), 4: (102, 0), 5: (276521250, 1), 6: (None, 1), 7: (0, 1)}
+    assert reference.totals(df.limit(0)).count() == 0
+
+
 def test_template(spark):
     pages = [(1, ["size", "12", "end"]), (2, ["size", "13", "end"]), (3, ["size", "14"]), (4, ["size", "12", "end", "more"])]
     df = spark.createDataFrame([("s", k, t) for k, t in pages], "site string, page long, tokens array<string>")
