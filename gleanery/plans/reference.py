@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gleanery.functions import lexicon as lx
 from gleanery.functions import text as tx
 from gleanery.functions import urls as ur
-from gleanery.operators import matching, paths, state, votes
+from gleanery.operators import matching, paths, quantities, state, votes
 from gleanery.operators.packed import split_packed
 from gleanery.session import checkpoint, drained, table
 from gleanery.sources import dom, metainfo
@@ -487,12 +487,34 @@ WITH j AS (SELECT m.meta_id, i.info_id, m.infohash AS a, i.infohash AS b, list_f
 SELECT meta_id, info_id, coalesce(lower(a) = lower(b), true) AND coalesce(len(list_filter(w, lambda x: contains(d, x))) >= ceil(len(w) / 2), true) AS same_item FROM j
 """)
 def page_file_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether a page and a file of one item agree in digest and title, as far as both state them."""
+    """Whether a page and a file of one item agree in digest and title, as far as both state them, as its SQL has it; sized_page_file_agreement compares sizes too."""
     m, i = table(spark, sf_dir, "meta", "item_id", "meta_id", F.col("infohash").alias("a"), "title"), table(spark, sf_dir, "torrent_info", "item_id", "info_id", F.col("infohash").alias("b"), "filedir")
     none = F.lit(None).cast("double")
     return m.join(i, "item_id").select("meta_id", "info_id", matching.same_item(none, none, F.col("a"), F.col("b"), F.col("title"), F.col("filedir")).alias("same_item"))
 
 
+def agreement(pages: DataFrame, info: DataFrame) -> DataFrame:
+    """meta_id, info_id and same_item: whether a page and a file of one item agree in size, digest and title, as far as both state them.
+
+    A file's size is the sum of its sizes; of what the page's size can mean, the nearest counts.
+    """
+    m = pages.select("item_id", "meta_id", F.col("infohash").alias("a"), "title", quantities.size_readings(F.col("size"), F.lit("B")).alias("readings"))
+    # A file of no bytes states no size.
+    total = totals(info).select("info_id", F.when(F.col("total") > 0, F.col("total").cast("double")).alias("total"))
+    i = info.select("item_id", "info_id", F.col("infohash").alias("b"), "filedir").where("item_id IS NOT NULL").join(total, "info_id")
+    size = F.when(F.col("total").isNotNull(), quantities.residual(F.col("readings"), F.array("total"))["a"])
+    # same_item takes a missing second title for one that holds no word.
+    title = F.when(F.col("filedir").isNotNull(), F.col("title"))
+    return m.join(i, "item_id").select("meta_id", "info_id", matching.same_item(size, F.col("total"), F.col("a"), F.col("b"), title, F.col("filedir")).alias("same_item"))
+
+
+@query()
+def sized_page_file_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a page and a file of one item agree in size, digest and title, as far as both state them."""
+    m = table(spark, sf_dir, "meta", "item_id", "meta_id", "infohash", "title", "size").where("item_id IS NOT NULL")
+    return agreement(m, table(spark, sf_dir, "torrent_info", "item_id", "info_id", "infohash", "filedir", "filesizes", "trackers"))
+
+
 @query("SELECT m.meta_id, i.info_id FROM meta m JOIN torrent_info i ON lower(m.infohash) = lower(i.infohash)")
 def digest_equality_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     m, i = table(spark, sf_dir, "meta", "meta_id", F.lower("infohash").alias("h")), table(spark, sf_dir, "torrent_info", "info_id", F.lower("infohash").alias("h"))

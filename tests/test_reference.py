@@ -76,6 +76,17 @@ def test_totals_of_packed_files(spark):
     assert reference.totals(df.limit(0)).count() == 0
 
 
+def test_pages_and_files_of_other_sizes_are_not_the_same(spark):
+    sizes = [(1, "1000"), (2, "1009"), (3, "1011"), (4, "1.5 KB"), (5, None), (6, "?? MB"), (7, "1.000")]
+    pages = spark.createDataFrame([(9, k, "AB", "red fox", size) for k, size in sizes], "item_id long, meta_id long, infohash string, title string, size string")
+    info = spark.createDataFrame([(9, 1, "ab", "Red Fox", "600|400", None), (9, 2, "ab", None, "100000,900000", None), (9, 3, None, None, None, None), (9, 4, "ab", "x", "1000", None), (9, 5, "cd", None, "1000", None), (9, 6, "ab", None, "0", None), (None, 7, "ab", None, "1000", None)], "item_id long, info_id long, infohash string, filedir string, filesizes string, trackers string")
+    got = {(r.meta_id, r.info_id): r.same_item for r in reference.agreement(pages, info).collect()}
+    assert len(got) == 42
+    assert [k for k, _ in sizes if got[k, 4] or got[k, 5]] == []
+    assert [k for k, _ in sizes if got[k, 3]] == [k for k, _ in sizes if got[k, 6]] == [1, 2, 3, 4, 5, 6, 7]
+    assert [k for k, _ in sizes if got[k, 2]] == [5, 6] and [k for k, _ in sizes if got[k, 1]] == [1, 2, 5, 6, 7]
+
+
 def test_template(spark):
     pages = [(1, ["size", "12", "end"]), (2, ["size", "13", "end"]), (3, ["size", "14"]), (4, ["size", "12", "end", "more"])]
     df = spark.createDataFrame([("s", k, t) for k, t in pages], "site string, page long, tokens array<string>")
