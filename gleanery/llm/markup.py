@@ -1,21 +1,28 @@
 """Markup residue: token streams, wrappers inferred from the streams of a host, clean text.
 
-A text is read into a stream of marks (HTML, bulletin-board, wiki, Markdown, LaTeX) and
-stretches of text. The streams of one host are folded into a union-free regular
-expression: repeats next to each other become repeated groups, streams are aligned on
-their common marks, what only some of them have becomes optional, and text becomes slots.
-Whether a sign marks something up at all is a matter of grammar and not of alignment
-("a < b", "[74]", "C#" align as well as tags do), so the reader of the streams decides it:
-which rows hold marks, and their clean text, follow from it alone. A wrapper says how the
-marks of its host are arranged, and whether it reads a row.
+A text is read into a stream of tokens and stretches of text. The streams of one host are
+folded into a union-free regular expression, the host's wrapper: repeats next to each
+other become repeated groups, streams are aligned on their common tokens, a token or group
+that only some of them have becomes optional, and text becomes slots.
+
+The wrapper decides which tokens are marks. Some are complete in themselves (an HTML
+element of the standard, an entity, a link, a LaTeX command with its argument): their node
+is a mark in any wrapper. Others only look like marks: bulletin-board tags of whatever name
+("[b]", "[A]"), elements of unknown name, numbers that begin a line. Their node is a mark
+if the wrapper supports it, by the node that closes what it opens, or by a repeated group
+that it begins; else it is part of a slot. Each text is read through the wrapper of its
+host, and what lands on a mark counts for ``unwrapped`` and goes out in ``clean``; what
+lands in a slot stays.
 """
 
 from __future__ import annotations
 
 import html
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -30,8 +37,8 @@ BARE_COMMANDS = "item hline centering maketitle it bf em tt sc rm sl small large
 
 #: Skeleton of a text without any mark.
 SLOT = "#"
-#: A stream this long, or a wrapper, is cut into this many tokens by folding repeats first.
-_GROUP = 24
+#: Streams of a host are folded in this many parts, by hash, before the parts are.
+PARTS = 16
 
 
 def _names(words: str) -> str:
@@ -48,9 +55,9 @@ _MARKS = [
     ("verbatim", r"\\begin\{(?P<ve>verbatim|lstlisting|minted)\}.*?(?:\\end\{(?P=ve)\}|\Z)|\\verb(?P<vd>[|!+]).*?(?P=vd)"),
     ("env", r"\\(?:begin|end)\{[A-Za-z]+\*?\}(?:\[[^\]\n]*\])?"),
     ("command", rf"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?(?=\{{)|\{{\\(?:{_names(BARE_COMMANDS)})\b|\\(?:{_names(BARE_COMMANDS)})(?![A-Za-z\\])|\\[%&_$\#{{}}](?=\s|\w)|\\\\(?=\s*\n)"),
-    ("board", rf"\[/?(?P<bb>{_names(BOARD)})(?:=[^\[\]\n]*)?\]"),
-    ("template", r"\{\{[^{}\n]{0,500}\}\}|^\{\|.*?^\|\}"),
-    ("wikilink", r"\[\[[^\[\]\n]{1,300}\]\]|\[(?:https?|ftp)://[^\s\]]+(?:\s[^\]\n]*)?\]"),
+    ("board", rf"\[/?(?P<bb>{_names(BOARD)})(?:=[^\[\]\n]*)?\]|\[/?(?P<bb>[A-Za-z][A-Za-z0-9]*)(?:=[^\[\]\n]*)?\](?![(\[])"),
+    ("template", r"\{\{[^{}\n]*\}\}|^\{\|.*?^\|\}"),
+    ("wikilink", r"\[\[[^\[\]\n]+\]\]|\[(?:https?|ftp)://[^\s\]]+(?:\s[^\]\n]*)?\]"),
     ("quotes", r"'''''(?=\S).+?'''''|'''(?=\S).+?'''|''(?=\S).+?(?<=\S)''(?!')"),
     ("wikihead", r"^[ ]{0,3}(?P<wh>={2,6})[ ]*[^=\s\n][^=\n]*?[ ]*(?P=wh)[ ]*$"),
     ("image", r"!\[[^\]\n]*\]\([^()\n]*\)"),
@@ -62,30 +69,21 @@ _MARKS = [
     ("row", r"^[ ]*\|[^\n|]*\|[^\n]*\|?[ ]*$"),
     ("quote", r"^[ ]{0,3}>+[ ]+(?=\S)"),
     ("bullet", r"^[ ]{0,6}[*+\-][ ]+(?=\S)|^\#[ ]+(?=\S)|^[*\#:;]{2,}[ ]+(?=\S)"),
-    ("number", r"^[ ]{0,3}[0-9]{1,3}[.)][ ]+(?=\S)(?=[^\n]*\n[ ]{0,3}[0-9]{1,3}[.)][ ])|(?<=\n)[ ]{0,3}[0-9]{1,3}[.)][ ]+(?=\S)"),
+    ("number", r"^[ ]{0,3}[0-9]{1,3}[.)][ ]+(?=\S)"),
     ("code", r"(?<![`\\])(?P<bt>`{1,2})(?!`)[^`\n]+?(?<!`)(?P=bt)(?!`)"),
     ("strong", r"(?<![*\\\w])\*{2,3}(?=[^\s*])[^\n]*?(?<=[^\s*])\*{2,3}(?![*\w])|(?<![_\\\w])__(?=[^\s_])[^\n]*?(?<=[^\s_])__(?![_\w])"),
     ("strike", r"(?<!~)~~(?=[^\s~])[^\n]*?(?<=[^\s~])~~(?!~)"),
     ("emphasis", r"(?<![*\\\w])\*(?=[^\s*])[^*\n]*?(?<=[^\s*])\*(?![*\w])|(?<![_\\\w/])_(?=[^\s_])[^_\n]*?(?<=[^\s_])_(?![_\w])"),
+    ("element", r"</?(?P<el>[A-Za-z][A-Za-z0-9_\-]*)(?:\s+[A-Za-z_\-]+\s*=[^<>]*|\s*/)?>"),
 ]
 #: No mark begins with a letter, or with a space or digit within a line.
 _BEGIN = r"(?=[<&`~$\\\[{'=!\n\-*_#>|:;+]|(?:(?<=\n)|\A)[ 0-9])"
 _LEXER = regex.compile(_BEGIN + "(?:" + "|".join(f"(?P<k_{k}>{p})" for k, p in _MARKS) + ")", regex.M | regex.S | regex.I)
-_WORTH = r"[<&\[\]*_#=\\`~|$'{]|\n *[-+>] |^ *[-+>] |\n *[-0-9]"
+_WORTH = r"[<&\[\]*_#=\\`~|$'{]|\n *[-+>] |^ *[-+>] |\n *[-0-9]|^ {0,3}[0-9]{1,3}[.)] "
 
 
-def _case_fits(kind: str, m: regex.Match) -> bool:
-    """Whether a match that ignores case is markup: "[A]" and "[I]" are remarks, "[B]x[/B]" is not."""
-    if kind == "board":
-        name = m["bb"]
-        if len(name) == 1 and name.isupper():
-            return f"[/{name}]" in m.string
-        if name == "*" and not regex.search(r"(?i)\[/?list|\[\*\].*\[\*\]", m.string):
-            return False
-    if kind == "number":  # one numbered line is no list
-        number = r"[ ]{0,3}[0-9]{1,3}[.)][ ]"
-        before, after = m.string[: m.start()].rstrip("\n").rpartition("\n")[2], m.string[m.end() :].partition("\n")[2]
-        return bool(regex.match(number, before) or regex.match(number, after))
+def _well_formed(kind: str, m: regex.Match) -> bool:
+    """Whether a match is a token at all: an entity has a name, "<a b and c>" is no element."""
     if kind == "entity":
         return m["ent"][0] == "#" or f"{m['ent']};" in html.entities.html5 or f"{m['ent'].lower()};" in html.entities.html5
     if kind == "tag" and m["tag"] and len(m["tag"]) == 1 and m[0].startswith("<") and " " in m[0] and "=" not in m[0]:
@@ -93,12 +91,12 @@ def _case_fits(kind: str, m: regex.Match) -> bool:
     return True
 
 
-def marks(text: str) -> list[tuple[str, regex.Match]]:
-    """All marks of a text in order, as kind and match."""
+def signs(text: str) -> list[tuple[str, regex.Match]]:
+    """All that is or looks like a mark in a text, in order, as kind and match."""
     out, at = [], 0
     while m := _LEXER.search(text, at):
         kind = m.lastgroup if m.lastgroup and m.lastgroup.startswith("k_") else next(g for g, v in m.groupdict().items() if g.startswith("k_") and v is not None)
-        if _case_fits(kind[2:], m):
+        if _well_formed(kind[2:], m):
             out.append((kind[2:], m))
             at = m.end() if m.end() > m.start() else m.end() + 1
         else:
@@ -107,59 +105,125 @@ def marks(text: str) -> list[tuple[str, regex.Match]]:
 
 
 def _token(kind: str, m: regex.Match) -> str:
-    if kind == "tag":
-        return "<" + ("/" if m[0].startswith("</") else "") + (m["tag"] or "tag").lower() + ">"
+    if kind in ("tag", "element"):
+        return "<" + ("/" if m[0].startswith("</") else "") + (m["tag"] or m["el"] or "tag").lower() + ">"
     if kind == "board":
-        return "[" + ("/" if m[0].startswith("[/") else "") + m["bb"].lower() + "]"
+        name = m["bb"] if len(m["bb"]) == 1 else m["bb"].lower()  # "[B]" may be a remark where "[b]" is none
+        return "[" + ("/" if m[0].startswith("[/") else "") + name + "]"
     if kind == "entity":
         return SLOT  # part of the text
     if kind in ("env", "command"):
-        return regex.sub(r"\[[^\]]*\]", "", m[0])
+        return regex.sub(r"\[[^\]]*\]|\s", "", m[0])
     return f"{{{kind}}}"
 
 
+def marks(text: str) -> list[tuple[str, regex.Match]]:
+    """The marks of a text that is its own only witness, as if its host had one page."""
+    return [x for x, k in zip(signs(text), Wrapper.of([text]).kept(text)) if k]
+
+
+_COMPLETE = frozenset(HTML.split()) | {"tag"}
+#: Boards' tags that close nothing and are closed by none.
+_ALONE = ("[hr]", "[br]")
+
+
+def looks_only(token: str) -> bool:
+    """Whether a token only looks like a mark, so that the wrapper has to support it."""
+    return token[0] == "[" and token not in _ALONE or token == "{number}" or token[0] == "<" and token.strip("</>") not in _COMPLETE
+
+
+def opened(text: str) -> str:
+    """The text with markup that was escaped, however often, put back.
+
+    >>> opened("&amp;lt;b&amp;gt;"), opened("a &lt; b")
+    ('<b>', 'a &lt; b')
+    """
+    while _ESCAPED.search(text) and (once := html.unescape(text)) != text:
+        text = once
+    return text
+
+
 def stream(text: str | None) -> tuple[list[str], int]:
-    """Tokens of a text, with text folded into slots, and the number of its marks.
+    """Folded tokens of a text, with text as slots, and the number of its marks that need no support.
 
-    >>> stream("<p>One <b>two</b></p>")
-    (['<p>', '#', '<b>', '#', '</b>', '</p>'], 4)
+    >>> stream("<p>One <b>two</b> [A]</p>")
+    (['<p>', '#', '<b>', '#', '</b>', '[A]', '</p>'], 4)
     """
     if not text or text.isspace():
         return [], 0
-    found, tokens, at = marks(text), [], 0
-    for kind, m in found:
+    plain = opened(text)
+    tokens, places = _read(plain)
+    sure = sum(t == SLOT or not looks_only(t) for t in (tokens[k] for k in places)) + (plain != text)
+    return fold(tokens), sure
+
+
+def _read(text: str) -> tuple[list[str], list[int]]:
+    """Unfolded tokens of an opened text, and for each of its ``signs`` the place of its token."""
+    tokens, places, at = [], [], 0
+    for kind, m in signs(text):
         if text[at : m.start()].strip() and tokens[-1:] != [SLOT]:
             tokens.append(SLOT)
         t = _token(kind, m)
         if not (t == SLOT and tokens[-1:] == [SLOT]):
             tokens.append(t)
+        places.append(len(tokens) - 1)
         at = m.end()
     if text[at:].strip() and tokens[-1:] != [SLOT]:
         tokens.append(SLOT)
-    return fold(tokens), len(found)
+    return tokens, places
+
 
+def inner(name: str) -> list[str]:
+    """The plain tokens of a folded one.
 
-def fold(tokens: Sequence[str], longest: int = _GROUP) -> list[str]:
+    >>> inner("((<td> # </td>)+ </tr>)+")
+    ['<td>', '#', '</td>', '</tr>']
+    """
+    return name.replace(")+", "").replace("(", "").split(" ")
+
+
+def _runs(codes: np.ndarray, size: int) -> bool:
+    """Whether any run of ``size`` codes is followed by itself."""
+    same = np.flatnonzero(codes[size:] != codes[:-size])
+    edges = np.concatenate(([-1], same, [len(codes) - size]))
+    return bool((np.diff(edges) > size).any())
+
+
+def fold(tokens: Sequence[str]) -> list[str]:
     """Repeats next to each other as one repeated group, shortest groups first.
 
     >>> fold(["<ul>", "<li>", "#", "<li>", "#", "</ul>"])
     ['<ul>', '(<li> #)+', '</ul>']
     """
-    out = list(tokens)
+    return [name for name, _ in fold_places(tokens)]
+
+
+def fold_places(tokens: Sequence[str]) -> list[tuple[str, list[list[int]]]]:
+    """As ``fold``, and for each plain token of a folded one the places it had in ``tokens``.
+
+    >>> fold_places(["<li>", "#", "<li>", "#", "</ul>"])
+    [('(<li> #)+', [[0, 2], [1, 3]]), ('</ul>', [[4]])]
+    """
+    out = [(t, [[k]]) for k, t in enumerate(tokens)]
     size = 1
-    while size <= min(longest, len(out) // 2):
+    while size <= len(out) // 2:
+        if len(out) > 100:  # long streams: look for any repeat of this size at once
+            numbers: dict[str, int] = {}
+            if not _runs(np.array([numbers.setdefault(t, len(numbers)) for t, _ in out]), size):
+                size += 1
+                continue
         i, changed = 0, False
         while i + 2 * size <= len(out):
-            group = out[i : i + size]
+            group = [t for t, _ in out[i : i + size]]
             n = 1
-            while out[i + n * size : i + (n + 1) * size] == group:
+            while [t for t, _ in out[i + n * size : i + (n + 1) * size]] == group:
                 n += 1
-            name = " ".join(group)
-            one = name if size == 1 and name.endswith(")+") else f"({name})+"
-            if n > 1 or [one] == group:
-                if n > 1:
-                    out[i : i + n * size] = [one]
-                    changed = True
+            if n > 1:
+                name = " ".join(group)
+                one = name if size == 1 and name.endswith(")+") else f"({name})+"
+                copies = [[p for _, ps in out[i + k * size : i + (k + 1) * size] for p in ps] for k in range(n)]
+                out[i : i + n * size] = [(one, [sum(ps, []) for ps in zip(*copies)])]
+                changed = True
             i += 1
         size = 1 if changed and size > 1 else size + 1
     return out
@@ -167,7 +231,7 @@ def fold(tokens: Sequence[str], longest: int = _GROUP) -> list[str]:
 
 #: Kinds of blocks that clean text consists of.
 BLOCKS = ("heading", "paragraph", "list_item", "code", "formula", "quote", "table_row")
-_ESCAPED = regex.compile(r"&(?:lt|\#60|\#x3c);/?[a-z!]", regex.I)
+_ESCAPED = regex.compile(r"&(?:amp;)*(?:lt|\#60|\#x3c);/?[a-z!]", regex.I)
 _BLOCK_TAGS = {**{f"h{k}": "heading" for k in range(1, 7)}, "title": "heading", "li": "list_item", "dt": "list_item", "dd": "list_item", "pre": "code", "blockquote": "quote", "tr": "table_row"}
 _BREAK_TAGS = set("p div ul ol dl table tbody thead hr section article header footer center form body html".split())
 _BLOCK_BOARD = {"size": "heading", "h1": "heading", "h2": "heading", "h3": "heading", "*": "list_item", "li": "list_item", "code": "code", "quote": "quote", "tr": "table_row"}
@@ -198,9 +262,12 @@ def _inner(text: str) -> str:
     return " ".join(t for _, t in to_blocks(text))
 
 
-def to_blocks(text: str | None) -> list[tuple[str, str]]:
+def to_blocks(text: str | None, kept: Sequence[bool] | None = None) -> list[tuple[str, str]]:
     """Clean text as blocks (kind, text) in order; see BLOCKS.
 
+    ``kept`` says of each of ``signs(opened(text))`` whether it is a mark; without it the
+    text is its own only witness, as if its host had one page.
+
     Headings, list items, code, formulas, quotes and table rows keep their kind; links
     and emphasis keep their words; comments, scripts, images and templates go. Null and
     blank texts have no blocks.
@@ -210,12 +277,14 @@ def to_blocks(text: str | None) -> list[tuple[str, str]]:
     """
     if not text:
         return []
-    for _ in range(3):  # markup that was escaped, perhaps more than once
-        if not _ESCAPED.search(text):
-            break
-        text = html.unescape(text)
+    text = opened(text)
+    found = signs(text)
+    if kept is None and any(looks_only(_token(*x)) for x in found):
+        kept = Wrapper.of([text]).kept(text)
+    if kept is not None:
+        found = [x for x, k in zip(found, kept) if k]
     out, at, braces = _Blocks(), 0, 0
-    for kind, m in [*marks(text), ("end", None)]:
+    for kind, m in [*found, ("end", None)]:
         plain = text[at : m.start() if m else len(text)]
         while braces and "}" in plain:  # the brace that a command opened
             plain = plain.replace("}", "\n" if out.kind == "heading" else "", 1)
@@ -229,10 +298,10 @@ def to_blocks(text: str | None) -> list[tuple[str, str]]:
         if m is None:
             break
         s, at = m[0], m.end()
-        if kind in ("tag", "board"):
-            name = (m["tag"] or "") if kind == "tag" else m["bb"]
+        if kind in ("tag", "element", "board"):
+            name = m["bb"] if kind == "board" else m["tag"] or m["el"] or ""
             name, closing = name.lower(), s[1:2] == "/"
-            block = (_BLOCK_TAGS if kind == "tag" else _BLOCK_BOARD).get(name)
+            block = (_BLOCK_BOARD if kind == "board" else _BLOCK_TAGS).get(name)
             if kind == "board" and name in ("img", "youtube", "video", "attach") and not closing:
                 end = regex.search(rf"\[/{name}\]", text[at:], regex.I)
                 at += end.start() if end else 0
@@ -304,37 +373,52 @@ def to_blocks(text: str | None) -> list[tuple[str, str]]:
     return out.done
 
 
-def clean(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """keys, blocks (array of kind and text) and text (the blocks, one to a line) of every row that has a text."""
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            blocks = [to_blocks(t) for t in pdf.pop("__text")]
-            yield pdf.assign(blocks=[[{"kind": k, "text": t} for k, t in b] for b in blocks], text=["\n".join(t for _, t in b) for b in blocks])
-
-    return df.select(*keys, F.col(text).alias("__text")).where(F.col("__text").isNotNull()).mapInPandas(run, ddl + ", blocks array<struct<kind: string, text: string>>, text string")
-
-
 class Wrapper:
-    """A union-free expression: tokens in order, each required or optional."""
+    """A union-free expression: folded tokens in order, each required or optional."""
 
     def __init__(self, nodes: list[tuple[str, bool]] | None = None, rows: int = 0):
         self.nodes, self.rows = nodes or [], rows
+        self._groups = [inner(t) if t.endswith(")+") else None for t, _ in self.nodes]
+        self._marks: list[list[bool]] | None = None
+        self._found: tuple | None = None
+
+    @classmethod
+    def of(cls, texts: Sequence[str]) -> Wrapper:
+        """The wrapper of a few texts."""
+        whole = cls()
+        for t in texts:
+            whole = whole.merge(cls([(name, False) for name in stream(t)[0]], 1))
+        return whole
 
     def merge(self, other: Wrapper) -> Wrapper:
-        """Align two expressions on their common tokens; what one of them lacks becomes optional."""
+        """Align two expressions on their common tokens; what one of them lacks becomes optional.
+
+        What one of them has once and the other as a repeated group is that group.
+        """
         if not self.rows or not other.rows:
             return self if self.rows else other
-        mine, yours = [t for t, _ in self.nodes], [t for t, _ in other.nodes]
+        left, right = self._absorbed(other._groups), other._absorbed(self._groups)
+        mine, yours = [t for t, _ in left], [t for t, _ in right]
         out: list[tuple[str, bool]] = []
         for op, a, b, c, d in SequenceMatcher(None, mine, yours, autojunk=False).get_opcodes():
             if op == "equal":
-                out += [(mine[k], self.nodes[k][1] or other.nodes[c + k - a][1]) for k in range(a, b)]
+                out += [(mine[k], left[k][1] or right[c + k - a][1]) for k in range(a, b)]
             else:
                 out += [(t, True) for t in mine[a:b]] + [(t, True) for t in yours[c:d]]
         return Wrapper(self.settled(out), self.rows + other.rows)
 
+    def _absorbed(self, groups: list[list[str] | None]) -> list[tuple[str, bool]]:
+        """The nodes, with what the other side repeats as that group."""
+        nodes = list(self.nodes)
+        for group in sorted({tuple(g) for g in groups if g}):
+            name, i = f"({' '.join(group)})+", 0
+            while i + len(group) <= len(nodes):
+                part = nodes[i : i + len(group)]
+                if tuple(t for t, _ in part) == group and not any(o for _, o in part):
+                    nodes[i : i + len(group)] = [(name, False)]
+                i += 1
+        return nodes
+
     @staticmethod
     def settled(nodes: list[tuple[str, bool]]) -> list[tuple[str, bool]]:
         """Optional tokens that stand next to their like are one."""
@@ -346,38 +430,128 @@ class Wrapper:
                 out.append((token, optional))
         return out
 
+    def place(self, tokens: Sequence[str]) -> list[tuple[int, int]] | None:
+        """For each token of a folded stream the node that reads it and the place in its group; None if unread.
+
+        Of several readings the one with the most marks, then the earliest nodes.
+        """
+        # reach[i] maps the node that may come next, once i tokens are read, to marks so far and how it was reached.
+        n, reach = len(tokens), [{} for _ in range(len(tokens) + 1)]
+        reach[0][0] = (0, None)
+        (starts, until), marks = self._index(), self.marks()
+        for i in range(n):
+            open_ = sorted(reach[i])
+            for k, size in starts.get(tokens[i], ()) if open_ else ():
+                if size and list(tokens[i : i + size]) != self._groups[k]:
+                    continue
+                before = [s for s in open_[: bisect_right(open_, k)] if until[s] >= k]
+                if before:
+                    start = max(before, key=lambda s: (reach[i][s][0], -s))
+                    got = (reach[i][start][0] + sum(marks[k]), (i, start, k))
+                    at = reach[i + (size or 1)]
+                    if k + 1 not in at or got[0] > at[k + 1][0]:
+                        at[k + 1] = got
+        ends = [s for s in reach[n] if until[s] == len(self.nodes)]
+        if not ends:
+            return None
+        out: list[tuple[int, int]] = [(0, 0)] * n
+        i, at = n, max(ends, key=lambda s: (reach[n][s][0], -s))
+        while i:
+            before, start, k = reach[i][at][1]
+            for q in range(before, i):
+                out[q] = (k, q - before)
+            i, at = before, start
+        return out
+
+    def _index(self) -> tuple[dict[str, list[tuple[int, int]]], list[int]]:
+        """Nodes by the token they begin with (and the length of the group, 0 if it is folded), and for each node the next required one."""
+        if self._found is None:
+            starts: dict[str, list[tuple[int, int]]] = {}
+            until = [len(self.nodes)] * (len(self.nodes) + 1)
+            for k in range(len(self.nodes) - 1, -1, -1):
+                until[k] = until[k + 1] if self.nodes[k][1] else k
+            for k, (name, _) in enumerate(self.nodes):
+                starts.setdefault(name, []).append((k, 0))
+                if self._groups[k]:
+                    starts.setdefault(self._groups[k][0], []).append((k, len(self._groups[k])))
+            self._found = starts, until
+        return self._found
+
     def reads(self, tokens: Sequence[str]) -> bool:
         """Whether the expression accepts a folded stream."""
-        at = {0}
-        for token in [*tokens, None]:
-            reach, now = sorted(at), set()
-            for start in reach:
-                for k in range(start, len(self.nodes) + 1):
-                    if k == len(self.nodes):
-                        if token is None:
-                            return True
-                        break
-                    name, optional = self.nodes[k]
-                    if name == token:
-                        now.add(k + 1)
-                    if not optional:
-                        break
-            at = now
-        return False
+        return self.place(tokens) is not None
+
+    def marks(self) -> list[list[bool]]:
+        """Of each node's plain tokens, whether they are marks.
+
+        Tokens that are complete are; others are if the expression holds what they open or
+        close; a number that begins a line is in a repeated group, an entry of a list in
+        one or between what opens and closes the list.
+        """
+        if self._marks is None:
+            self._marks = [[not looks_only(t) or t in _HEADS and g is not None for t in inner(name)] for (name, _), g in zip(self.nodes, self._groups)]
+            first, last = {}, {}
+            places = [(t, (k, q)) for k, (name, _) in enumerate(self.nodes) for q, t in enumerate(inner(name)) if looks_only(t)]
+            for t, at in places:
+                if t[1] == "/":
+                    last[t[0] + t[2:]] = at
+                else:
+                    first.setdefault(t, at)
+            lists = [(first[t], last[t]) for t in ("[list]", "[ul]", "[ol]") if t in first and t in last]
+            for t, at in places:
+                if t in _HEADS:
+                    held = t != _HEADS[0] and any(a < at < b for a, b in lists)
+                elif t[1] == "/":
+                    held = (t[0] + t[2:]) in first and first[t[0] + t[2:]] < at
+                else:
+                    held = t in last and at < last[t]
+                self._marks[at[0]][at[1]] |= held
+        return self._marks
+
+    def decide(self, tokens: Sequence[str]) -> list[list[bool]]:
+        """Of each plain token of a folded stream, whether it is a mark.
+
+        A one-letter tag of the bulletin-board kind needs its partner in the same stream,
+        since a letter in brackets is a common remark. A stream the wrapper does not read
+        has only the marks that are complete.
+        """
+        if not any(looks_only(t) for name in tokens for t in inner(name)):
+            return [[True] * len(inner(name)) for name in tokens]
+        places = self.place(tokens)
+        if places is None:
+            return [[not looks_only(t) for t in inner(name)] for name in tokens]
+        marks, own = self.marks(), {t for name in tokens for t in inner(name)}
+        out = []
+        for name, (k, q) in zip(tokens, places):
+            one = inner(name)
+            got = marks[k][q : q + len(one)]
+            # A closing and an opening tag differ by the slash.
+            partner = [t.replace("[/", "[") if t[1:2] == "/" else t.replace("[", "[/") for t in one]
+            out.append([g and (len(t.strip("[/]")) > 1 or t in _HEADS or t == SLOT or p in own) for t, g, p in zip(one, got, partner)])
+        return out
+
+    def kept(self, text: str) -> list[bool]:
+        """Of each of ``signs(text)``, whether it is a mark of the wrapper."""
+        tokens, places = _read(text)
+        folded = fold_places(tokens)
+        return spell(places, folded, self.decide([name for name, _ in folded]))
 
-    def __str__(self) -> str:
-        return " ".join(f"{t}?" if o else t for t, o in self.nodes)
 
+#: Tokens that begin a line or an entry and close nothing: a repeated group supports them.
+_HEADS = ("{number}", "[*]", "[li]")
 
-#: Distinct streams of one host that a task folds.
-STREAMS = 2000
 
+def spell(places: list[int], folded: list[tuple[str, list[list[int]]]], decided: list[list[bool]]) -> list[bool]:
+    """What was decided for folded tokens, for each sign of the text."""
+    of = {p: d for (_, where), ds in zip(folded, decided) for ps, d in zip(where, ds) for p in ps}
+    return [of[p] for p in places]
 
-def infer(streams: DataFrame, most: int = STREAMS) -> DataFrame:
-    """host, wrapper and n_rows from distinct folded streams (columns host, tokens, n).
 
-    A host's streams are folded in two steps, over parts of at most about ``most`` of them
-    and over the parts' results, so that no task holds all streams of a large host.
+def infer(streams: DataFrame, parts: int = PARTS) -> DataFrame:
+    """host, names, optional and n (rows) of each host's wrapper, from distinct folded streams (host, tokens, n).
+
+    A host's streams are folded in two steps, over ``parts`` parts by hash and over the
+    parts' results, whatever their number, so that no task holds all streams of a host.
     """
 
     def part(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -396,28 +570,27 @@ def infer(streams: DataFrame, most: int = STREAMS) -> DataFrame:
         return pd.DataFrame({"host": pdf.host.iloc[:1], "names": [[t for t, _ in whole.nodes]], "optional": [[o for _, o in whole.nodes]], "n": [whole.rows]})
 
     kept = "host string, names array<string>, optional array<boolean>, n long"
-    per_host = small_side(streams.groupBy("host").agg(F.ceil(F.count("*") / most).alias("ways")))
-    salted = streams.join(per_host, "host").withColumn("salt", F.pmod(F.xxhash64("tokens"), F.col("ways"))).drop("ways")
-    parts = spread(salted, "host", "salt").groupBy("host", "salt").applyInPandas(part, kept)
-    return spread(parts, "host").groupBy("host").applyInPandas(join, kept)
+    salted = streams.withColumn("salt", F.pmod(F.xxhash64("tokens"), F.lit(parts)))
+    folded = spread(salted, "host", "salt").groupBy("host", "salt").applyInPandas(part, kept)
+    return spread(folded, "host").groupBy("host").applyInPandas(join, kept)
 
 
 def read_streams(df: DataFrame, keys: list[str], host: str, text: str) -> DataFrame:
-    """keys, host, tokens and n_marks of every text; texts without any sign never leave the JVM.
+    """keys, host, tokens and n_sure (marks that need no support) of every text; texts without any sign never leave the JVM.
 
     Null and blank texts have no tokens.
     """
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema) + ", host string, tokens array<string>, n_marks int"
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema) + ", host string, tokens array<string>, n_sure int"
     rows = df.select(*keys, F.coalesce(F.col(host), F.lit("")).alias("host"), F.col(text).alias("__text"))
     odd = F.coalesce(F.col("__text").rlike(_WORTH), F.lit(False))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             both = [stream(t) for t in pdf.pop("__text")]
-            yield pdf.assign(tokens=[t for t, _ in both], n_marks=[n for _, n in both])
+            yield pdf.assign(tokens=[t for t, _ in both], n_sure=[n for _, n in both])
 
     plain = F.when(F.trim("__text") == "", F.array().cast("array<string>")).otherwise(F.array(F.lit(SLOT)))
-    return rows.where(odd).mapInPandas(read, ddl).unionByName(rows.where(~odd & F.col("__text").isNotNull()).select(*keys, "host", plain.alias("tokens"), F.lit(0).alias("n_marks")))
+    return rows.where(odd).mapInPandas(read, ddl).unionByName(rows.where(~odd & F.col("__text").isNotNull()).select(*keys, "host", plain.alias("tokens"), F.lit(0).alias("n_sure")))
 
 
 def wrappers(df: DataFrame, keys: list[str], host: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -427,24 +600,81 @@ def wrappers(df: DataFrame, keys: list[str], host: str, text: str) -> tuple[Data
     return rows, infer(distinct)
 
 
+#: A text that may hold a token which only looks like a mark.
+_NEEDY = rf"(?im)\[/?[*A-Za-z][^\[\]\n]*\]|^ {{0,3}}[0-9]{{1,3}}[.)] |</?(?!(?:{_names(HTML)})[\s/>])[A-Za-z]|&(?:amp;)*(?:lt|#60|#x3c);"
+
+
+def _decisions(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """host, tokens, decided, held and fits of each distinct stream that holds a token which only looks like a mark.
+
+    ``decided`` says of each plain token whether it is a mark, ``held`` how many of those
+    that only look like one are.
+    """
+    needy = F.exists("tokens", lambda t: t.rlike(r"\[|\{number\}|</?(?!(?:" + _names(HTML) + r")>)"))
+    salt = F.pmod(F.xxhash64("tokens"), F.lit(PARTS)).cast("int").alias("salt")
+    streams = rows.where(needy).select("host", "tokens", salt).distinct()
+    # A wrapper is long beside a stream: it meets the streams of its host part by part, as when it was made.
+    copies = found.select("host", "names", "optional", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("salt"))
+
+    def check(pdf: pd.DataFrame, wrapper: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(pdf) and len(wrapper):
+            w = Wrapper(list(zip(wrapper.names.iat[0], map(bool, wrapper.optional.iat[0]))), 1)
+            for h, tokens in zip(pdf.host, map(list, pdf.tokens)):
+                decided = w.decide(tokens)
+                held = sum(d and looks_only(t) for name, ds in zip(tokens, decided) for t, d in zip(inner(name), ds))
+                out.append((h, tokens, decided, held, w.reads(tokens)))
+        return pd.DataFrame(out, columns=["host", "tokens", "decided", "held", "fits"])
+
+    both = streams.groupBy("host", "salt").cogroup(copies.groupBy("host", "salt"))
+    return both.applyInPandas(check, "host string, tokens array<string>, decided array<array<boolean>>, held int, fits boolean")
+
+
 def unwrapped(df: DataFrame, keys: list[str], host: str, text: str) -> DataFrame:
     """keys, n_marks and fits (whether the wrapper of the host reads the text) of every text.
 
-    ``n_marks`` counts the marks that the grammar finds; the wrapper never takes one away.
+    ``n_marks`` counts the tokens that are marks in the wrapper of the text's host: those
+    that are in any wrapper, and, once for each place in the folded stream, those that this
+    one supports. Null texts give no row; blank and plain ones have no marks.
     """
     rows, found = wrappers(df, keys, host, text)
-    # One row for each host; counted before it is broadcast.
-    per_host = small_side(found.select("host", "names", "optional"))
-    marked = rows.where("n_marks > 0")
-    streams = spread(marked.select("host", "tokens").distinct(), "host", "tokens").join(per_host, "host")
+    decided = _decisions(rows, found).select("host", "tokens", "held", "fits")
+    seen = rows.join(small_side(decided), ["host", "tokens"], "left")
+    # A stream without such a token is read by the wrapper that it went into.
+    return seen.select(*keys, (F.col("n_sure") + F.coalesce("held", F.lit(0))).alias("n_marks"), F.coalesce("fits", F.lit(True)).alias("fits"))
+
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def clean(df: DataFrame, keys: list[str], host: str, text: str) -> DataFrame:
+    """keys, blocks (array of kind and text) and text (the blocks, one to a line) of every row that has a text.
+
+    Texts are read through the wrapper of their host; tokens that are no marks of it stay
+    in the text as they are. Only texts with a token that needs support wait for the
+    wrapper, since any wrapper reads the others alike.
+    """
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
+    rows, found = wrappers(df, keys, host, text)
+    # Kinds of streams, not rows; counted before they are broadcast.
+    decided = small_side(_decisions(rows, found).select(F.col("host").alias("__host"), F.col("tokens").alias("__tokens"), F.col("decided").alias("__decided")))
+    texts = df.select(*keys, F.coalesce(F.col(host), F.lit("")).alias("__host"), F.col(text).alias("__text")).where(F.col("__text").isNotNull())
+    needy = F.col("__text").rlike(_NEEDY)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            fits = [Wrapper(list(zip(n, o)), 1).reads(list(t)) for n, o, t in zip(pdf.names, pdf.optional, pdf.tokens)]
-            outside = [sum(x.strip("()+?") != SLOT for x in t) for t in pdf.tokens]
-            yield pd.DataFrame({"host": pdf.host, "tokens": pdf.tokens, "fits": fits, "outside": outside})
-
-    read = streams.mapInPandas(check, "host string, tokens array<string>, fits boolean, outside int")
-    seen = marked.join(read, ["host", "tokens"]).select(*keys, F.greatest("n_marks", F.when(F.col("fits"), F.col("outside")).otherwise(0)).alias("n_marks"), "fits")
-    # A text without marks is one slot, or nothing, which every wrapper it went into reads.
-    return seen.unionByName(rows.where("n_marks = 0").select(*keys, "n_marks", F.lit(True).alias("fits")))
+            yield pdf.assign(__tokens=[stream(t)[0] for t in pdf["__text"]])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            blocks = []
+            for t, d in zip(pdf.pop("__text"), pdf.pop("__decided")):
+                plain = opened(t)
+                if d is None:
+                    blocks.append(to_blocks(plain, [True] * len(plain)))
+                else:
+                    tokens, places = _read(plain)
+                    blocks.append(to_blocks(plain, spell(places, fold_places(tokens), [list(x) for x in d])))
+            yield pdf.assign(blocks=[[{"kind": k, "text": t} for k, t in b] for b in blocks], text=["\n".join(t for _, t in b) for b in blocks])
+
+    asked = texts.where(needy).mapInPandas(read, ddl + ", __host string, __text string, __tokens array<string>")
+    asked = asked.join(decided, ["__host", "__tokens"], "left").select(*keys, "__text", "__decided")
+    both = asked.unionByName(texts.where(~needy).select(*keys, "__text", F.lit(None).cast("array<array<boolean>>").alias("__decided")))
+    return both.mapInPandas(run, ddl + ", blocks array<struct<kind: string, text: string>>, text string")

@@ -107,7 +107,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean text of every description and comment, as blocks and as lines."""
-    return clean(_marked(spark, sf_dir), ["tbl", "row_id"], "text")
+    return clean(_marked(spark, sf_dir), ["tbl", "row_id"], "host", "text")
 
 
 def p6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:

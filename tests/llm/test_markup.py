@@ -1,6 +1,7 @@
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from gleanery.llm import markup
 
@@ -57,5 +58,46 @@ def test_unwrapped(spark):
     got = markup.unwrapped(df, ["id"], "site", "text")
     assert sorted((r.id, r.n_marks > 0, r.fits) for r in got.collect()) == [(1, True, True), (1, True, True), (2, True, True), (3, False, True), (4, True, True), (6, False, True), (7, False, True), (8, True, True)]
     assert markup.unwrapped(df.limit(0), ["id"], "site", "text").count() == 0
-    clean = {r.id: r.text for r in markup.clean(df, ["id"], "text").collect()}
+    clean = {r.id: r.text for r in markup.clean(df, ["id"], "site", "text").collect()}
     assert clean[2] == "b\nc" and clean[6] == "" and 5 not in clean
+
+
+def test_the_wrapper_decides_what_only_looks_like_a_mark(spark):
+    """The answer for the texts of one host hangs on the others: without them, and their wrapper, it is another."""
+    odd = [(1, "see [spoil]this[/spoil]"), (2, "[note] left open"), (3, "5. one line"), (4, "Use [A] or [note]"), (5, "<ref2>x</ref2> y")]
+    helping = [(11, "[note]a[/note]"), (12, "5. one\n6. two\n7. three"), (13, "[A] once"), (14, "[list][*]a[*]b[/list]"), (15, "<b>x</b> [i]y[/i]")]
+    rows = [(k, "alone", t) for k, t in odd] + [(k, "helped", t) for k, t in odd + helping]
+    df = spark.createDataFrame(rows, "id long, site string, text string")
+    found = {(r.site, r.id): (r.n_marks > 0, r.fits) for r in markup.unwrapped(df.select("id", "site", "text", F.col("site").alias("s")), ["id", "s"], "site", "text").select("id", F.col("s").alias("site"), "n_marks", "fits").collect()}
+    assert all(fits for _, fits in found.values())
+    got = {site: {k for (s, k), (f, _) in found.items() if s == site and f} for site in ("alone", "helped")}
+    assert got["alone"] == {1, 5}  # a pair of one text is evidence of its own
+    assert got["helped"] == {1, 2, 3, 4, 5, 11, 12, 14, 15}
+    texts = {(r.s, r.id): r.text for r in markup.clean(df.withColumn("s", F.col("site")), ["id", "s"], "site", "text").collect()}
+    assert texts["alone", 2] == "[note] left open" and texts["helped", 2] == "left open"
+    assert texts["alone", 3] == "5. one line" and texts["helped", 3] == "one line"
+    assert texts["helped", 4] == "Use [A] or" and texts["helped", 13] == "[A] once" and texts["helped", 14] == "a\nb" and texts["alone", 5] == "x y"
+
+
+def test_bounds_are_gone():
+    assert markup.marks("{{" + "x" * 2000 + "}}") and markup.marks("[[" + "y" * 2000 + "]]")
+    deep = "<p>"
+    for _ in range(9):
+        deep = deep.replace("&", "&amp;").replace("<", "&lt;")
+    assert markup.opened(deep) == "<p>"
+    group = [f"<{k}>" for k in "abcdefghijklmnopqrstuvwxyz"] * 2
+    assert markup.fold(group * 30) == [f"({' '.join(group[:26])})+"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(tokens, min_size=1, max_size=6))
+def test_places_of_a_stream_are_its_tokens(streams):
+    folded = [markup.fold(s) for s in streams]
+    whole = markup.Wrapper()
+    for f in folded:
+        whole = whole.merge(markup.Wrapper([(t, False) for t in f], 1))
+    for f in folded:
+        at = whole.place(f)
+        assert at is not None and all(whole.nodes[k][0] == t or markup.inner(whole.nodes[k][0])[q] == t for t, (k, q) in zip(f, at))
+    for s in streams:
+        assert sorted(p for _, ps in markup.fold_places(s) for q in ps for p in q) == list(range(len(s)))
