@@ -1,5 +1,6 @@
 import random
 
+from gleanery.llm import leak
 from gleanery.llm.leak import leaked, passage
 
 WORDS = [f"w{k}" for k in range(3000)]
@@ -56,3 +57,53 @@ def test_passage():
     assert passage(item, item[:10]) == 10 and passage(item, item[:9]) == 0
     assert passage(item, item[5:10] + ["x"] + item[11:20]) == 15
     assert passage(item, []) == 0
+
+
+def found(spark, docs, items):
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    its = spark.createDataFrame(items, "eval_id long, text string")
+    return {(r.doc_id, r.eval_id): r.matched for r in leaked(df, "doc_id", "text", its, "eval_id", "text").collect()}
+
+
+def test_short_items_and_short_documents(spark):
+    items = [(1, "alpha beta gamma delta"), (2, " ".join(f"q{k}" for k in range(12))), (3, "Zyx"), (4, "one two three"), (5, " ".join(f"r{k}" for k in range(40)))]
+    docs = [
+        (1, "so alpha, Beta <b>gamma</b> delta it is"), (2, "alpha beta gamma"), (3, "x q3 q4 q5 q6 y"), (4, "q3 q4 q5"), (5, "zyx"), (6, "one two three"), (7, "one two"), (8, "a <b and r0 r1 r2 r3 r4 r5 r6 r7 r8 r9 r10 r11 r12 r13 c> d"),
+        (9, " ".join(f"r{k}" for k in range(14))),
+    ]
+    assert found(spark, docs, items) == {(1, 1): 4, (3, 2): 4, (5, 3): 1, (6, 4): 3, (8, 5): 14, (9, 5): 14}
+
+
+def test_markup_of_any_length_goes(spark):
+    item = [f"r{k}" for k in range(30)]
+    href = '<a href="http://x.test/' + "y" * 5000 + '">'
+    docs = [(1, " ".join(item[:7]) + href + " ".join(item[7:12]) + "](http://" + "z" * 3000 + ") [url=" + "v" * 500 + "]" + " ".join(item[12:]))]
+    assert found(spark, docs, [(1, " ".join(item))]) == {(1, 1): 30}
+
+
+def test_an_instruction_elsewhere_in_the_window_hides_no_passage(spark):
+    ask = "now read this text with care and pick the one best answer".split()
+    own = [f"v{k}" for k in range(72)]
+    part = own[20:50]
+    part[9], part[19] = "other", "words"
+    items = [(k, " ".join(ask + RND.sample(WORDS, 60))) for k in range(2, 6)] + [(1, " ".join(ask + own))]
+    docs = [(1, " ".join(noise(20) + part + noise(4) + ask + noise(20)))]
+    assert set(found(spark, docs, items)) == {(1, 1)}
+
+
+def test_beyond_the_filter_the_join_gives_the_same(spark, monkeypatch):
+    rows, want = docs()
+    monkeypatch.setattr(leak, "FILTER_SHINGLES", 3)
+    assert set(found(spark, rows, [(k, " ".join(w)) for k, w in ITEMS.items()])) == want
+
+
+def test_number_of_whole_shingles_is_a_bound():
+    for n in range(1, 200):
+        size, least = leak.shingle_size(n), leak.shortest(n)
+        assert 1 <= size <= least <= n
+        for words in range(least, n + 1):
+            wrong = words // 10
+            # The worst case: wrong words evenly spread, each breaking as many shingles as it can.
+            bad = {(k + 1) * words // (wrong + 1) for k in range(wrong)}
+            whole = sum(not any(i <= b < i + size for b in bad) for i in range(words - size + 1))
+            assert whole >= leak.kept_whole(n)
