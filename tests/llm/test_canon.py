@@ -1,4 +1,3 @@
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -29,10 +28,26 @@ def test_empty_tables(spark):
     assert canon.map_values(df, "fld", "value", none, "term_id", "name", "aliases").first().term_id is None
 
 
-def test_a_long_reference_list_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(canon, "REFERENCE_ROWS", 1)
-    with pytest.raises(ValueError):
-        mapped(spark, [("language", "Greek")])
+def test_a_long_reference_list_is_joined_by_shuffle(spark, monkeypatch):
+    values = [("category", v) for v in ("featre fiml", "COMIC strip", "bande desinee", "peliculas", "x")] + [("quality", "bbr"), ("quality", "variabel bitrate audio"), ("language", "grek"), ("language", "corea no")]
+    want = mapped(spark, values)
+    monkeypatch.setattr(canon, "INDEX_WORDS", 1)
+    assert mapped(spark, values) == want and want["category", "featre fiml"] == 1 and want["language", "corea no"] == 5
+
+
+def test_soft_tf_idf_ranks_before_the_distance_of_whole_strings(spark):
+    terms = spark.createDataFrame([("f", 1, "Ten Bit", None), ("f", 2, "Bit Tin", None)], "fld string, term_id long, name string, aliases array<string>")
+    df = spark.createDataFrame([("f", "bit ten"), ("f", "bit tin"), ("f", "ten bit")], "fld string, value string")
+    got = {r.value: (r.term_id, r.distance) for r in canon.map_values(df, "fld", "value", terms, "term_id", "name", "aliases").collect()}
+    # "bitten" is one edit from "bittin" and three from "tenbit", yet its words are those of "Ten Bit".
+    assert got == {"bit ten": (1, None), "bit tin": (2, 0), "ten bit": (1, 0)}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abc1", min_size=1, max_size=14), st.text("abc1", max_size=14))
+def test_segment_keys_lose_nothing(word, unit):
+    if canon.edits(unit, word, canon.allowed(word)) <= canon.allowed(word):
+        assert set(canon.segment_keys(word)) & set(canon.probe_keys(unit))
 
 
 @settings(max_examples=200, deadline=None)
