@@ -21,11 +21,12 @@ import html
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.session import checkpoint, small_side, spread
@@ -38,7 +39,9 @@ BARE_COMMANDS = "item hline centering maketitle it bf em tt sc rm sl small large
 #: Skeleton of a text without any mark.
 SLOT = "#"
 #: Streams of a host are folded in this many parts, by hash, before the parts are.
-PARTS = 16
+PARTS = 8
+#: Streams that a task reads through one wrapper.
+STREAMS = 2000
 
 
 def _names(words: str) -> str:
@@ -173,6 +176,7 @@ def _read(text: str) -> tuple[list[str], list[int]]:
     return tokens, places
 
 
+@lru_cache(maxsize=50_000)
 def inner(name: str) -> list[str]:
     """The plain tokens of a folded one.
 
@@ -189,13 +193,18 @@ def _runs(codes: np.ndarray, size: int) -> bool:
     return bool((np.diff(edges) > size).any())
 
 
+@lru_cache(maxsize=50_000)
+def _folded(tokens: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(name for name, _ in fold_places(tokens))
+
+
 def fold(tokens: Sequence[str]) -> list[str]:
     """Repeats next to each other as one repeated group, shortest groups first.
 
     >>> fold(["<ul>", "<li>", "#", "<li>", "#", "</ul>"])
     ['<ul>', '(<li> #)+', '</ul>']
     """
-    return [name for name, _ in fold_places(tokens)]
+    return list(_folded(tuple(tokens)))
 
 
 def fold_places(tokens: Sequence[str]) -> list[tuple[str, list[list[int]]]]:
@@ -204,29 +213,29 @@ def fold_places(tokens: Sequence[str]) -> list[tuple[str, list[list[int]]]]:
     >>> fold_places(["<li>", "#", "<li>", "#", "</ul>"])
     [('(<li> #)+', [[0, 2], [1, 3]]), ('</ul>', [[4]])]
     """
-    out = [(t, [[k]]) for k, t in enumerate(tokens)]
+    names, places = list(tokens), [[[k]] for k in range(len(tokens))]
     size = 1
-    while size <= len(out) // 2:
-        if len(out) > 100:  # long streams: look for any repeat of this size at once
+    while size <= len(names) // 2 and len(set(names)) < len(names):
+        if len(names) > 100:  # long streams: look for any repeat of this size at once
             numbers: dict[str, int] = {}
-            if not _runs(np.array([numbers.setdefault(t, len(numbers)) for t, _ in out]), size):
+            if not _runs(np.array([numbers.setdefault(t, len(numbers)) for t in names]), size):
                 size += 1
                 continue
         i, changed = 0, False
-        while i + 2 * size <= len(out):
-            group = [t for t, _ in out[i : i + size]]
+        while i + 2 * size <= len(names):
+            group = names[i : i + size]
             n = 1
-            while [t for t, _ in out[i + n * size : i + (n + 1) * size]] == group:
+            while names[i + n * size : i + (n + 1) * size] == group:
                 n += 1
             if n > 1:
-                name = " ".join(group)
-                one = name if size == 1 and name.endswith(")+") else f"({name})+"
-                copies = [[p for _, ps in out[i + k * size : i + (k + 1) * size] for p in ps] for k in range(n)]
-                out[i : i + n * size] = [(one, [sum(ps, []) for ps in zip(*copies)])]
+                one = group[0] if size == 1 and group[0].endswith(")+") else f"({' '.join(group)})+"
+                copies = [[p for ps in places[i + k * size : i + (k + 1) * size] for p in ps] for k in range(n)]
+                names[i : i + n * size] = [one]
+                places[i : i + n * size] = [[sum(ps, []) for ps in zip(*copies)]]
                 changed = True
             i += 1
         size = 1 if changed and size > 1 else size + 1
-    return out
+    return list(zip(names, places))
 
 
 #: Kinds of blocks that clean text consists of.
@@ -379,7 +388,7 @@ class Wrapper:
     def __init__(self, nodes: list[tuple[str, bool]] | None = None, rows: int = 0):
         self.nodes, self.rows = nodes or [], rows
         self._groups = [inner(t) if t.endswith(")+") else None for t, _ in self.nodes]
-        self._marks: list[list[bool]] | None = None
+        self._held: frozenset[str] | None = None
         self._found: tuple | None = None
 
     @classmethod
@@ -430,38 +439,20 @@ class Wrapper:
                 out.append((token, optional))
         return out
 
-    def place(self, tokens: Sequence[str]) -> list[tuple[int, int]] | None:
-        """For each token of a folded stream the node that reads it and the place in its group; None if unread.
-
-        Of several readings the one with the most marks, then the earliest nodes.
-        """
-        # reach[i] maps the node that may come next, once i tokens are read, to marks so far and how it was reached.
-        n, reach = len(tokens), [{} for _ in range(len(tokens) + 1)]
-        reach[0][0] = (0, None)
-        (starts, until), marks = self._index(), self.marks()
+    def reads(self, tokens: Sequence[str]) -> bool:
+        """Whether the expression accepts a folded stream."""
+        # reach[i] holds the nodes that may come next once i tokens are read.
+        n, reach = len(tokens), [set() for _ in range(len(tokens) + 1)]
+        reach[0].add(0)
+        starts, until = self._index()
         for i in range(n):
             open_ = sorted(reach[i])
             for k, size in starts.get(tokens[i], ()) if open_ else ():
-                if size and list(tokens[i : i + size]) != self._groups[k]:
-                    continue
-                before = [s for s in open_[: bisect_right(open_, k)] if until[s] >= k]
-                if before:
-                    start = max(before, key=lambda s: (reach[i][s][0], -s))
-                    got = (reach[i][start][0] + sum(marks[k]), (i, start, k))
-                    at = reach[i + (size or 1)]
-                    if k + 1 not in at or got[0] > at[k + 1][0]:
-                        at[k + 1] = got
-        ends = [s for s in reach[n] if until[s] == len(self.nodes)]
-        if not ends:
-            return None
-        out: list[tuple[int, int]] = [(0, 0)] * n
-        i, at = n, max(ends, key=lambda s: (reach[n][s][0], -s))
-        while i:
-            before, start, k = reach[i][at][1]
-            for q in range(before, i):
-                out[q] = (k, q - before)
-            i, at = before, start
-        return out
+                # The latest start is the one from which the fewest nodes have to be passed over.
+                at = bisect_right(open_, k) - 1
+                if at >= 0 and until[open_[at]] >= k and (not size or list(tokens[i : i + size]) == self._groups[k]):
+                    reach[i + (size or 1)].add(k + 1)
+        return any(until[s] == len(self.nodes) for s in reach[n])
 
     def _index(self) -> tuple[dict[str, list[tuple[int, int]]], list[int]]:
         """Nodes by the token they begin with (and the length of the group, 0 if it is folded), and for each node the next required one."""
@@ -477,36 +468,25 @@ class Wrapper:
             self._found = starts, until
         return self._found
 
-    def reads(self, tokens: Sequence[str]) -> bool:
-        """Whether the expression accepts a folded stream."""
-        return self.place(tokens) is not None
+    def held(self) -> frozenset[str]:
+        """The tokens that only look like marks and are marks in this expression.
 
-    def marks(self) -> list[list[bool]]:
-        """Of each node's plain tokens, whether they are marks.
-
-        Tokens that are complete are; others are if the expression holds what they open or
-        close; a number that begins a line is in a repeated group, an entry of a list in
-        one or between what opens and closes the list.
+        A tag is if the expression holds one that opens before one that closes it; a number
+        that begins a line if it holds a repeated group with it; an entry of a list in such
+        a group, or if it holds a list that opens and closes.
         """
-        if self._marks is None:
-            self._marks = [[not looks_only(t) or t in _HEADS and g is not None for t in inner(name)] for (name, _), g in zip(self.nodes, self._groups)]
+        if self._held is None:
             first, last = {}, {}
-            places = [(t, (k, q)) for k, (name, _) in enumerate(self.nodes) for q, t in enumerate(inner(name)) if looks_only(t)]
-            for t, at in places:
+            flat = [(t, (k, q), g is not None) for k, ((name, _), g) in enumerate(zip(self.nodes, self._groups)) for q, t in enumerate(inner(name)) if looks_only(t)]
+            for t, at, _ in flat:
                 if t[1] == "/":
                     last[t[0] + t[2:]] = at
                 else:
                     first.setdefault(t, at)
-            lists = [(first[t], last[t]) for t in ("[list]", "[ul]", "[ol]") if t in first and t in last]
-            for t, at in places:
-                if t in _HEADS:
-                    held = t != _HEADS[0] and any(a < at < b for a, b in lists)
-                elif t[1] == "/":
-                    held = (t[0] + t[2:]) in first and first[t[0] + t[2:]] < at
-                else:
-                    held = t in last and at < last[t]
-                self._marks[at[0]][at[1]] |= held
-        return self._marks
+            pairs = {t for t in first if t in last and first[t] < last[t]}
+            heads = {t for t, _, repeated in flat if t in _HEADS and (repeated or t != _HEADS[0] and pairs & _LISTS)}
+            self._held = frozenset(pairs | {t[0] + "/" + t[1:] for t in pairs} | heads)
+        return self._held
 
     def decide(self, tokens: Sequence[str]) -> list[list[bool]]:
         """Of each plain token of a folded stream, whether it is a mark.
@@ -515,20 +495,11 @@ class Wrapper:
         since a letter in brackets is a common remark. A stream the wrapper does not read
         has only the marks that are complete.
         """
-        if not any(looks_only(t) for name in tokens for t in inner(name)):
-            return [[True] * len(inner(name)) for name in tokens]
-        places = self.place(tokens)
-        if places is None:
-            return [[not looks_only(t) for t in inner(name)] for name in tokens]
-        marks, own = self.marks(), {t for name in tokens for t in inner(name)}
-        out = []
-        for name, (k, q) in zip(tokens, places):
-            one = inner(name)
-            got = marks[k][q : q + len(one)]
-            # A closing and an opening tag differ by the slash.
-            partner = [t.replace("[/", "[") if t[1:2] == "/" else t.replace("[", "[/") for t in one]
-            out.append([g and (len(t.strip("[/]")) > 1 or t in _HEADS or t == SLOT or p in own) for t, g, p in zip(one, got, partner)])
-        return out
+        own = {t for name in tokens for t in inner(name)}
+        held = self.held() if any(map(looks_only, own)) and self.reads(tokens) else frozenset()
+        # An opening and a closing tag differ by the slash.
+        lone = {t for t in held & own if t[0] == "[" and t not in _HEADS and len(t.strip("[/]")) == 1 and (t.replace("[/", "[") if t[1] == "/" else t.replace("[", "[/")) not in own}
+        return [[not looks_only(t) or t in held and t not in lone for t in inner(name)] for name in tokens]
 
     def kept(self, text: str) -> list[bool]:
         """Of each of ``signs(text)``, whether it is a mark of the wrapper."""
@@ -537,8 +508,9 @@ class Wrapper:
         return spell(places, folded, self.decide([name for name, _ in folded]))
 
 
-#: Tokens that begin a line or an entry and close nothing: a repeated group supports them.
+#: Tokens that begin a line or an entry and close nothing, and those that open a list.
 _HEADS = ("{number}", "[*]", "[li]")
+_LISTS = {"[list]", "[ul]", "[ol]"}
 
 
 def spell(places: list[int], folded: list[tuple[str, list[list[int]]]], decided: list[list[bool]]) -> list[bool]:
@@ -611,10 +583,11 @@ def _decisions(rows: DataFrame, found: DataFrame) -> DataFrame:
     that only look like one are.
     """
     needy = F.exists("tokens", lambda t: t.rlike(r"\[|\{number\}|</?(?!(?:" + _names(HTML) + r")>)"))
-    salt = F.pmod(F.xxhash64("tokens"), F.lit(PARTS)).cast("int").alias("salt")
-    streams = rows.where(needy).select("host", "tokens", salt).distinct()
-    # A wrapper is long beside a stream: it meets the streams of its host part by part, as when it was made.
-    copies = found.select("host", "names", "optional", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("salt"))
+    streams = checkpoint(rows.where(needy).select("host", "tokens").distinct())
+    # A wrapper is long beside a stream: it meets the streams of its host part by part. One row for each host.
+    ways = small_side(streams.groupBy("host").agg(F.ceil(F.count("*") / STREAMS).cast("int").alias("ways")))
+    streams = streams.join(ways, "host").select("host", "tokens", F.pmod(F.hash("tokens"), "ways").alias("salt"))
+    copies = found.join(ways, "host").select("host", "names", "optional", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("salt"))
 
     def check(pdf: pd.DataFrame, wrapper: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -630,6 +603,11 @@ def _decisions(rows: DataFrame, found: DataFrame) -> DataFrame:
     return both.applyInPandas(check, "host string, tokens array<string>, decided array<array<boolean>>, held int, fits boolean")
 
 
+def _key(tokens: str) -> Column:
+    """A short key of a stream, alike for no two that differ."""
+    return F.unhex(F.md5(F.array_join(tokens, " "))).alias("key")
+
+
 def unwrapped(df: DataFrame, keys: list[str], host: str, text: str) -> DataFrame:
     """keys, n_marks and fits (whether the wrapper of the host reads the text) of every text.
 
@@ -638,8 +616,9 @@ def unwrapped(df: DataFrame, keys: list[str], host: str, text: str) -> DataFrame
     one supports. Null texts give no row; blank and plain ones have no marks.
     """
     rows, found = wrappers(df, keys, host, text)
-    decided = _decisions(rows, found).select("host", "tokens", "held", "fits")
-    seen = rows.join(small_side(decided), ["host", "tokens"], "left")
+    # What needs no second look at the rows, none supported and all read, stays out.
+    decided = _decisions(rows, found).where("held > 0 OR NOT fits").select("host", _key("tokens"), "held", "fits")
+    seen = rows.withColumn("key", _key("tokens")).join(small_side(decided), ["host", "key"], "left")
     # A stream without such a token is read by the wrapper that it went into.
     return seen.select(*keys, (F.col("n_sure") + F.coalesce("held", F.lit(0))).alias("n_marks"), F.coalesce("fits", F.lit(True)).alias("fits"))
 
@@ -654,7 +633,7 @@ def clean(df: DataFrame, keys: list[str], host: str, text: str) -> DataFrame:
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
     rows, found = wrappers(df, keys, host, text)
     # Kinds of streams, not rows; counted before they are broadcast.
-    decided = small_side(_decisions(rows, found).select(F.col("host").alias("__host"), F.col("tokens").alias("__tokens"), F.col("decided").alias("__decided")))
+    decided = small_side(_decisions(rows, found).select(F.col("host").alias("__host"), _key("tokens").alias("__key"), F.col("decided").alias("__decided")))
     texts = df.select(*keys, F.coalesce(F.col(host), F.lit("")).alias("__host"), F.col(text).alias("__text")).where(F.col("__text").isNotNull())
     needy = F.col("__text").rlike(_NEEDY)
 
@@ -675,6 +654,6 @@ def clean(df: DataFrame, keys: list[str], host: str, text: str) -> DataFrame:
             yield pdf.assign(blocks=[[{"kind": k, "text": t} for k, t in b] for b in blocks], text=["\n".join(t for _, t in b) for b in blocks])
 
     asked = texts.where(needy).mapInPandas(read, ddl + ", __host string, __text string, __tokens array<string>")
-    asked = asked.join(decided, ["__host", "__tokens"], "left").select(*keys, "__text", "__decided")
+    asked = asked.withColumn("__key", _key("__tokens")).join(decided, ["__host", "__key"], "left").select(*keys, "__text", "__decided")
     both = asked.unionByName(texts.where(~needy).select(*keys, "__text", F.lit(None).cast("array<array<boolean>>").alias("__decided")))
     return both.mapInPandas(run, ddl + ", blocks array<struct<kind: string, text: string>>, text string")
