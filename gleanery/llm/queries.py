@@ -11,7 +11,7 @@ from gleanery.llm.encoding import garbled
 from gleanery.llm.leak import leaked
 from gleanery.llm.markup import clean, unwrapped, wrappers
 from gleanery.llm.mix import counted, mix, shares
-from gleanery.llm.repetition import SHARE, repetition
+from gleanery.llm.repetition import repetition, repetitive
 from gleanery.session import table
 
 
@@ -60,7 +60,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text").where((F.col("share") >= SHARE) & (F.col("n_words") > 0)).select("doc_id")
+    return repetitive(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text").select("doc_id")
 
 
 def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
