@@ -19,18 +19,27 @@ from gleanery.session import small_side
 
 #: How values of each kind look where they start or end. All are Java patterns.
 #: reference: ``12:http://...`` or ``7:DIGEST``; address: ``scheme://``; path: ends in an
-#: extension; number: digits.
+#: extension of any length; number: digits.
 KINDS = {
     "reference": {"start": r"[0-9]+:(?=[^\s|;,\"'])"},
     "address": {"start": r"[A-Za-z][A-Za-z0-9+.\-]*://"},
-    "path": {"end": r"\.[A-Za-z0-9]{1,5}"},
+    "path": {"end": r"\.[A-Za-z0-9]+"},
     "number": {},
 }
 
-_START, _END, _TRIPLE = "\u0001", "\u0002", "\u0003"
+_START, _END, _TRIPLE, _QUOTE, _CUT = "\u0001", "\u0002", "\u0003", "\u0004", "\u0005"
 _TRIM = r"^[\s|;,\"'\[\]]+|[\s|;,\"'\[\]]+$"
 
 
+#: So many distinct rules are compiled once for all rows; rows of any further rule compile their own.
+RULES = 100
+
+
+def _unescaped(value: Column) -> Column:
+    """Doubled quotes inside a quoted value as one sign, so that they neither open nor close."""
+    return F.when(value.contains('""'), F.regexp_replace(value, r"(?<=[^\s|;,\[\"])\"\"|\"\"(?=[^\s|;,\]\"])", _QUOTE)).otherwise(value)
+
+
 def skeleton(value: Column, kind: str) -> Column:
     """The delimiter skeleton of ``value``; null stays null.
 
@@ -47,8 +56,10 @@ def skeleton(value: Column, kind: str) -> Column:
         s = F.regexp_replace(s, KINDS["path"]["end"] + rf"(?=[\"']?\s*(?:[|;,\r\n\"\]{_TRIPLE}]|$))", _END)
         s = F.regexp_replace(s, rf"[ \t]*([|;,\"\[\]{_TRIPLE}])[ \t]*", "$1")
         s = F.regexp_replace(s, rf"[^{_END}{_TRIPLE}|;,\r\n\"\[\]]+", "x")
-        s = F.regexp_replace(s, "x[;,|]+(?=x)", "")
-        return F.regexp_replace(s, rf"((?:x*{_END})[^x{_END}]*)\1+", "$1+")
+        s = F.regexp_replace(F.regexp_replace(s, "x[;,|]+(?=x)", ""), rf"((?:x*{_END})[^x{_END}]*)\1+", "$1+")
+        # Without any extension: signs between letters, with the spaces around them.
+        bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "///", _TRIPLE), rf"[^\s|;,\"\[\]{_TRIPLE}]+", "x"), r"(x[^x]*)\1+", "$1+")
+        return F.when(s.contains(_END), s).otherwise(bare)
     s = F.regexp_replace(value, rf"(^|[\s|;,\"'\[]){KINDS[kind]['start']}", f"$1{_START}")
     s = F.regexp_replace(s, rf"[^{_START}\s|;,\"\[\]]+", "x")
     s = F.regexp_replace(s, rf"x(?:[;,|]x)+", "x")
@@ -79,38 +90,53 @@ def resolve_rule(kind: str, skel: str | None) -> str | None:
             cuts.append(r"\s*[\r\n]+\s*")
         weak = "".join(c for c in "|;," if re.search(rf"{_END}[{_TRIPLE}\s]*{re.escape(c)}", skel))
         if weak:
-            cuts.append(rf"(?<=\.[A-Za-z0-9]{{1,5}})\s*[{weak}][{weak}\s]*")
+            # Only the last sign of the extension is looked back at: what was not one got no cut in the skeleton.
+            cuts.append(rf"(?<=\.[A-Za-z0-9]{{1,255}})\s*[{weak}][{weak}\s]*")
+        if _END not in skel:
+            # Names without extension: a delimiter that no space ever follows, but as the last sign.
+            tight = next((c for c in "|;," if c in skel.rstrip("|;, ") and not re.search(rf"\s{re.escape(c)}|{re.escape(c)}\s+x", skel)), "")
+            cuts += [f"[{tight}]+"] * bool(tight)
         return "|".join(cuts) or r"[\r\n]+"
     seen = "".join(sorted(set(re.sub(rf"[x{_START}+\"\[\]]", "", skel)) - set(" \t\r\n ")))
     return rf"[\s{re.escape(seen)}]+(?={KINDS[kind]['start']})"
 
 
-def split_packed(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
-    """One row for each value of each packed field.
+def split_arrays(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """The values of each packed field as an array: fld, row_id and values.
 
-    ``fields`` maps a field's name to (id column, kind). The result has fld, row_id,
-    pos (from 1), n_values and value. Null and blank fields and fields of delimiters
-    alone give no row; empty pieces are no values; repeated values count each time.
-    Extra columns of ``df`` are ignored.
+    ``fields`` maps a field's name to (id column, kind). Null fields give no row; blank ones
+    and fields of delimiters alone have no values; empty pieces are no values; repeated
+    values count each time. Extra columns of ``df`` are ignored.
     """
     parts = [
-        df.select(F.lit(fld).alias("fld"), F.lit(kind).alias("kind"), F.col(f"`{rid}`").cast("long").alias("row_id"), F.col(f"`{fld}`").alias("packed"), skeleton(F.col(f"`{fld}`"), kind).alias("skel")).where(F.col("packed").isNotNull())
+        df.select(F.lit(fld).alias("fld"), F.lit(kind).alias("kind"), F.col(f"`{rid}`").cast("long").alias("row_id"), _unescaped(F.col(f"`{fld}`")).alias("packed")).where(F.col("packed").isNotNull()).withColumn("skel", skeleton(F.col("packed"), kind))
         for fld, (rid, kind) in fields.items()
     ]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
 
-    def rules(batches):
+    def resolve(batches):
         for pdf in batches:
             yield pdf.assign(rule=[resolve_rule(k, s) for k, s in zip(pdf.kind, pdf.skel)])
 
     # Few even for billions of rows; counted before they are broadcast, shuffled otherwise.
-    distinct = rows.select("kind", "skel").distinct().mapInPandas(rules, "kind string, skel string, rule string")
-    cut = rows.join(small_side(distinct), ["kind", "skel"])
-    values = F.filter(F.transform(F.split("packed", F.col("rule")), lambda v: F.regexp_replace(v, _TRIM, "")), lambda v: v != "")
-    return (
-        cut.select("fld", "row_id", values.alias("values"))
-        .select("fld", "row_id", F.size("values").alias("n_values"), F.posexplode("values").alias("pos", "value"))
-        .withColumn("pos", F.col("pos") + 1)
-    )
+    distinct = small_side(rows.select("kind", "skel").distinct().mapInPandas(resolve, "kind string, skel string, rule string"))
+    cut = rows.join(distinct, ["kind", "skel"])
+    # Rules are subsets of a few delimiters: known beforehand, their patterns are compiled once and not for each row.
+    rule, marked = F.col("rule"), None
+    for r in distinct.select("rule").distinct().limit(RULES).collect():
+        one = F.split(F.regexp_replace("packed", r.rule, _CUT), _CUT)
+        marked = F.when(rule == r.rule, one) if marked is None else marked.when(rule == r.rule, one)
+    pieces = F.split("packed", rule) if marked is None else marked.otherwise(F.split("packed", rule))
+    values = F.filter(F.transform(pieces, lambda v: F.translate(F.regexp_replace(v, _TRIM, ""), _QUOTE, '"')), lambda v: v != "")
+    return cut.select("fld", "row_id", values.alias("values"))
+
+
+def split_packed(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """One row for each value of each packed field: fld, row_id, pos (from 1), n_values and value.
+
+    See ``split_arrays``; fields without a value give no row.
+    """
+    arrays = split_arrays(df, fields)
+    return arrays.select("fld", "row_id", F.size("values").alias("n_values"), F.posexplode("values").alias("pos", "value")).withColumn("pos", F.col("pos") + 1)

@@ -24,6 +24,14 @@ def values(spark, kind, text):
         ("path", '"a, x.mkv","b.mkv"', ["a, x.mkv", "b.mkv"]),
         ("path", "a.mkv\r\nb.mkv///c.mkv", ["a.mkv", "b.mkv", "c.mkv"]),
         ("path", "Border, part one.epub", ["Border, part one.epub"]),
+        ("path", "a.torrent;b.torrent", ["a.torrent", "b.torrent"]),
+        ("path", "a.mkv;b.torrent;c.mkv", ["a.mkv", "b.torrent", "c.mkv"]),
+        ("path", "README;Makefile", ["README", "Makefile"]),
+        ("path", "README|LICENSE, old|Makefile|", ["README", "LICENSE, old", "Makefile"]),
+        ("path", "Border, part one", ["Border, part one"]),
+        ("path", "docs/README///docs/Makefile", ["docs/README", "docs/Makefile"]),
+        ("path", '"a, ""x"".mkv","b ""y"""', ['a, "x".mkv', 'b "y"']),
+        ("path", '"a, ""x"".mkv", "b.mkv"', ['a, "x".mkv', "b.mkv"]),
         ("number", "123456789,12,1234", ["123456789", "12", "1234"]),
         ("number", '"1,078,906"; "474,716"', ["1,078,906", "474,716"]),
         ("number", "12 34|56", ["12", "34", "56"]),
