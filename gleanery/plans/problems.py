@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.operators.packed import split_packed
-from gleanery.operators.quantities import differing, reconcile, size_readings
+from gleanery.operators.packed import split_arrays, split_packed
+from gleanery.operators.quantities import SOURCE_UNIT, bare_number, differing, infer_units, reconcile, settle, size_readings
 from gleanery.operators.timestamps import normalise, same_second
-from gleanery.session import table
+from gleanery.session import small_side, table
 
 
 def _instants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,25 +35,66 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_second(_instants(spark, sf_dir), ["tbl", "grp"], "row_id").select("tbl", "key_a", "key_b")
 
 
-def _item_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A fixed table of 400 rows.
-    units = F.broadcast(table(spark, sf_dir, "sources", F.col("_id").alias("source_id"), "size_unit").dropDuplicates(["source_id"]))
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meta = table(spark, sf_dir, "meta", "meta_id", "item_id", "size").where(F.col("size").isNotNull())
+    return meta.select("item_id", "meta_id", size_readings(F.col("size"), F.lit("B")).alias("readings"))
+
+
+def _file_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """item_id and the sum of the sizes of its files, of each file that names its item."""
+    info = table(spark, sf_dir, "torrent_info", "info_id", "item_id", "filesizes").where(F.col("item_id").isNotNull() & F.col("filesizes").isNotNull())
+    # The item's id stands in for the row's: only the sum is asked for.
+    sizes = split_arrays(info.select("item_id", "filesizes"), {"filesizes": ("item_id", "number")})
+    total = F.aggregate(F.transform("values", lambda v: F.regexp_replace(v, "[^0-9]", "").try_cast("double")), F.lit(0.0), lambda a, x: a + x)
+    return sizes.select(F.col("row_id").alias("item_id"), total.alias("total")).where("total > 0")
+
+
+def _identities(spark: SparkSession, sf_dir: str, pages: DataFrame) -> DataFrame:
+    """item_id and a size in bytes that the item must have: its pages', where these have one reading, and its files'."""
+    stated = pages.where(F.col("item_id").isNotNull() & (F.size("readings") == 1)).select("item_id", F.col("readings")[0].alias("total"))
+    return stated.unionByName(_file_totals(spark, sf_dir))
+
+
+def p5_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unit of each source's bare numbers, as the sizes of pages and files tell it."""
+    return _units(spark, sf_dir, _identities(spark, sf_dir, _pages(spark, sf_dir)))
+
+
+def _units(spark: SparkSession, sf_dir: str, identities: DataFrame) -> DataFrame:
+    bare = table(spark, sf_dir, "torrents_item", "item_id", "source_id", "size").select("item_id", "source_id", bare_number(F.col("size")).alias("number")).where(F.col("number").isNotNull())
+    return infer_units(bare.join(identities, "item_id"), "source_id", "number", "total")
+
+
+def _items(spark: SparkSession, sf_dir: str, identities: DataFrame) -> DataFrame:
+    """item_id and readings of the sizes of items, bare numbers in the unit that the identities give their source.
+
+    Where these give no unique one, the unit that the source declares holds; where it
+    declares none either, any.
+    """
+    declared = table(spark, sf_dir, "sources", F.col("_id").alias("source_id"), "size_unit").dropDuplicates(["source_id"])
+    name = {v: k for k, v in SOURCE_UNIT.items()}
+    inferred = F.when(F.col("unique"), F.element_at(F.create_map(*[F.lit(x) for f, k in name.items() for x in (float(f), k)]), F.col("factor")))
+    # A row for each source; counted before it is broadcast.
+    units = small_side(declared.join(_units(spark, sf_dir, identities), "source_id", "full").select("source_id", F.coalesce(inferred, "size_unit", F.lit("?")).alias("unit")))
     items = table(spark, sf_dir, "torrents_item", "item_id", "size", "source_id").where(F.col("size").isNotNull()).join(units, "source_id", "left")
-    return items.select("item_id", size_readings(F.col("size"), F.coalesce("size_unit", F.lit("?"))).alias("readings"))
+    return items.select("item_id", size_readings(F.col("size"), F.coalesce("unit", F.lit("?"))).alias("readings"))
 
 
 def p5_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stated size in bytes, by its likeliest reading."""
-    meta = table(spark, sf_dir, "meta", "meta_id", "size")
-    rows = meta.select(F.lit("meta").alias("tbl"), F.col("meta_id").alias("row_id"), size_readings(F.col("size"), F.lit("B")).alias("readings"))
-    rows = rows.unionByName(_item_sizes(spark, sf_dir).select(F.lit("torrents_item").alias("tbl"), F.col("item_id").alias("row_id"), "readings"))
-    return rows.where(F.size("readings") > 0).select("tbl", "row_id", F.col("readings")[0].alias("bytes"), (F.size("readings") == 1).alias("unique"))
+    """Every stated size in bytes, by the reading that pages, items and files of one item agree on."""
+    pages = _pages(spark, sf_dir)
+    identities = _identities(spark, sf_dir, pages)
+    items = _items(spark, sf_dir, identities)
+    stated = items.where(F.size("readings") == 1).select("item_id", F.col("readings")[0].alias("total"))
+    both = settle(pages, "meta_id", "item_id", stated, "total").select(F.lit("meta").alias("tbl"), F.col("meta_id").alias("row_id"), "bytes", "unique")
+    key = F.col("item_id").alias("key")
+    return both.unionByName(settle(items.select("item_id", key, "readings"), "item_id", "key", identities.select(key, "total"), "total").select(F.lit("torrents_item").alias("tbl"), F.col("item_id").alias("row_id"), "bytes", "unique"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    meta = table(spark, sf_dir, "meta", "meta_id", "item_id", "size").where(F.col("item_id").isNotNull() & F.col("size").isNotNull())
-    pages = meta.select("item_id", "meta_id", size_readings(F.col("size"), F.lit("B")).alias("readings"))
-    return differing(reconcile(pages, _item_sizes(spark, sf_dir), "item_id")).select("item_id", "meta_id")
+    pages = _pages(spark, sf_dir)
+    items = _items(spark, sf_dir, _identities(spark, sf_dir, pages))
+    return differing(reconcile(pages.where(F.col("item_id").isNotNull()), items, "item_id")).select("item_id", "meta_id")
 
 
 def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +113,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(spark, sf_dir).where("n_values > 1").select("fld", "row_id", F.col("pos").cast("int").alias("pos"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_instants, p5_found, p5_bytes, p7_found, p7_values)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_instants, p5_found, p5_bytes, p5_units, p7_found, p7_values)}
 
 ORACLE_SQL: dict[str, str] = {
     "p7_found": r"""

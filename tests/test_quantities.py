@@ -50,3 +50,42 @@ def test_reconcile(spark):
 def test_unknown_unit_is_flagged_when_two_fit(spark):
     a = spark.createDataFrame([(1, [1024.0, 1024.5])], "k long, readings array<double>")
     assert not q.reconcile(a, a, "k").first().unique
+
+
+def test_a_choice_that_fits_nothing_is_not_unique(spark):
+    a = spark.createDataFrame([(1, [1.5, 3.0]), (2, [100.0]), (3, [7.0])], "k long, readings array<double>")
+    b = spark.createDataFrame([(1, [10.0, 20.0]), (2, [50.0, 400.0]), (3, [7.0, 70.0])], "k long, readings array<double>")
+    assert {r.k: r.unique for r in q.reconcile(a, b, "k").collect()} == {1: False, 2: False, 3: True}
+
+
+def test_units_of_sources_follow_from_their_rows_together(spark):
+    # Source 1 counts KiB but for a row about something else, 2 has too few rows, 3 fits two units, 4 none.
+    rows = [(1, float(n), n * 1024.0) for n in range(5, 12)] + [(1, 50.0, 7e9), (2, 3.0, 3.0), (2, 4.0, 4.0), (None, 3.0, 3.0), (1, 0.0, 5.0), (1, None, 5.0)]
+    rows += [(3, 8.0, 8.0)] * 5 + [(3, 8.0, 4096.0)] * 4 + [(4, float(n), n * 30.0) for n in range(9)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "src long, number double, total double, n string")
+    got = {r.src: (r.factor, r.n, r.unique) for r in q.infer_units(df, "src", "number", "total").collect()}
+    assert got[1] == (1024.0, 8, True) and got[2] == (1.0, 2, False) and not got[3][2] and not got[4][2] and set(got) == {1, 2, 3, 4}
+    assert q.infer_units(df.limit(0), "src", "number", "total").count() == 0
+
+
+def test_settle(spark):
+    mb = 1024.0**2
+    rows = [(1, 10, q.parse_size("1.234 MB")), (2, 20, q.parse_size("1.234 MB")), (3, 30, q.parse_size("1.234 MB")), (4, 40, [5.0]), (5, 50, []), (6, 60, [100.0, 100.5]), (7, None, [1.0, 2.0]), (8, 80, [3.0, 4.0])]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "id long, k long, readings array<double>, v string")
+    # Two partners outvote one.
+    other = spark.createDataFrame([(10, 1234 * mb), (20, 1.234 * mb), (20, 1.234 * mb), (20, 1234 * mb), (60, 100.0), (80, 900.0), (None, 1.0)], "k long, total double")
+    got = {r.id: (r.bytes, r.unique) for r in q.settle(df, "id", "k", other, "total").collect()}
+    assert got == {1: (1234 * mb, True), 2: (1.234 * mb, True), 3: (1.234 * mb, False), 4: (5.0, True), 6: (100.0, False), 7: (1.0, False), 8: (3.0, False)}
+    assert q.settle(df.limit(0), "id", "k", other, "total").count() == 0
+
+
+def test_a_text_keeps_to_one_notation_however_many_terms_it_has():
+    terms = " + ".join(f"{k}.234 MB" for k in range(1, 9))
+    assert q.parse_size(terms) == [pytest.approx(sum(k + 0.234 for k in range(1, 9)) * 1024**2), sum(k * 1000 + 234 for k in range(1, 9)) * 1024**2]
+    assert q.parse_size(f"{2**85} bytes") == [2.0**85]
+
+
+def test_bare_numbers(spark):
+    rows = [("12", 12.0), (" 1.5 ", 1.5), ("1.234", None), ("1.2345", 1.2345), ("12 MB", None), ("", None), (None, None), ("9" * 40, None)]
+    df = spark.createDataFrame(rows, "t string, want double")
+    assert all(r.got == r.want for r in df.select("want", q.bare_number(F.col("t")).alias("got")).collect())
