@@ -28,7 +28,7 @@ SAMPLE = 20_000
 #: A document of this probability or more is counted exactly; one below it is not reported.
 THRESHOLD = 0.001
 #: Characters that are hashed at a time.
-CHUNK = 2_000_000
+CHUNK = 300_000
 _SIGNS = regex.compile(r"[^\p{L}\p{N}]+")
 
 
@@ -180,7 +180,7 @@ def labelled_sample(df: DataFrame, key: str, text: str, rows: int = SAMPLE) -> t
             out["y"] = [float(len(d) > 0 and repeated_words(d) >= SHARE * len(d)) for d in docs]
             yield out
 
-    got = df.where(near).select(F.col(f"`{text}`").alias("__text")).limit(rows).mapInPandas(run, ", ".join(f"{c} double" for c in [*names, "y"])).toPandas()
+    got = df.where(near).select(F.col(f"`{text}`").alias("__text")).mapInPandas(run, ", ".join(f"{c} double" for c in [*names, "y"])).limit(rows).toPandas()
     return got[names].to_numpy(), got.y.to_numpy()
 
 
