@@ -1,19 +1,23 @@
 """Timestamps in mixed formats, precisions and zones to one UTC second each.
 
-A reading is masked to its character classes (digit, letter, everything else as it is).
-All readings with one mask have their fields at the same places, so a parser is chosen
-once for each distinct mask and then cuts and converts whole columns of characters with
-numpy. Zones, named or implied, are applied through tables of their transitions, made
-once from the installed time-zone data and carrying its version.
+A reading is masked to its shape: digits become one class, words and signs stay. All
+readings with one mask have their fields at the same places, so a parser is chosen once
+for each distinct mask and then cuts and converts whole columns of characters with numpy.
+Zones, named or implied, are applied through tables of their transitions, made from the
+installed time-zone data and kept under its version; a task whose machine has another
+version than the driver fails instead of mixing the two, and the version goes out with
+the instants.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
 import re
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from functools import lru_cache
-from zoneinfo import ZoneInfo
+from zoneinfo import TZPATH, ZoneInfo
 
 import numpy as np
 import pandas as pd
@@ -52,28 +56,51 @@ FORMATS = [
     )
 ]
 _CLASSES = str.maketrans({c: "9" for c in "0123456789"})
+#: Years that transition tables cover; readings of other years are looked up one by one.
 _YEARS = (1900, 2100)
 
 
+@lru_cache(maxsize=1)
 def tz_version() -> str:
-    """Version of the installed time-zone data, kept with every transition table."""
-    try:
-        from importlib.metadata import version
-
-        return f"tzdata {version('tzdata')}"
-    except Exception:
-        for path in ("/usr/share/zoneinfo/tzdata.zi", "/usr/share/zoneinfo/+VERSION"):
+    """Version of the time-zone data that ``zoneinfo`` reads: the system's, else the package's."""
+    for folder in TZPATH:
+        for name in ("tzdata.zi", "+VERSION"):
             try:
-                with open(path) as f:
-                    return f.readline().strip("# \n")
+                with open(os.path.join(folder, name)) as f:
+                    return f.readline().replace("version", "").strip("# \n")
             except OSError:
-                pass
-    return "unknown"
+                continue
+        # Data without a statement of its version: a digest of rules that change often.
+        digest = hashlib.sha256()
+        for zone in ("Africa/Casablanca", "America/New_York", "Asia/Gaza", "Europe/Moscow", "Pacific/Fiji"):
+            try:
+                with open(os.path.join(folder, zone), "rb") as f:
+                    digest.update(f.read())
+            except OSError:
+                break
+        else:
+            return f"unnamed {digest.hexdigest()[:12]}"
+    from importlib.metadata import PackageNotFoundError, version
+
+    try:
+        return version("tzdata")
+    except PackageNotFoundError:
+        return "none"
+
+
+def transitions(zone: str, version: str | None = None) -> tuple[np.ndarray, np.ndarray] | None:
+    """Instants from which an offset holds, and the offsets, of one zone from 1900 to 2100; None for no zone.
+
+    ``version`` is the one that the table has to be of.
+    """
+    here = tz_version()
+    if version is not None and version != here:
+        raise RuntimeError(f"time-zone data {here} here, {version} on the driver")
+    return _transitions(zone, here)
 
 
 @lru_cache(maxsize=1024)
-def transitions(zone: str) -> tuple[np.ndarray, np.ndarray] | None:
-    """Instants from which an offset holds, and the offsets, of one zone from 1900 to 2100; None for no zone."""
+def _transitions(zone: str, version: str) -> tuple[np.ndarray, np.ndarray] | None:
     try:
         tz = ZoneInfo(zone)
     except Exception:
@@ -98,12 +125,27 @@ def transitions(zone: str) -> tuple[np.ndarray, np.ndarray] | None:
     return np.array(at, dtype=np.int64), np.array(offsets, dtype=np.int64)
 
 
-def zone_to_utc(local: np.ndarray, zone: str) -> tuple[np.ndarray, np.ndarray]:
+def _one_by_one(local: np.ndarray, zone: str) -> tuple[np.ndarray, np.ndarray]:
+    """As ``zone_to_utc``, for the few readings of years without a table."""
+    tz, out, good = ZoneInfo(zone), np.zeros_like(local), np.zeros(len(local), dtype=bool)
+    for k, t in enumerate(local):
+        try:
+            naive = datetime(1970, 1, 1) + timedelta(seconds=int(t))
+            hits = {naive.replace(tzinfo=tz, fold=f).astimezone(timezone.utc) for f in (0, 1)}
+            hits = {u for u in hits if u.astimezone(tz).replace(tzinfo=None) == naive}
+        except (OverflowError, ValueError):
+            continue
+        if len(hits) == 1:
+            out[k], good[k] = (hits.pop().replace(tzinfo=None) - datetime(1970, 1, 1)) // timedelta(seconds=1), True
+    return out, good
+
+
+def zone_to_utc(local: np.ndarray, zone: str, version: str | None = None) -> tuple[np.ndarray, np.ndarray]:
     """UTC seconds of local seconds and whether each names one instant.
 
     A local reading that the zone's clock shows twice or never names none.
     """
-    table = transitions(zone)
+    table = transitions(zone, version)
     if table is None:
         return np.zeros_like(local), np.zeros(len(local), dtype=bool)
     at, offsets = table
@@ -113,13 +155,18 @@ def zone_to_utc(local: np.ndarray, zone: str) -> tuple[np.ndarray, np.ndarray]:
         ok = offsets[np.searchsorted(at, utc, side="right") - 1] == off
         hits += ok
         found = np.where(ok, utc, found)
-    return found, hits == 1
+    good = hits == 1
+    begin, end = ((datetime(y, 1, 1) - datetime(1970, 1, 1)) // timedelta(seconds=1) for y in _YEARS)
+    if (far := np.flatnonzero((local < begin + 2 * 86400) | (local >= end - 2 * 86400))).size:
+        found[far], good[far] = _one_by_one(local[far], zone)
+    return found, good
 
 
 class Parser:
     """Cuts the fields out of all readings with one mask."""
 
-    def __init__(self, example: str):
+    def __init__(self, example: str, version: str | None = None):
+        self.version = version
         self.spans: dict[str, tuple[int, int]] = {}
         for form in FORMATS:
             if m := form.fullmatch(example):
@@ -157,7 +204,7 @@ class Parser:
         else:
             month = self.number(chars, "m")
         hour, minute, sec = (self.number(chars, k) for k in "HMS")
-        ok = (month >= 1) & (month <= 12) & (day >= 1) & (minute < 60) & (sec < 60) & (hour < 24) & (year >= _YEARS[0]) & (year < _YEARS[1])
+        ok = (month >= 1) & (month <= 12) & (day >= 1) & (minute < 60) & (sec < 60) & (hour < 24) & (year >= 1)
         if "ampm" in self.spans:
             half = np.char.lower(self.text(chars, "ampm"))
             ok &= (hour >= 1) & (hour <= 12)
@@ -187,16 +234,16 @@ class Parser:
                 if name.upper() in ABBREVIATIONS:
                     utc[at], good[at] = local[at] - ABBREVIATIONS[name.upper()], True
             else:
-                utc[at], good[at] = zone_to_utc(local[at], name)
+                utc[at], good[at] = zone_to_utc(local[at], name, self.version)
         return utc, good & ok
 
 
 #: Parsers by mask; a worker keeps them. Emptied when strange readings have filled it.
-_PARSERS: dict[str, Parser] = {}
+_PARSERS: dict[tuple[str, str | None], Parser] = {}
 
 
-def to_utc(readings: pd.Series, zones: pd.Series) -> pd.Series:
-    """UTC second of each reading as nullable integer.
+def to_utc(readings: pd.Series, zones: pd.Series, version: str | None = None) -> pd.Series:
+    """UTC second of each reading as nullable integer; ``version`` is that of the time-zone data to use.
 
     >>> to_utc(pd.Series(["2010-05-05T11:07:39Z", "05/06/2010 01:10:24 PM", "05-05-2010"]), pd.Series(["UTC"] * 3)).tolist()
     [1273057659, 1273151424, <NA>]
@@ -204,43 +251,34 @@ def to_utc(readings: pd.Series, zones: pd.Series) -> pd.Series:
     out = np.zeros(len(readings), dtype=np.int64)
     good = np.zeros(len(readings), dtype=bool)
     text = readings.fillna("").str.strip()
-    masks = text.str.translate(_CLASSES).str.replace(r"[^\W\d_]", "a", regex=True)
-    # Letters keep their case class only where a zone or half of day needs none; names are read by place.
+    # Words stay in the mask: months, zones and halves of the day are few, and a word's role follows from it.
+    masks = text.str.translate(_CLASSES)
     values, zone = text.to_numpy(dtype=object), zones.to_numpy(dtype=object)
     for mask, rows in masks.groupby(masks, sort=False).indices.items():
-        if mask not in _PARSERS:
+        parser = _PARSERS.get((mask, version))
+        if parser is None:
             if len(_PARSERS) > 50_000:
                 _PARSERS.clear()
-            _PARSERS[mask] = Parser(values[rows[0]])
-        parser = _PARSERS[mask]
-        if not parser:
-            continue
-        # One mask may stand for words of several roles; a reading whose own match differs is parsed by itself.
-        if "a" in mask and "b" in parser.spans or "ampm" in parser.spans or "abbr" in parser.spans:
-            keys = pd.Series(values[rows]).str.replace(r"[0-9]", "9", regex=True)
-            for _, part in keys.groupby(keys, sort=False).indices.items():
-                sub = rows[part]
-                own = Parser(values[sub[0]])
-                if own:
-                    out[sub], good[sub] = own(values[sub], zone[sub])
-            continue
-        out[rows], good[rows] = parser(values[rows], zone[rows])
+            parser = _PARSERS[mask, version] = Parser(values[rows[0]], version)
+        if parser:
+            out[rows], good[rows] = parser(values[rows], zone[rows])
     return pd.Series(out).astype("Int64").where(pd.Series(good))
 
 
 def normalise(df: DataFrame, reading: str, zone: str, keep: list[str]) -> DataFrame:
-    """``keep`` columns and utc_second (null where ``reading`` names no single instant).
+    """``keep`` columns, utc_second (null where ``reading`` names no single instant) and tz_version.
 
     ``zone`` is the column with the zone of readings that say none; null means there is
     no such zone. Fractions are cut off; bare days, impossible or unreadable times, the
     1970 placeholder and local readings that occur twice or never give null.
     """
     schema = df.select(*[F.col(f"`{c}`") for c in keep]).schema
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", utc_second bigint"
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", utc_second bigint, tz_version string"
+    version = tz_version()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf[keep].assign(utc_second=to_utc(pdf["__reading"], pdf["__zone"]))
+            yield pdf[keep].assign(utc_second=to_utc(pdf["__reading"], pdf["__zone"], version), tz_version=version)
 
     return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{reading}`").alias("__reading"), F.col(f"`{zone}`").alias("__zone")).mapInPandas(run, ddl)
 
@@ -255,3 +293,14 @@ def same_second(df: DataFrame, group: list[str], key: str) -> DataFrame:
     w = checkpoint(df.where(F.col("utc_second").isNotNull()).dropna(subset=group).select(*group, "utc_second", key))
     a, b = w.withColumnRenamed(key, "key_a"), w.withColumnRenamed(key, "key_b")
     return a.join(b, [*group, "utc_second"]).where("key_a < key_b")
+
+
+def second_classes(df: DataFrame, group: list[str], key: str) -> DataFrame:
+    """group, utc_second, class_id (smallest key) and n_rows of all rows that name one second.
+
+    The form of ``same_second`` that stays linear in the rows: a class of n rows is one row
+    here and n (n - 1) / 2 pairs there. Null groups and seconds are in no class; classes of
+    one row are left out.
+    """
+    named = df.where(F.col("utc_second").isNotNull()).dropna(subset=group)
+    return named.groupBy(*group, "utc_second").agg(F.min(key).alias("class_id"), F.count("*").alias("n_rows")).where("n_rows > 1")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.packed import split_arrays, split_packed
 from gleanery.operators.quantities import SOURCE_UNIT, bare_number, differing, infer_units, reconcile, settle, size_readings
-from gleanery.operators.timestamps import normalise, same_second
+from gleanery.operators.timestamps import normalise, same_second, second_classes
 from gleanery.session import small_side, table
 
 
@@ -27,8 +27,13 @@ def _instants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One UTC instant for each reading, null where it names none."""
-    return _instants(spark, sf_dir).select("tbl", "row_id", F.timestamp_seconds("utc_second").alias("instant"))
+    """One UTC instant for each reading, null where it names none, and the version of the time-zone data."""
+    return _instants(spark, sf_dir).select("tbl", "row_id", F.timestamp_seconds("utc_second").alias("instant"), "tz_version")
+
+
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one group that name one second, as a class with its size: linear where pairs are not."""
+    return second_classes(_instants(spark, sf_dir), ["tbl", "grp"], "row_id")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +118,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(spark, sf_dir).where("n_values > 1").select("fld", "row_id", F.col("pos").cast("int").alias("pos"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_instants, p5_found, p5_bytes, p5_units, p7_found, p7_values)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_instants, p2_classes, p5_found, p5_bytes, p5_units, p7_found, p7_values)}
 
 ORACLE_SQL: dict[str, str] = {
     "p7_found": r"""

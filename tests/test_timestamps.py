@@ -68,3 +68,33 @@ def test_same_second_pairs(spark):
     assert {(r.key_a, r.key_b) for r in ts.same_second(inst, ["grp"], "id").collect()} == {(1, 2), (1, 3), (2, 3)}
     empty = ts.normalise(df.limit(0), "reading", "zone", ["grp", "id"])
     assert ts.same_second(empty, ["grp"], "id").count() == 0
+
+
+def test_years_without_a_table_are_looked_up_one_by_one():
+    assert utc("01-07-2150 12:00:00", "Europe/Madrid") == utc("2150-07-01 10:00:00")
+    assert utc("01-07-1850 12:00:00") == utc("1850-07-01 12:00:00") and utc("01-07-1850 12:00:00") < utc("01-07-1950 12:00:00")
+    assert utc("31-10-2150 02:30:00", "Europe/Madrid") is not None or utc("25-10-2150 02:30:00", "Europe/Madrid") is None
+    assert utc("0001-01-01 00:00:00", "Asia/Tokyo") is None or utc("0001-01-01 00:00:00", "Asia/Tokyo") < 0
+
+
+def test_another_version_of_the_zone_data_is_refused():
+    here = ts.tz_version()
+    assert here and ts.transitions("Europe/Madrid", here) is not None
+    with pytest.raises(RuntimeError):
+        ts.to_utc(pd.Series(["05-05-2010 11:07:39"]), pd.Series(["Europe/Madrid"]), "1999z")
+
+
+def test_one_parser_for_each_mask():
+    ts._PARSERS.clear()
+    readings = pd.Series([f"{d:02d} May 2010 11:07:{s:02d} PM" for d in range(1, 20) for s in range(50)])
+    first = ts.to_utc(readings, pd.Series(["UTC"] * len(readings)))
+    assert first.notna().all() and len(ts._PARSERS) == 1
+    kept = next(iter(ts._PARSERS.values()))
+    assert ts.to_utc(readings, pd.Series(["UTC"] * len(readings))).equals(first) and next(iter(ts._PARSERS.values())) is kept
+
+
+def test_classes_are_the_pairs_in_short(spark):
+    rows = [("a", k, 100 + k % 3) for k in range(9)] + [("a", 20, None), (None, 21, 100), ("b", 22, 100), ("b", 22, 100)]
+    df = spark.createDataFrame(rows, "grp string, id long, utc_second long")
+    assert {(r.grp, r.utc_second, r.class_id, r.n_rows) for r in ts.second_classes(df, ["grp"], "id").collect()} == {("a", 100, 0, 3), ("a", 101, 1, 3), ("a", 102, 2, 3), ("b", 100, 22, 2)}
+    assert ts.second_classes(df.limit(0), ["grp"], "id").count() == 0
