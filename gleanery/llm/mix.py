@@ -1,31 +1,37 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 The largest total is taken that every source can supply its weight of within its cap on
-repeats. A source that has to be used r times over contributes floor(r) certain copies of
-each document; the rest is drawn: each document gets the odds of a random number divided
-by the odds of its inclusion, and those with the smallest ratio are taken until the
-source's tokens are reached. Random numbers are hashes of the document id, so that a lost
-and recomputed task draws the same sample.
+repeats. Within a source a document is expected to be used in proportion to its odds, by
+default its size: that often, but never more often than the cap, as makes the source's
+tokens add up. The whole part of that number are certain copies. For the rest, a chance
+that differs from document to document, each gets the odds of a random number divided by
+the odds of its inclusion, and those with the smallest ratio are taken until the source's
+tokens are reached. Random numbers are hashes of the document id, so that a lost and
+recomputed task draws the same sample.
 """
 
 from __future__ import annotations
 
 import base64
+import math
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.session import checkpoint
 
-#: Vocabulary of a public tokenizer, as ranks, and its pattern.
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Vocabulary of a public tokenizer, as ranks (a path that all executors see), and its pattern.
+VOCABULARY = os.environ.get("GLEANERY_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bins of one histogram of ratios; the bin at the cut gets a histogram of its own.
 BINS = 4096
+#: Bins of odds to a factor of e, from which the level of a source's expected copies is solved.
+ODDS_BINS = 64
 
 
 @lru_cache(maxsize=2)
@@ -50,14 +56,14 @@ def count_tokens(df: DataFrame, keys: list[str], text: str, vocabulary: str = VO
     return df.select(*keys, F.col(text).alias("__text")).mapInPandas(run, ddl)
 
 
-def allocate(available: dict[str, int], targets: list[tuple[str, float, int]], total: float | None = None) -> tuple[float, dict[str, tuple[int, float]]]:
-    """Total tokens, and for each source its certain copies and the tokens still to be drawn.
+def allocate(available: dict[str, int], targets: list[tuple[str, float, int]], total: float | None = None) -> tuple[float, dict[str, float]]:
+    """Total tokens, and the tokens that each source has to supply.
 
     A source without tokens cannot supply a weight; it is left out and the others keep
     their proportions.
 
     >>> allocate({"a": 100, "b": 100}, [("a", 0.5, 1), ("b", 0.5, 3)])
-    (200.0, {'a': (1, 0.0), 'b': (1, 0.0)})
+    (200.0, {'a': 100.0, 'b': 100.0})
     """
     usable = [(s, w, m) for s, w, m in targets if available.get(s, 0) > 0 and w > 0 and m > 0]
     weights = sum(w for _, w, _ in usable)
@@ -65,41 +71,69 @@ def allocate(available: dict[str, int], targets: list[tuple[str, float, int]], t
         return 0.0, {}
     most = min(m * available[s] / (w / weights) for s, w, m in usable)
     total = most if total is None else min(total, most)
-    plan = {}
-    for s, w, m in usable:
-        need = total * w / weights
-        whole = min(m, int(np.floor(need / available[s] + 1e-9)))
-        plan[s] = whole, max(0.0, need - whole * available[s])
-    return total, plan
+    return total, {s: total * w / weights for s, w, _ in usable}
 
 
-def mix(docs: DataFrame, key: str, source: str, size: str, targets: DataFrame, weight: str = "weight", cap: str = "max_repeats", total: float | None = None, seed: int = 1) -> DataFrame:
+def level(bins: list[tuple[float, float]], need: float, cap: int) -> float:
+    """The factor by which odds become expected copies, so that these supply ``need`` tokens.
+
+    ``bins`` has the mean odds of some documents and their tokens; no document is expected
+    more than ``cap`` times.
+
+    >>> level([(1.0, 100.0), (9.0, 100.0)], 110.0, 1)
+    0.11
+    """
+    bins = sorted((o, t) for o, t in bins if o > 0 and t > 0)
+    full = 0.0  # tokens of documents that reach the cap, from the largest odds on
+    for k in range(len(bins), -1, -1):
+        below = sum(o * t for o, t in bins[:k])
+        if not below:
+            return math.inf
+        factor = (need - cap * full) / below
+        if factor * bins[k - 1][0] <= cap:
+            return max(factor, 0.0)
+        full += bins[k - 1][1]
+    return math.inf
+
+
+def mix(docs: DataFrame, key: str, source: str, size: str, targets: DataFrame, weight: str = "weight", cap: str = "max_repeats", total: float | None = None, seed: int = 1, odds: Column | None = None) -> DataFrame:
     """key, source, size and copies (at least 1) of the documents of the mixture.
 
-    ``targets`` (source, weight, cap) is a short list and is collected. Documents of no
-    listed source, without size or of size 0 are not used. No document is used more than
-    its cap. Repeated rows are documents of their own. A listed source's share is exact
-    to within one document.
+    ``targets`` (source, weight, cap) is a short list and is collected. ``odds`` says how
+    much likelier than another of its source a document is to be used; the default is its
+    size. Documents of no listed source, without size, of size 0 or without positive odds
+    are not used. No document is used more than its cap. Repeated rows are documents of
+    their own. A listed source's share is exact to within one document.
     """
     spark = docs.sparkSession
-    wanted = [(r[0], float(r[1]), int(r[2])) for r in targets.select(source, weight, cap).where(F.col(source).isNotNull()).collect()]
-    rows = docs.where((F.col(size) > 0) & F.col(source).isin([w[0] for w in wanted])).select(key, source, F.col(size).cast("long").alias(size))
-    available = {r[0]: r[1] for r in rows.groupBy(source).agg(F.sum(size)).collect()}
-    _, plan = allocate(available, wanted, total)
-    if not plan:
-        return rows.limit(0).withColumn("copies", F.lit(0))
-    table = spark.createDataFrame([(s, whole, float(rest), rest / available[s]) for s, (whole, rest) in plan.items()], f"`{source}` string, whole int, rest double, p double")
+    wanted = [(r[0], float(r[1]), int(r[2])) for r in targets.select(source, weight, cap).where(F.col(source).isNotNull() & F.col(weight).isNotNull() & F.col(cap).isNotNull()).collect()]
+    odds = (F.col(size) if odds is None else odds).cast("double")
+    rows = docs.where((F.col(size) > 0) & (odds > 0) & F.col(source).isin([w[0] for w in wanted])).select(key, source, F.col(size).cast("long").alias(size), odds.alias("odds"))
+    # Sources times some bins of odds: bounded by the list and the range of a double.
+    spectrum: dict[str, list] = {}
+    for r in rows.groupBy(source, F.floor(F.log("odds") * ODDS_BINS).alias("bin")).agg(F.avg("odds").alias("o"), F.sum(size).alias("n")).collect():
+        spectrum.setdefault(r[0], []).append((r.o, r.n))
+    available = {s: sum(n for _, n in bins) for s, bins in spectrum.items()}
+    _, needs = allocate(available, wanted, total)
+    if not needs:
+        return rows.drop("odds").limit(0).withColumn("copies", F.lit(0))
+    caps = {s: m for s, _, m in wanted}
+    factors = [(s, min(level(spectrum[s], need * (1 - 1e-12), caps[s]), 1e300), caps[s], float(need)) for s, need in needs.items()]
+    table = F.broadcast(spark.createDataFrame(factors, f"`{source}` string, factor double, cap int, need double"))
+    expected = F.least(F.col("factor") * F.col("odds"), F.col("cap").cast("double"))
+    drawn = rows.join(table, source).withColumn("whole", F.floor(expected + 1e-9).cast("int")).withColumn("p", F.when(F.col("whole") < F.col("cap"), F.least(F.greatest(expected - F.col("whole"), F.lit(1e-9)), F.lit(1 - 1e-9))))
     u = (F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 11) + 0.5) / float(1 << 53)
-    ratio = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
-    drawn = rows.join(F.broadcast(table), source).withColumn("ratio", F.when(F.col("rest") > 0, ratio))
-    # Bins rise with the ratio and hold about as many documents each.
+    drawn = drawn.withColumn("ratio", (u / (1 - u)) / (F.col("p") / (1 - F.col("p"))))
+    certain = {r[0]: r[1] for r in drawn.groupBy(source).agg(F.sum(F.col("whole") * F.col(size))).collect()}
+    plan = {s: need - certain.get(s, 0) for s, need in needs.items()}
+    # Bins rise with the ratio.
     score = F.col("ratio") / (1 + F.col("ratio"))
     drawn = drawn.withColumn("bin", F.floor(score * BINS)).withColumn("fine", F.floor((score * BINS - F.col("bin")) * BINS))
 
-    def cut(level: DataFrame, by: str, rest: dict[str, float]) -> dict[str, tuple[int, float]]:
+    def cut(part: DataFrame, by: str, rest: dict[str, float]) -> dict[str, tuple[int, float]]:
         """The bin in which each source reaches what it needs, and what is missing before it."""
         sums: dict[str, list] = {}
-        for r in level.groupBy(source, by).agg(F.sum(size).alias("n")).collect():
+        for r in part.groupBy(source, by).agg(F.sum(size).alias("n")).collect():
             sums.setdefault(r[0], []).append((r[1], r[2]))
         out = {}
         for s, need in rest.items():
@@ -111,7 +145,7 @@ def mix(docs: DataFrame, key: str, source: str, size: str, targets: DataFrame, w
         return out
 
     open_rows = drawn.where(F.col("ratio").isNotNull())
-    first = cut(open_rows, "bin", {s: rest for s, (_, rest) in plan.items() if rest > 0})
+    first = cut(open_rows, "bin", {s: rest for s, rest in plan.items() if rest > 0})
     edge = spark.createDataFrame([(s, b, need) for s, (b, need) in first.items()], f"`{source}` string, edge long, need double")
     at_edge = open_rows.join(F.broadcast(edge), source).where(F.col("bin") == F.col("edge"))
     second = cut(at_edge, "fine", {s: need for s, (_, need) in first.items()})
