@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import pathlib
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -26,6 +28,7 @@ def local_session(cores: str = "8", name: str = "gleanery") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -40,7 +43,9 @@ def ship(spark: SparkSession) -> None:
         return
     root = pathlib.Path(__file__).resolve().parent
     if root.is_dir():  # else it runs from an archive that was given along already
-        archive = os.path.join(tempfile.mkdtemp(prefix="gleanery-"), "gleanery.zip")
+        folder = tempfile.mkdtemp(prefix="gleanery-")  # Spark serves the archive from here until the driver ends
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = os.path.join(folder, "gleanery.zip")
         with zipfile.ZipFile(archive, "w") as z:
             for f in sorted(root.rglob("*.py")):
                 z.write(f, f.relative_to(root.parent))
@@ -58,10 +63,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, as ``spark.checkpoint.dir`` names it.
 
-    A folder of this machine is taken only where the session names none, as in tests.
+    A folder of this machine is taken only where the session names none and runs on this
+    machine alone, as in tests; on a cluster each executor would write to its own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         named = os.path.join(tempfile.gettempdir(), "gleanery-checkpoints")
         spark.sparkContext.setCheckpointDir(named)
     return named
