@@ -38,6 +38,8 @@ _BIT = r"(?:bits?|бит(?:а|ов)?)"
 _LONG = "|".join(sorted((k for k in PREFIX if len(k) > 1), key=len, reverse=True))
 _UNIT = re.compile(rf"(?P<p>{_LONG}|[kmgtpeкмгт]?)(?:i)?\s?(?P<u>{_BIT}|{_BYTE})(?![^\W\d_])|(?P<l>{_LONG})s?(?![^\W\d_])|(?P<s>[kmgt])(?![^\W\d_])")
 _NUM = re.compile(r"\d+(?:[.,]\d+)?e[+-]?\d+|\d{1,3}(?:[ '’.,]\d{3})+(?!\d)(?:[.,]\d+(?!\d))?|\d+(?:[.,]\d+)?")
+#: Only before three digits may a sign part groups as well as a fraction.
+_TWO_WAYS = re.compile(r"\d[.,]\d{3}(?!\d)")
 _COUNTED = re.compile(r"/\s*\d+\s*[^\W\d_]+\s*$")
 _TIMES = re.compile(r"\s*(?:[x×*])\s*")
 _WORD = re.compile(r"([^\W\d_]+)(?:\s+(?:de|of)\b)?")
@@ -81,7 +83,7 @@ def parse_size(text: str | None, bare: tuple[float, ...] = (1.0,)) -> list[float
         return []
     s = re.sub(r"\s+", " ", re.sub(r"\([^)]*\)|\[[^\]]*\]", " ", text.lower())).strip()
     s = _COUNTED.sub("", s)
-    totals = [_total(s, notation, b) for b in bare for notation in (0, -1)]
+    totals = [_total(s, notation, b) for b in bare for notation in ((0, -1) if _TWO_WAYS.search(s) else (0,))]
     return [t for t in dict.fromkeys(totals) if t is not None and 0 < t < math.inf]
 
 
