@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -205,3 +206,36 @@ def _unescape(s: pd.Series) -> pd.Series:
 def unescaped(s: Column) -> Column:
     """HTML entities resolved; texts without an ampersand, the bulk, never leave the JVM."""
     return F.when(s.contains("&"), _unescape(F.when(s.contains("&"), s))).otherwise(s)
+
+
+def field_of_class(name: Column) -> Column:
+    """The field that a word class belongs to: the part before the first underscore."""
+    return F.split_part(name, F.lit("_"), F.lit(1))
+
+
+@F.pandas_udf(T.StringType())
+def _other_charset(raw: pd.Series) -> pd.Series:
+    def read(b: bytes | None) -> str | None:
+        if b is None:
+            return None
+        for mark, name in ((b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
+            if b.startswith(mark):
+                return b.decode(name, "replace")
+        declared = re.search(rb"(?i)charset=[\"']?([a-z0-9_\-]+)", b[:2048])
+        for name in (declared and declared[1].decode(), "cp1252"):
+            try:
+                if name:
+                    return b.decode(name)
+            except (UnicodeDecodeError, LookupError):
+                pass
+        return b.decode("latin-1")
+
+    return raw.map(read)
+
+
+def coerced(raw: Column) -> Column:
+    """Text of bytes in an unknown encoding: UTF-8 where they are valid, else by their mark or declaration, else Western.
+
+    Valid UTF-8, the bulk, never leaves the JVM. Null stays null; no bytes are an empty text.
+    """
+    return F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string")).otherwise(_other_charset(F.when(~F.is_valid_utf8(raw.cast("string")), raw)))

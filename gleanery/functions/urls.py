@@ -98,3 +98,14 @@ def base32_to_hex(s: Column) -> Column:
 def canonical_digest(s: Column) -> Column:
     """A digest in 40 hexadecimal capitals, told apart by its length; null for anything else."""
     return F.when(F.length(s) == 40, F.upper(s)).when((F.length(s) == 32) & is_base32(s), base32_to_hex(s))
+
+
+# Media types of files to decode and of files to pass over.
+DECODED = ("application/x-bittorrent", "application/octet-stream")
+DROPPED = ("text/css", "image/gif", "image/png", "text/javascript")
+
+
+def route(url: Column, media_type: Column) -> Column:
+    """What becomes of a response: magnet, decode, drop or continue; a type that is missing continues."""
+    kind = F.lower(F.trim(F.split_part(media_type, F.lit(";"), F.lit(1))))
+    return F.when(url.startswith("magnet:"), "magnet").when(kind.isin(*DECODED), "decode").when(kind.isin(*DROPPED), "drop").otherwise("continue")

@@ -22,16 +22,19 @@ def near_join(left: DataFrame, right: DataFrame, a: str, b: str, low: float = 0.
     return x.join(y, "__bucket").where(ratio.between(low, high)).drop("__bucket")
 
 
-def same_item(size_a: Column, size_b: Column, hash_a: Column, hash_b: Column, title_a: Column, title_b: Column) -> Column:
+def same_item(size_a: Column, size_b: Column, hash_a: Column, hash_b: Column, title_a: Column, title_b: Column, longer: int = 0, whole_halves: bool = False, tolerance: float = 0.01) -> Column:
     """Whether two records may describe one item; each test counts only where both sides state it.
 
-    Sizes within 1 %, digests equal without case, and at least half the words (rounded up)
-    of the first title in the second.
+    Sizes within ``tolerance``, digests equal without case, and at least half the words of
+    the first title in the second: rounded up, or down with ``whole_halves``. With
+    ``longer`` only words of more letters than that count, on both sides.
     """
-    words = F.filter(F.split(F.lower(title_a), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    hits = F.size(F.filter(words, lambda w: F.lower(title_b).contains(w)))
+    long = lambda t: F.filter(F.split(F.lower(t), r"[^\p{L}\p{N}]+"), lambda w: (w != "") & (F.length(w) > longer))
+    words, other = long(title_a), F.array_join(long(title_b), " ") if longer else F.lower(title_b)
+    hits = F.size(F.filter(words, lambda w: other.contains(w)))
+    half = F.floor(F.size(words) / 2) if whole_halves else F.ceil(F.size(words) / 2)
     return (
-        F.coalesce((size_a / size_b).between(0.99, 1.01), F.lit(True))
+        F.coalesce((size_a / size_b).between(1 - tolerance, 1 + tolerance), F.lit(True))
         & F.coalesce(F.lower(hash_a) == F.lower(hash_b), F.lit(True))
-        & F.coalesce(hits >= F.ceil(F.size(words) / 2), F.lit(True))
+        & F.coalesce(hits >= half, F.lit(True))
     )

@@ -39,13 +39,14 @@ def induce(nodes: DataFrame, page: str, values: DataFrame, field: str, value: st
 
     Exact texts are taken before texts that only contain the value (in any case); of these
     the shortest, then the first node. Texts that the home page has at the same path are
-    its frame and do not count. Paths through scripts, and titles' headings for other
+    its frame and do not count; ``home`` has path and text, and page if they differ by page. Paths through scripts, and titles' headings for other
     fields, are rejected; so is a field that a page shows at more than one path. Null
     values and values that are nowhere on the page give no row.
     """
     texts = anchored(nodes, page).where(F.col("text") != "").select(page, "node_id", "path", "short_path", "text")
     if home is not None:
-        texts = texts.join(home.select("path", "text").distinct(), ["path", "text"], "left_anti")
+        by = [page, "path", "text"] if page in home.columns and "node_id" not in home.columns else ["path", "text"]
+        texts = texts.join(home.select(*by).distinct(), by, "left_anti")
     offered = values.where(F.col(value).isNotNull() & (F.col(value) != "")).select(page, field, value).distinct()
     hits = offered.join(texts, page).where(F.lower("text").contains(F.lower(F.col(value))))
     exact = (F.col("text") != F.col(value)).cast("int")
@@ -66,13 +67,18 @@ def extract(nodes: DataFrame, page: str, site_of: DataFrame, learned: DataFrame,
 
     Only paths with more than one vote are tried; those above the bar (a share of the
     votes of all of them) are trusted. An image gives its source, a link under ``links``
-    its address, everything else its text. Empty values are left out.
+    its address, everything else its text with that of the elements within it. What lies
+    within another hit of the same field says nothing new. Empty values are left out.
     """
     tried = learned.where("votes > 1").withColumn("trusted", F.col("votes") > F.sum("votes").over(Window.partitionBy("site", "field")) * share)
     lazy = F.coalesce(F.col("attrs")["data-src"], F.col("attrs")["data-original"], F.col("attrs")["src"])
-    shown = F.when(F.col("tag") == "img", lazy).when(F.col("field") == "links", F.col("attrs")["href"]).otherwise(F.col("text"))
+    shown = F.when(F.col("tag") == "img", lazy).when(F.col("field") == "links", F.col("attrs")["href"]).otherwise(F.col("whole_text"))
     at = anchored(nodes, page).join(site_of, page)
     hits = at.join(tried.withColumnRenamed("path", "short_path"), ["site", "short_path"]).withColumn("value", shown)
+    # A hit below another one at the same page and field; both are as few as a page's hits.
+    outer = hits.select(page, "field", F.col("path").alias("__outer"))
+    within = hits.join(outer, [page, "field"]).where(F.col("path").startswith(F.concat("__outer", F.lit("/")))).select(page, "field", "path").distinct()
+    hits = hits.join(within, [page, "field", "path"], "left_anti")
     return hits.where("value IS NOT NULL AND value != ''").select(page, "field", "value", "votes", "trusted", F.col("short_path").alias("path"))
 
 
@@ -126,6 +132,24 @@ def cascade(record: DataFrame) -> DataFrame:
     return out.withColumns({"item_schema": tx.schema_of(F.col("category"), F.col("genre"), F.col("quality")), "tags": tx.tags_of(F.col("category"))})
 
 
-def same_text(a: Column, b: Column) -> Column:
-    """Equality without case and outer white space; null only equals null."""
-    return F.lower(F.trim(a)).eqNullSafe(F.lower(F.trim(b)))
+#: Classes of frames whose pictures are advertisements.
+AD_CLASSES = ("ads", "promo")
+
+
+def image_paths(nodes: DataFrame, page: str, images: DataFrame, src: str) -> DataFrame:
+    """page, src and path: where the page shows a known image; no row if it is in a frame of advertisements.
+
+    Nodes whose source ends in that of the image, apart from its host, are candidates; the
+    one with the shortest source counts, then the first. The path is anchored at the
+    nearest ancestor with a telling id or a class no other node has.
+    """
+    at = anchored(nodes, page)
+    tail = F.regexp_replace(F.col(src), "^[A-Za-z][A-Za-z0-9+.\\-]*://[^/]*/", "")
+    shown = F.coalesce(F.col("attrs")["data-src"], F.col("attrs")["data-original"], F.col("attrs")["src"])
+    offered = images.where(F.col(src).isNotNull() & (F.col(src) != "")).select(page, F.col(src).alias("__src"), tail.alias("__tail")).distinct()
+    hits = at.where(F.col("tag") == "img").withColumn("__shown", shown).join(offered, page).where(F.col("__shown").endswith(F.col("__tail")))
+    best = hits.groupBy(page, "__src").agg(F.min(F.struct(F.length("__shown").alias("n"), "node_id", F.col("short_path").alias("path"), F.col("path").alias("full"))).alias("b"))
+    # An image lies in a frame if the frame's path begins its own.
+    ads = nodes.where(F.exists(F.array(*map(F.lit, AD_CLASSES)), lambda c: F.coalesce(F.col("attrs")["class"], F.lit("")).startswith(c))).select(page, F.col("path").alias("frame"))
+    inside = best.join(ads, page).where(F.col("b.full").startswith(F.concat("frame", F.lit("/")))).select(page, "__src").distinct()
+    return best.join(inside, [page, "__src"], "left_anti").select(page, F.col("__src").alias(src), F.col("b.path").alias("path"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanery.session import checkpoint, small_side
+
 
 def votes(df: DataFrame, *by: str) -> DataFrame:
     """Number of rows for each combination, as ``votes``."""
@@ -59,11 +61,15 @@ def shape_outliers(df: DataFrame, group: str, url: str) -> DataFrame:
     dashes of what precedes the last segment.
     """
     before = F.regexp_replace(F.col(url), "/[^/]*$", "")
-    shaped = df.where(F.col(url).isNotNull()).select(group, url, F.size(F.split(url, "/")).alias("a"), F.size(F.split(before, "_")).alias("b"), F.size(F.split(before, "-")).alias("c"))
-    out = shaped
+    shape = F.size(F.split(url, "/")).alias("a"), F.size(F.split(before, "_")).alias("b"), F.size(F.split(before, "-")).alias("c")
+    shaped = df.where(F.col(url).isNotNull()).select(group, url, *shape)
+    # Shapes are counted once; the modes come from the counts, a row for each group, and are counted before a broadcast.
+    counts = checkpoint(shaped.groupBy(group, "a", "b", "c").agg(F.count("*").alias("n")))
+    best = None
     for k in "abc":
-        best = mode_of(shaped, [group], k).select(group, F.col(k).alias(f"mode_{k}"))
-        out = out.join(best, group)
+        per = counts.groupBy(group, k).agg(F.sum("n").alias("n")).groupBy(group).agg(F.min_by(k, F.struct(-F.col("n"), k)).alias(f"mode_{k}"))
+        best = per if best is None else best.join(per, group)
+    out = shaped.join(small_side(best), group)
     wrong = sum((F.col(k) != F.col(f"mode_{k}")).cast("int") for k in "abc")
     return out.withColumn("violations", wrong).where("violations > 0").select(group, url, "violations")
 
@@ -76,7 +82,8 @@ def template_positions(df: DataFrame, site: str, page: str, tokens: str) -> Data
     the length of the base.
     """
     pages = df.where(F.col(tokens).isNotNull()).select(F.col(site).alias("site"), F.col(page).alias("page"), F.col(tokens).alias("tokens"))
-    base = pages.groupBy("site").agg(F.min_by("tokens", "page").alias("base"), F.count("*").alias("n_pages"))
+    # One row for each site; counted before it is broadcast, so that a hot site stays where its pages are.
+    base = small_side(pages.groupBy("site").agg(F.min_by("tokens", "page").alias("base")))
     # A page is compared as a whole with the base, so the join is on the site alone and tokens are exploded once.
     both = pages.join(base, "site")
     at = F.transform("base", lambda b, i: F.when(~F.get("tokens", i).eqNullSafe(b), 1).otherwise(0))

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import lexicon as lx
+from gleanery.functions import plugins
 from gleanery.functions import text as tx
 from gleanery.functions import urls as ur
+from gleanery.operators import ranking
 from gleanery.plans.reference import _BAD, _LINKS, _first_sql, _host, _links
 from gleanery.session import table
 
@@ -29,16 +31,22 @@ def query(sql: str | None = None):
     return add
 
 
-@query("""
-SELECT event_id, CASE WHEN kind IN ('application/x-bittorrent', 'application/octet-stream') THEN 'decode' WHEN kind IN ('text/css', 'image/gif', 'image/png', 'text/javascript') THEN 'drop' ELSE 'continue' END AS route
-FROM (SELECT event_id, lower(split_part(['text/html; charset=utf-8', 'Application/X-Bittorrent', 'text/css', 'image/png;q=1', 'text/plain'][CAST(event_id % 5 AS INTEGER) + 1], ';', 1)) AS kind FROM events)
+_KIND = "CASE WHEN regexp_matches(url, '(?i)\\.torrent(\\?|$)') THEN 'application/x-bittorrent' WHEN regexp_matches(url, '(?i)\\.png$') THEN 'image/png' WHEN regexp_matches(url, '(?i)\\.css$') THEN 'text/css' ELSE 'text/html' END"
+
+
+@query(f"""
+WITH u AS (SELECT 'meta' AS tbl, meta_id AS row_id, url FROM meta UNION ALL SELECT 'torrent', row_id, 'magnet:?' || _id FROM torrent WHERE regexp_matches(lower(_id), '(^|[^a-z])xt *[=:]')), k AS (SELECT *, {_KIND} || CASE WHEN row_id % 2 = 0 THEN '; charset=utf-8' ELSE '' END AS stated FROM u)
+SELECT tbl, row_id, CASE WHEN starts_with(url, 'magnet:') THEN 'magnet' WHEN lower(trim(split_part(stated, ';', 1), ' ')) IN ('application/x-bittorrent', 'application/octet-stream') THEN 'decode' WHEN lower(trim(split_part(stated, ';', 1), ' ')) IN ('text/css', 'image/gif', 'image/png', 'text/javascript') THEN 'drop' ELSE 'continue' END AS route FROM k
 """)
-def content_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Route of a response by the part of its content type before a semicolon."""
-    types = F.array(*map(F.lit, ("text/html; charset=utf-8", "Application/X-Bittorrent", "text/css", "image/png;q=1", "text/plain")))
-    kind = F.lower(F.split_part(F.get(types, (F.col("event_id") % 5).cast("int")), F.lit(";"), F.lit(1)))
-    route = F.when(kind.isin("application/x-bittorrent", "application/octet-stream"), "decode").when(kind.isin("text/css", "image/gif", "image/png", "text/javascript"), "drop").otherwise("continue")
-    return table(spark, sf_dir, "events", "event_id").select("event_id", route.alias("route"))
+def media_type_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Route of a response by the part of its media type before a semicolon; a magnet address passes through."""
+    m = table(spark, sf_dir, "meta", F.lit("meta").alias("tbl"), F.col("meta_id").alias("row_id"), "url")
+    t = table(spark, sf_dir, "torrent", "row_id", "_id").where(F.lower("_id").rlike("(^|[^a-z])xt *[=:]")).select(F.lit("torrent").alias("tbl"), "row_id", F.concat(F.lit("magnet:?"), "_id").alias("url"))
+    url = F.col("url")
+    # No headers are kept with the pages: the address tells the type that would have come.
+    kind = F.when(url.rlike(r"(?i)\.torrent(\?|$)"), "application/x-bittorrent").when(url.rlike(r"(?i)\.png$"), "image/png").when(url.rlike(r"(?i)\.css$"), "text/css").otherwise("text/html")
+    stated = F.concat(kind, F.when(F.col("row_id") % 2 == 0, "; charset=utf-8").otherwise(""))
+    return m.unionByName(t).select("tbl", "row_id", ur.route(url, stated).alias("route"))
 
 
 @query(f"""
@@ -150,12 +158,14 @@ def link_path_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT row_id, link FROM (SELECT row_id, link, contains(link, '/torrent/') AS keep, row_number() OVER (PARTITION BY {_host('link')} ORDER BY md5(link), link, row_id) AS r FROM {_LINKS}) WHERE r <= 10 OR keep
+SELECT row_id, link FROM (SELECT row_id, link, contains(link, '/torrent/') AS keep, row_number() OVER (PARTITION BY {_host('link')} ORDER BY md5(link), link, row_id, pos) AS r FROM {_LINKS}) WHERE r <= 10 OR keep
 """)
 def sampled_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten links of each site in the order of their hash, and all that must be kept."""
-    r = F.row_number().over(Window.partitionBy(ur.host(F.col("link"))).orderBy(F.md5(F.col("link").cast("binary")), "link", "row_id"))
-    return _links(spark, sf_dir).withColumn("r", r).where((F.col("r") <= 10) | F.col("link").contains("/torrent/")).select("row_id", "link")
+    keep = F.col("link").contains("/torrent/")
+    l = _links(spark, sf_dir).withColumn("site", ur.host(F.col("link"))).withColumn("hash", F.md5(F.col("link").cast("binary")))
+    first = ranking.top_k(l, "site", ["hash", "link", "row_id", "pos"], 10).where(~keep)
+    return first.select("row_id", "link").unionByName(l.where(keep).select("row_id", "link"))
 
 
 @query(f"""
@@ -166,9 +176,10 @@ SELECT site, meta_id, r AS place FROM s WHERE r <= 5 AND visited <= 20000 AND NO
 def quota_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first five pages of each site, unless too many were visited for too few found."""
     m = table(spark, sf_dir, "meta", "meta_id", "url", "infohash").withColumn("site", ur.host(F.col("url")))
-    w = Window.partitionBy("site")
-    m = m.withColumn("place", F.row_number().over(w.orderBy("url", "meta_id"))).withColumn("visited", F.count("*").over(w)).withColumn("found", F.count("infohash").over(w))
-    return m.where("place <= 5 AND visited <= 20000 AND NOT (visited > 1000 AND found < visited div 1000)").select("site", "meta_id", F.col("place").cast("long").alias("place"))
+    counts = m.groupBy("site").agg(F.count("*").alias("visited"), F.count("infohash").alias("found"))
+    good = counts.where("visited <= 20000 AND NOT (visited > 1000 AND found < visited div 1000)").select("site")
+    first = ranking.top_k(m.select("site", "meta_id", "url"), "site", ["url", "meta_id"], 5)
+    return first.join(good, "site", "left_semi").select("site", "meta_id", F.col("place").cast("long").alias("place"))
 
 
 @query("""
@@ -185,17 +196,24 @@ def job_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.where(F.col("spider").isin("site", "fresh") | (F.col("id") == 7)).groupBy("state", name.alias("name")).agg(F.count("*").alias("n_jobs"), F.min("id").alias("first_id"))
 
 
-@query("""
-WITH v AS (SELECT _id, bool_or(coalesce(ok, false)) AS ok FROM torrents_domain WHERE _id IS NOT NULL GROUP BY 1)
+#: Sites that one job may have.
+JOB_SITES = 50
+
+
+@query(f"""
+WITH v AS (SELECT _id, bool_or(coalesce(ok, false)) AS ok FROM torrents_domain WHERE _id IS NOT NULL GROUP BY 1), r AS (SELECT _id, substr(_id, 1, 2) AS b, (row_number() OVER (PARTITION BY substr(_id, 1, 2) ORDER BY _id) - 1) // {JOB_SITES} AS part FROM v WHERE NOT ok)
 SELECT 'site-' || replace(_id, '.', '_') AS job, 'http://' || _id AS start_urls FROM v WHERE ok
-UNION ALL SELECT 'multisite-' || substr(_id, 1, 2), string_agg('http://' || _id, ',' ORDER BY _id) FROM v WHERE NOT ok GROUP BY 1
+UNION ALL SELECT 'multisite-' || b || '-' || part, string_agg('http://' || _id, ',' ORDER BY _id) FROM r GROUP BY b, part
 """)
 def controller_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A job for each promoted site; the others are merged into jobs of several sites, by the beginning of their name."""
+    """A job for each promoted site; the others are merged into jobs of at most fifty sites, by the beginning of their name."""
     v = table(spark, sf_dir, "torrents_domain", "_id", "ok").where("_id IS NOT NULL").groupBy("_id").agg(F.max(F.coalesce("ok", F.lit(False))).alias("ok"))
     own = v.where("ok").select(F.concat(F.lit("site-"), F.replace("_id", F.lit("."), F.lit("_"))).alias("job"), F.concat(F.lit("http://"), "_id").alias("start_urls"))
-    rest = v.where("NOT ok").groupBy(F.concat(F.lit("multisite-"), F.substring("_id", 1, 2)).alias("job")).agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("http://"), "_id"))), ",").alias("start_urls"))
-    return own.unionByName(rest)
+    begin = F.substring("_id", 1, 2)
+    # Sites, not visits: a name's beginning has few of them.
+    part = F.floor((F.row_number().over(Window.partitionBy(begin).orderBy("_id")) - 1) / JOB_SITES).cast("string")
+    rest = v.where("NOT ok").select(F.concat_ws("-", F.lit("multisite"), begin, part).alias("job"), F.concat(F.lit("http://"), "_id").alias("u"))
+    return own.unionByName(rest.groupBy("job").agg(F.array_join(F.array_sort(F.collect_list("u")), ",").alias("start_urls")))
 
 
 @query(r"""
@@ -285,3 +303,33 @@ def _next_is_description(tokens: Column) -> Column:
 def announced_description(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "meta", "meta_id", "description").where("description IS NOT NULL")
     return d.select("meta_id", _next_is_description(F.split(tx.strip_tags(F.col("description")), "\n")).alias("found"))
+
+
+@query(r"""
+SELECT meta_id, CASE WHEN NOT regexp_matches(url, '^https?://') THEN url WHEN meta_id % 3 = 0 THEN coalesce(nullif(regexp_extract(url, '(?:/|=)([0-9]+)(?:[,/?&]|$)', 1), ''), url) WHEN meta_id % 3 = 1 THEN coalesce(nullif(regexp_extract(url, '([0-9a-fA-F]{40})', 1), ''), url) ELSE url END AS key FROM meta
+""")
+def extract_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses through the extractor that is called by name; without one they stay."""
+    name = F.get(F.array(F.lit("number"), F.lit("digest"), F.lit("none")), (F.col("meta_id") % 3).cast("int"))
+    return table(spark, sf_dir, "meta", "meta_id", "url").select("meta_id", plugins.extract(name, F.col("url")).alias("key"))
+
+
+@query(f"SELECT {_host('url')} AS site, count(*) AS n_pages FROM meta WHERE title IS NOT NULL AND url IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+def step_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages through a pipeline of steps, one of which fails and is passed over."""
+    steps = [lambda d: d.where("title IS NOT NULL AND url IS NOT NULL"), lambda d: d.select("no_such_column"), lambda d: d.groupBy(ur.host(F.col("url")).alias("site")).agg(F.count("*").alias("n_pages")), lambda d: d.where("n_pages > 1")]
+    return plugins.pipeline(table(spark, sf_dir, "meta", "url", "title"), steps, on_error=lambda e: None)
+
+
+@query("SELECT meta_id, split_part(CASE " + " ".join(f"WHEN lower(genre) IN ({', '.join(repr(w) for w in ws)}) THEN '{c}'" for c, ws in lx.CLASSES.items()) + " END, '_', 1) AS field FROM meta WHERE genre IS NOT NULL")
+def field_of_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The field that a word belongs to: its class up to the underscore."""
+    return table(spark, sf_dir, "meta", "meta_id", "genre").where("genre IS NOT NULL").select("meta_id", tx.field_of_class(tx.word_class(F.col("genre"))).alias("field"))
+
+
+@query("SELECT doc_id, text AS plain FROM documents WHERE text IS NOT NULL")
+def coerced_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of texts, in UTF-8 or Latin-1 where that holds them, read back whatever they are in."""
+    d = table(spark, sf_dir, "documents", "doc_id", "text").where("text IS NOT NULL")
+    latin = (F.col("doc_id") % 2 == 0) & ~F.col("text").rlike(r"[^\x00-\x7f\xa0-\xff]")
+    return d.select("doc_id", tx.coerced(F.when(latin, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))).alias("plain"))

@@ -6,6 +6,7 @@ no SQL and tests check it instead.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 from gleanery.functions import lexicon as lx
 from gleanery.functions import text as tx
 from gleanery.functions import urls as ur
-from gleanery.operators import matching, paths, quantities, state, votes
+from gleanery.operators import matching, paths, quantities, ranking, state, votes
 from gleanery.operators.packed import split_packed
-from gleanery.session import checkpoint, drained, table
-from gleanery.sources import dom, metainfo
+from gleanery.session import checkpoint, drained, shared_folder, small_side, table
+from gleanery.sources import dom, files, images, metainfo
 from gleanery.streaming import views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -322,25 +323,33 @@ tpl AS (SELECT site, CAST(i AS INTEGER) - 1 AS pos, count_if(p.tokens[i] IS DIST
 @query(f"WITH {_TEMPLATE} SELECT * FROM tpl")
 def template_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token positions that vary between the pages of a site."""
-    return votes.template_positions(_tokens(spark, sf_dir), "site", "meta_id", "tokens")
+    return votes.template_positions(checkpoint(_tokens(spark, sf_dir)), "site", "meta_id", "tokens")
+
+
+# Metadata of items as positioned tokens: key and value of each part in turn. A page is an item, its site the source.
+_PAIRS = r"""(SELECT item_id AS meta_id, source_id AS site, list_filter(string_split_regex(regexp_replace(meta, '(^|\t)[^:\t]*:', '\1', 'g'), '[\t=]'), lambda x: x <> '') AS tokens FROM torrents_item WHERE meta IS NOT NULL)"""
 
 
 @query(f"""
-WITH {_TEMPLATE}, t AS (SELECT meta_id, site, CAST(i AS INTEGER) - 1 AS pos, tokens[i] AS token FROM p, unnest(range(1, len(tokens) + 1)) t(i)),
+WITH {_TEMPLATE.replace(_TOKENS, _PAIRS)}, t AS (SELECT meta_id, site, CAST(i AS INTEGER) - 1 AS pos, tokens[i] AS token FROM p, unnest(range(1, len(tokens) + 1)) t(i)),
 w AS (SELECT t.*, is_variable, lag(token) OVER o AS label, lag(is_variable) OVER o AS before FROM t JOIN tpl USING (site, pos) WINDOW o AS (PARTITION BY meta_id ORDER BY pos))
-SELECT meta_id, pos, lower(replace(label, ':', '')) AS label, token AS value FROM w
+SELECT meta_id AS item_id, pos, lower(replace(label, ':', '')) AS label, token AS value FROM w
 WHERE is_variable AND NOT before AND len(label) > 2 AND len(label) < 20 AND NOT regexp_matches(label, '^[0-9.]+$') AND len(label) - len(replace(label, ' ', '')) < 2
 """)
 def label_value_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A variable token right after a constant one is a value, and the constant one its label."""
-    pages = _tokens(spark, sf_dir)
-    learned = votes.template_positions(pages, "site", "meta_id", "tokens")
-    o = Window.partitionBy("meta_id").orderBy("pos")
-    rows = pages.select("meta_id", "site", F.posexplode("tokens").alias("pos", "token")).join(learned, ["site", "pos"])
-    rows = rows.withColumn("label", F.lag("token").over(o)).withColumn("before", F.lag("is_variable").over(o))
+    t = table(spark, sf_dir, "torrents_item", "item_id", F.col("source_id").alias("site"), "meta").where("meta IS NOT NULL")
+    tokens = F.filter(F.split(F.regexp_replace("meta", r"(^|\t)[^:\t]*:", "$1"), r"[\t=]"), lambda x: x != "")
+    # Read twice below, so the tokens are made once.
+    pages = checkpoint(t.select("item_id", "site", tokens.alias("tokens")))
+    # One row for each position of each site: counted before it is broadcast.
+    learned = small_side(votes.template_positions(pages, "site", "item_id", "tokens").select("site", "pos", "is_variable"))
+    rows = pages.select("item_id", "site", F.posexplode("tokens").alias("pos", "token"), "tokens").withColumn("label", F.when(F.col("pos") > 0, F.get("tokens", F.col("pos") - 1))).drop("tokens")
+    before = learned.select("site", (F.col("pos") + 1).alias("pos"), F.col("is_variable").alias("before"))
+    rows = rows.join(learned, ["site", "pos"]).join(before, ["site", "pos"])
     n = F.length("label")
     ok = F.col("is_variable") & ~F.col("before") & (n > 2) & (n < 20) & ~F.col("label").rlike("^[0-9.]+$") & (n - F.length(F.replace("label", F.lit(" "), F.lit(""))) < 2)
-    return rows.where(ok).select("meta_id", "pos", F.lower(F.replace("label", F.lit(":"), F.lit(""))).alias("label"), F.col("token").alias("value"))
+    return rows.where(ok).select("item_id", "pos", F.lower(F.replace("label", F.lit(":"), F.lit(""))).alias("label"), F.col("token").alias("value"))
 
 
 _ENDING = "please seed|thanks to|short answer"
@@ -431,15 +440,20 @@ def category_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("site", "category", "votes", (F.col("votes") > F.col("pages") * 0.6).alias("replaces"), (F.sum("votes").over(Window.partitionBy("site")) > F.expr("pages div 3")).alias("enough"))
 
 
+#: Words of an address that say what kind of page it is.
+SECTIONS = ("torrent", "get", "details", "view")
+
+
 @query(f"""
-WITH s AS (SELECT meta_id, i - 1 AS pos, string_split(url, '/')[i] AS part FROM meta, unnest(range(1, len(string_split(url, '/')) + 1)) t(i)),
-     c AS (SELECT meta_id, pos, part FROM s WHERE {_first_sql('part', lx.words('category'))} IS NOT NULL)
-SELECT meta_id, '@url[' || max(pos) || ']' AS path, arg_max({_first_sql('part', lx.words('category'))}, pos) AS category FROM c GROUP BY 1
+WITH s AS (SELECT meta_id, i - 1 AS pos, string_split(url, '/')[i] AS part FROM meta, unnest(range(4, len(string_split(url, '/')) + 1)) t(i)),
+     c AS (SELECT meta_id, pos, {_first_sql('part', SECTIONS)} AS category FROM s WHERE {_first_sql('part', SECTIONS)} IS NOT NULL)
+SELECT meta_id, '@url[' || max(pos) || ']' AS path, arg_max(category, pos) AS category FROM c GROUP BY 1
 """)
 def url_segment_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last segment of an address that holds a category, as a path and as the category."""
-    parts = table(spark, sf_dir, "meta", "meta_id", "url").select("meta_id", F.posexplode(F.split("url", "/")).alias("pos", "part")).withColumn("category", tx.extract_category(F.col("part"))).where("category IS NOT NULL")
-    return parts.groupBy("meta_id").agg(F.concat(F.lit("@url["), F.max("pos").cast("string"), F.lit("]")).alias("path"), F.max_by("category", "pos").alias("category"))
+    """The last segment of an address that names its section, as a path and as the section."""
+    found = F.filter(F.transform(F.split("url", "/"), lambda part, i: F.struct(i.alias("pos"), tx.first_contained(part, SECTIONS).alias("category"))), lambda x: (x["pos"] > 2) & x["category"].isNotNull())
+    last = table(spark, sf_dir, "meta", "meta_id", "url").select("meta_id", F.try_element_at(found, F.lit(-1)).alias("x")).where("x IS NOT NULL")
+    return last.select("meta_id", F.concat(F.lit("@url["), F.col("x.pos").cast("string"), F.lit("]")).alias("path"), "x.category")
 
 
 @query(f"""
@@ -493,6 +507,22 @@ def page_file_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.join(i, "item_id").select("meta_id", "info_id", matching.same_item(none, none, F.col("a"), F.col("b"), F.col("title"), F.col("filedir")).alias("same_item"))
 
 
+@query(r"""
+WITH j AS (SELECT m.meta_id, i.info_id, m.infohash AS a, i.infohash AS b, list_filter(string_split_regex(lower(m.title), '[^\p{L}\p{N}]+'), lambda w: len(w) > 3) AS w, array_to_string(list_filter(string_split_regex(lower(i.filedir), '[^\p{L}\p{N}]+'), lambda w: len(w) > 3), ' ') AS d, i.filedir IS NOT NULL AS filed,
+                  CASE WHEN regexp_full_match(m.size, '[0-9]{1,15}') THEN m.size::DOUBLE END AS s, CASE WHEN regexp_full_match(i.filesizes, '[0-9]{1,15}') THEN i.filesizes::DOUBLE END AS t FROM meta m JOIN torrent_info i USING (item_id))
+SELECT meta_id, info_id, coalesce(s / t BETWEEN 0.99 AND 1.01, true) AND coalesce(lower(a) = lower(b), true) AND coalesce(CASE WHEN filed THEN len(list_filter(w, lambda x: contains(d, x))) >= len(w) // 2 END, true) AS by_words,
+       coalesce(s / t BETWEEN 1 AND 1, true) AND coalesce(lower(a) = lower(b), true) AS by_size FROM j
+""")
+def spider_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a page and a file agree as single sites are compared (long words, half rounded down) and as many at once are (size to the byte)."""
+    plain = lambda c: F.when(F.col(c).rlike("^[0-9]{1,15}$"), F.col(c).try_cast("double"))
+    m = table(spark, sf_dir, "meta", "item_id", "meta_id", F.col("infohash").alias("a"), "title", plain("size").alias("s"))
+    i = table(spark, sf_dir, "torrent_info", "item_id", "info_id", F.col("infohash").alias("b"), "filedir", plain("filesizes").alias("t"))
+    c, none = F.col, F.lit(None).cast("string")
+    by_words = matching.same_item(c("s"), c("t"), c("a"), c("b"), F.when(c("filedir").isNotNull(), c("title")), c("filedir"), longer=3, whole_halves=True)
+    return m.join(i, "item_id").select("meta_id", "info_id", by_words.alias("by_words"), matching.same_item(c("s"), c("t"), c("a"), c("b"), none, none, tolerance=0.0).alias("by_size"))
+
+
 def agreement(pages: DataFrame, info: DataFrame) -> DataFrame:
     """meta_id, info_id and same_item: whether a page and a file of one item agree in size, digest and title, as far as both state them.
 
@@ -515,10 +545,11 @@ def sized_page_file_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agreement(m, table(spark, sf_dir, "torrent_info", "item_id", "info_id", "infohash", "filedir", "filesizes", "trackers"))
 
 
-@query("SELECT m.meta_id, i.info_id FROM meta m JOIN torrent_info i ON lower(m.infohash) = lower(i.infohash)")
+@query("SELECT t.item_id, i.info_id FROM (SELECT item_id, upper(regexp_extract(meta, 'infohash=([0-9a-fA-F]{40})', 1)) AS h FROM torrents_item) t JOIN torrent_info i ON t.h = upper(i.infohash) WHERE t.h <> ''")
 def digest_equality_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m, i = table(spark, sf_dir, "meta", "meta_id", F.lower("infohash").alias("h")), table(spark, sf_dir, "torrent_info", "info_id", F.lower("infohash").alias("h"))
-    return m.join(i, "h").select("meta_id", "info_id")
+    """Items and files with one digest, which items state among their metadata."""
+    t = table(spark, sf_dir, "torrents_item", "item_id", F.upper(F.regexp_extract("meta", "infohash=([0-9a-fA-F]{40})", 1)).alias("h")).where("h != ''")
+    return t.join(table(spark, sf_dir, "torrent_info", "info_id", F.upper("infohash").alias("h")), "h").select("item_id", "info_id")
 
 
 @query(f"""
@@ -531,17 +562,26 @@ def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.join(s, "host", "left").select("meta_id", "host", F.coalesce("sid", F.lit(-1)).alias("source_id"), (F.coalesce("crbl", F.lit(0)) == 0).alias("may_crawl"))
 
 
+_TRACKER = r"^[A-Za-z]+://([^/:|;, \"]+)"
+
+
 @query(f"""
-WITH h AS (SELECT DISTINCT {_host('link')} AS d FROM {_LINKS}), n AS (SELECT d FROM h WHERE d NOT IN (SELECT d FROM sources WHERE d IS NOT NULL))
+WITH h AS (SELECT DISTINCT regexp_extract(trackers, '{_TRACKER}', 1) AS d FROM torrent_info WHERE trackers IS NOT NULL), n AS (SELECT d FROM h WHERE d <> '' AND d NOT IN (SELECT d FROM sources WHERE d IS NOT NULL))
 SELECT d, (SELECT max(_id) FROM sources) + row_number() OVER (ORDER BY d) AS source_id FROM n
 """)
 def new_source_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of hosts that are no source yet, from the largest id on, in one job."""
+    """Ids of tracker hosts that are no source yet, from the largest id on, in one job."""
     known = table(spark, sf_dir, "sources", "d", "_id")
-    new = _links(spark, sf_dir).select(ur.host(F.col("link")).alias("d")).distinct().join(known.select("d"), "d", "left_anti")
-    top = known.agg(F.max("_id").alias("top"))
-    # A global order over new hosts: their number is that of hosts, not of links.
-    return new.crossJoin(F.broadcast(top)).select("d", (F.col("top") + F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("d"))).alias("source_id"))
+    hosts = table(spark, sf_dir, "torrent_info", F.regexp_extract("trackers", _TRACKER, 1).alias("d")).where("d != ''").distinct()
+    top = known.agg(F.max("_id").alias("top"))  # one row
+    return ranking.numbered(hosts.join(known.select("d"), "d", "left_anti"), "d").crossJoin(F.broadcast(top)).select("d", (F.col("top") + F.col("n")).alias("source_id"))
+
+
+@query(f"SELECT d FROM sources WHERE d IS NOT NULL UNION SELECT DISTINCT regexp_extract(trackers, '{_TRACKER}', 1) FROM torrent_info WHERE regexp_matches(trackers, '{_TRACKER}')")
+def insert_missing_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known hosts, and tracker hosts that were missing among them."""
+    offered = table(spark, sf_dir, "torrent_info", F.regexp_extract("trackers", _TRACKER, 1).alias("d")).where("d != ''")
+    return state.insert_missing(table(spark, sf_dir, "sources", "d").where("d IS NOT NULL"), offered, ["d"])
 
 
 @query("""
@@ -581,15 +621,18 @@ def constant_field_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH l AS (SELECT row_id, pos, link, ends_with(link, '.torrent') OR contains(link, '.torrent?') AS is_file FROM {_LINKS}),
      f AS (SELECT *, CASE WHEN is_file THEN 10 WHEN pos = 0 THEN 9 ELSE 5 END AS priority FROM l), s AS (SELECT *, row_number() OVER (PARTITION BY {_host('link')} ORDER BY priority DESC, link, row_id, pos) AS r FROM f)
-SELECT row_id, pos, link, priority, CAST((r - 1) % 4 AS INTEGER) AS lane FROM s WHERE r <= 20 OR is_file
+SELECT row_id, pos, link, priority, CAST(CASE WHEN r <= 20 THEN (r - 1) % 4 ELSE row_id % 4 END AS INTEGER) AS lane FROM s WHERE r <= 20 OR is_file
 """)
 def frontier_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Twenty links of each site by priority, and all file links, dealt out to four lanes in turn."""
+    """Twenty links of each site by priority, dealt out to four lanes in turn, and all other file links, by their row."""
     link = F.col("link")
     f = _links(spark, sf_dir).withColumn("is_file", link.endswith(".torrent") | link.contains(".torrent?"))
-    f = f.withColumn("priority", F.when(F.col("is_file"), 10).when(F.col("pos") == 0, 9).otherwise(5))
-    r = F.row_number().over(Window.partitionBy(ur.host(link)).orderBy(F.desc("priority"), "link", "row_id", "pos"))
-    return f.withColumn("r", r).where((F.col("r") <= 20) | F.col("is_file")).select("row_id", "pos", "link", "priority", ((F.col("r") - 1) % 4).alias("lane"))
+    f = f.withColumn("priority", F.when(F.col("is_file"), 10).when(F.col("pos") == 0, 9).otherwise(5)).withColumn("site", ur.host(link))
+    first = ranking.top_k(f, "site", [F.desc("priority"), "link", "row_id", "pos"], 20)
+    first = first.select("row_id", "pos", "link", "priority", ((F.col("place") - 1) % 4).cast("int").alias("lane"))
+    # The links that must be kept need no place: they are the rest of a plain filter.
+    rest = f.where("is_file").join(first.select("row_id", "pos"), ["row_id", "pos"], "left_anti")
+    return first.unionByName(rest.select("row_id", "pos", "link", "priority", (F.col("row_id") % 4).cast("int").alias("lane")))
 
 
 @query(f"""
@@ -732,14 +775,25 @@ def site_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.where((F.coalesce("fails", F.lit(0)) <= 5) & ~F.col("done") & (F.col("n_tp") > 0)).join(twins, "_id", "left_anti").select("_id", "fails", "n_tp")
 
 
+_BARE = r"https?://[^\"'><\s\[\]()|]+"
+
+
+@query(f"SELECT meta_id, i - 1 AS pos, regexp_extract_all(description, '{_BARE.replace(chr(39), chr(39) * 2)}')[i] AS link FROM meta, unnest(range(1, len(regexp_extract_all(description, '{_BARE.replace(chr(39), chr(39) * 2)}')) + 1)) t(i)")
+def bare_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every address in a body, in attributes and outside of them, in order."""
+    found = F.regexp_extract_all("description", F.lit(_BARE), F.lit(0))
+    return table(spark, sf_dir, "meta", "meta_id", "description").select("meta_id", F.posexplode(found).alias("pos", "link")).withColumn("pos", F.col("pos").cast("long"))
+
+
 @query(f"""
-WITH l AS (SELECT {_host('link')} AS host, count(*) AS n_links, count_if(contains(link, '.torrent')) AS n_files FROM {_LINKS} GROUP BY 1)
-SELECT list_aggregate(string_split(host, '.')[-2:], 'string_agg', '.') AS domain, sum(n_links)::BIGINT AS n_links FROM l WHERE host NOT IN (SELECT d FROM sources WHERE d IS NOT NULL) AND n_files > 0 GROUP BY 1
+WITH l AS (SELECT {_host('link')} AS host, count(*) AS n_links, count_if(regexp_matches(link, '/[0-9]+$')) AS n_items FROM (SELECT unnest(regexp_extract_all(description, '{_BARE.replace(chr(39), chr(39) * 2)}')) AS link FROM meta) GROUP BY 1)
+SELECT list_aggregate(string_split(host, '.')[-2:], 'string_agg', '.') AS domain, sum(n_links)::BIGINT AS n_links FROM l WHERE host NOT IN (SELECT d FROM sources WHERE d IS NOT NULL) AND n_items > 0 GROUP BY 1
 """)
 def new_site_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Domains of hosts that are no source and have file links."""
-    l = _links(spark, sf_dir).groupBy(ur.host(F.col("link")).alias("host")).agg(F.count("*").alias("n_links"), F.count_if(F.col("link").contains(".torrent")).alias("n_files"))
-    new = l.join(table(spark, sf_dir, "sources", F.col("d").alias("host")), "host", "left_anti").where("n_files > 0")
+    """Domains of hosts that descriptions link to, that are no source and have numbered items."""
+    link = F.col("link")
+    l = bare_links(spark, sf_dir).groupBy(ur.host(link).alias("host")).agg(F.count("*").alias("n_links"), F.count_if(link.rlike("/[0-9]+$")).alias("n_items"))
+    new = l.join(table(spark, sf_dir, "sources", F.col("d").alias("host")), "host", "left_anti").where("n_items > 0")
     labels = F.split("host", r"\.")
     return new.groupBy(F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".").alias("domain")).agg(F.sum("n_links").alias("n_links"))
 
@@ -840,6 +894,30 @@ def path_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _induced(spark, sf_dir)[2]
 
 
+@query()
+def framed_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of known texts, without those that the site's home page, its page of the smallest id, has at the same place."""
+    pages = _pages(spark, sf_dir)
+    nodes = checkpoint(dom.nodes(pages, "meta_id", "html"))
+    # One page of each site: counted before it is broadcast.
+    homes = small_side(pages.groupBy("site").agg(F.min("meta_id").alias("home")))
+    site_of = pages.select("meta_id", "site").join(homes, "site")
+    frame = nodes.join(site_of.where("meta_id = home").select("meta_id", "site"), "meta_id").select("site", "path", "text").distinct()
+    values = nodes.where(F.col("tag").isin("h2", "h3", "code") & (F.col("text") != "")).groupBy("meta_id", "tag").agg(F.min_by("text", "node_id").alias("value"))
+    others = site_of.where("meta_id != home").select("meta_id", "site")
+    home = others.join(frame, "site").select("meta_id", "path", "text")
+    return paths.induce(nodes.join(others, "meta_id", "left_semi"), "meta_id", values.join(others, "meta_id", "left_semi").select("meta_id", F.when(F.col("tag") == "code", "sample").otherwise("title").alias("field"), "value"), "field", "value", home)
+
+
+@query()
+def image_path_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where pages show their first image, by short path."""
+    m = table(spark, sf_dir, "meta", "meta_id", "description").where(F.lower("description").contains("<img"))
+    nodes = checkpoint(dom.nodes(m, "meta_id", "description"))
+    first = nodes.where("tag = 'img'").groupBy("meta_id").agg(F.min_by(F.col("attrs")["src"], "node_id").alias("src"))
+    return paths.image_paths(nodes, "meta_id", first, "src")
+
+
 @query()
 def wrapper_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learn each site's paths by vote and apply them to all its pages."""
@@ -871,24 +949,99 @@ def image_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paths.chosen_image(i.select("page", "src", w.alias("width"), (w + 10).alias("height"), (ur.host(F.col("src")) != F.col("site")).alias("off_domain")), "page")
 
 
-@query()
+_PARTS = {"h": r"urn\W*btih\W*([0-9a-f]{40})", "n": r"(?:^|[^a-z0-9])dn\s*[=:]\s*([^&;|,]*)", "l": r"(?:^|[^a-z0-9])xl\s*[=:]\s*([0-9]+)"}
+
+
+@query(f"""
+WITH p AS (SELECT row_id, regexp_extract(lower(_id), '{_PARTS["h"]}', 1) AS h, regexp_extract(lower(_id), '{_PARTS["n"]}', 1) AS n, regexp_extract(lower(_id), '{_PARTS["l"]}', 1) AS l FROM torrent)
+SELECT row_id, upper(h) AS infohash, nullif(replace(n, '+', ' '), '') AS name, TRY_CAST(l AS BIGINT) AS size, NULL::VARCHAR AS error FROM p WHERE h <> ''
+""")
 def magnet_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled identifiers read as magnet links."""
-    t = table(spark, sf_dir, "torrent", "row_id", "_id").where(F.col("_id").rlike("(?i)^[^;|,]*xt=urn:btih:[^ ]+&|&xt=urn:btih:"))
-    return metainfo.decode_magnets(t.select("row_id", F.concat(F.lit("magnet:?"), F.lower(F.col("_id"))).alias("uri")), "row_id", "uri").select("row_id", "infohash", "name", "size", "error")
+    """Labelled identifiers, however they are written, put as magnet links and read."""
+    low = F.lower("_id")
+    h, n, l = (F.regexp_extract(low, _PARTS[k], 1) for k in "hnl")
+    t = table(spark, sf_dir, "torrent", "row_id", "_id").where(h != "")
+    uri = F.concat(F.lit("magnet:?xt=urn:btih:"), h, F.lit("&dn="), F.replace(n, F.lit("%"), F.lit("%25")), F.when(l != "", F.concat(F.lit("&xl="), l)).otherwise(""))
+    return metainfo.decode_magnets(t.select("row_id", uri.alias("uri")), "row_id", "uri").select("row_id", "infohash", "name", "size", "error")
 
 
-@query()
+_FILES = "string_split(filepaths, '///')"
+_INFO = f"""CASE WHEN filedir IS NULL THEN 'd6:lengthi' || strlen(filepaths) || 'e4:name' || strlen(filepaths) || ':' || filepaths || 'e'
+ELSE 'd5:filesl' || array_to_string(list_transform({_FILES}, lambda p: 'd6:lengthi' || strlen(p) || 'e4:pathl' || strlen(p) || ':' || p || 'ee'), '') || 'e4:name' || strlen(filedir) || ':' || filedir || 'e' END"""
+
+
+@query(f"""
+SELECT info_id, upper(sha1({_INFO})) AS infohash, coalesce(filedir, filepaths) AS name, strlen(filepaths) - CASE WHEN filedir IS NULL THEN 0 ELSE 3 * (len({_FILES}) - 1) END AS size, CASE WHEN filedir IS NULL THEN 1 ELSE len({_FILES}) END AS n_files,
+       len(list_distinct(list_filter(string_split_regex(coalesce(trackers, ''), '[ \\r\\n]+'), lambda t: t <> ''))) AS n_trackers, regexp_replace(regexp_replace(comment, '\\r?\\n', '<br />', 'g'), '\\t', ' ', 'g') AS comment, ['h:' || info_id] AS nodes, NULL::VARCHAR AS error
+FROM torrent_info WHERE filepaths IS NOT NULL
+""")
 def metainfo_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metainfo written as bencoded bytes from the table, and read again."""
-    i = table(spark, sf_dir, "torrent_info", "info_id", "filepaths").where("filepaths IS NOT NULL")
-    name = F.encode(F.col("filepaths"), "UTF-8")
-    size = F.length(name)
-    raw = F.concat(F.encode(F.lit("d4:infod6:lengthi"), "UTF-8"), F.encode(size.cast("string"), "UTF-8"), F.encode(F.lit("e4:name"), "UTF-8"), F.encode(size.cast("string"), "UTF-8"), F.encode(F.lit(":"), "UTF-8"), name, F.encode(F.lit("ee"), "UTF-8"))
-    return metainfo.decode_files(i.select("info_id", raw.alias("content")), "info_id").select("info_id", "infohash", "name", "size", "error")
+    """Metainfo of one or several files, with tiers of trackers, comment and nodes, written as bencoded bytes from the table and read again."""
+    i = table(spark, sf_dir, "torrent_info", "info_id", "filedir", "filepaths", "trackers", "comment").where("filepaths IS NOT NULL")
+    text = lambda c: F.concat(F.octet_length(c).cast("string"), F.lit(":"), c)
+    one = lambda p: F.concat(F.lit("d6:lengthi"), F.octet_length(p).cast("string"), F.lit("e4:pathl"), text(p), F.lit("ee"))
+    single = F.concat(F.lit("d6:lengthi"), F.octet_length("filepaths").cast("string"), F.lit("e4:name"), text(F.col("filepaths")), F.lit("e"))
+    several = F.concat(F.lit("d5:filesl"), F.array_join(F.transform(F.split("filepaths", "///"), one), ""), F.lit("e4:name"), text(F.col("filedir")), F.lit("e"))
+    tiers = F.transform(F.filter(F.split(F.coalesce("trackers", F.lit("")), r"[ \r\n]+"), lambda t: t != ""), lambda t: F.concat(F.lit("l"), text(t), F.lit("e")))
+    number = F.col("info_id").cast("string")
+    raw = F.concat(F.lit("d13:announce-listl"), F.array_join(tiers, ""), F.lit("e"), F.coalesce(F.concat(F.lit("7:comment"), text(F.col("comment"))), F.lit("")), F.lit("4:info"), F.when(F.col("filedir").isNull(), single).otherwise(several), F.lit("5:nodesll1:hi"), number, F.lit("eeee"))
+    out = metainfo.decode_files(i.select("info_id", F.encode(raw, "UTF-8").alias("raw")), "info_id", "raw")
+    return out.select("info_id", "infohash", "name", "size", F.size("files").cast("long").alias("n_files"), F.size("trackers").cast("long").alias("n_trackers"), "comment", "nodes", "error")
+
+
+@query("SELECT meta_id, (meta_id % 900 + 1)::INTEGER AS width, (meta_id % 700 + 2)::INTEGER AS height FROM meta")
+def image_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Width and height of images that are written as PNG, GIF and JPEG from the table, the last behind long metadata, and read again."""
+    hexed = lambda n, digits: F.lpad(F.hex(n), digits, "0")
+    w, h = F.col("meta_id") % 900 + 1, F.col("meta_id") % 700 + 2
+    small = lambda n: F.concat(F.substring(hexed(n, 4), 3, 2), F.substring(hexed(n, 4), 1, 2))
+    png = F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), hexed(w, 8), hexed(h, 8))
+    gif = F.concat(F.lit("474946383961"), small(w), small(h))
+    # Five segments of metadata, 300 kB in all, stand before the frame.
+    jpeg = F.concat(F.lit("FFD8" + ("FFE1EA60" + "00" * 59998) * 5 + "FFC0000B08"), hexed(h, 4), hexed(w, 4), F.lit("0000"))
+    raw = F.when(F.col("meta_id") % 100 == 0, F.unhex(jpeg)).when(F.col("meta_id") % 2 == 0, F.unhex(png)).otherwise(F.unhex(gif))
+    m = table(spark, sf_dir, "meta", "meta_id")
+    return images.read_dimensions(m.select("meta_id", raw.alias("raw")), "meta_id", "raw")
+
+
+@query("SELECT meta_id, coalesce(regexp_full_match(season, '[0-9]+') OR regexp_matches(season, '(?i)s[0-9]+e[0-9]+'), false) AS season_ok, coalesce(regexp_matches(infohash, '[0-9a-fA-F]{40}'), false) AS digest_ok, upper(nullif(regexp_extract(infohash, '([0-9a-fA-F]{40})', 1), '')) AS digest, len(string_split(url, '/')) > 3 AS image_ok FROM meta")
+def valid_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether strings offered for a field are valid for it, and their value."""
+    v = lambda f, c: tx.valid_meta(f, F.col(c), F.col("url"))
+    m = table(spark, sf_dir, "meta", "meta_id", "url", "season", "infohash").select("meta_id", v("season", "season").alias("s"), v("infohash", "infohash").alias("h"), v("image", "url").alias("i"))
+    return m.select("meta_id", F.col("s.valid").alias("season_ok"), F.col("h.valid").alias("digest_ok"), F.col("h.value").alias("digest"), F.col("i.valid").alias("image_ok"))
+
+
+@query("SELECT row_id, url_decode(replace(regexp_extract(lower(_id), 'dn[=:] ?([^&;|,]*)', 1), '%', '%25')) AS name FROM torrent WHERE _id IS NOT NULL")
+def percent_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of labelled identifiers, encoded for an address and decoded again; plus signs stay."""
+    name = F.regexp_extract(F.lower("_id"), "dn[=:] ?([^&;|,]*)", 1)
+    return table(spark, sf_dir, "torrent", "row_id", "_id").where("_id IS NOT NULL").select("row_id", ur.decoded(F.replace(name, F.lit("%"), F.lit("%25"))).alias("name"))
+
+
+@query("SELECT DISTINCT d AS domain FROM sources WHERE contains(d, '-') AND d NOT IN ('amberquill-index.example', 'velvelsil-meadow.invalid')")
+def seed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds written as a list of ranks and domains and read again: those with a token and not blacklisted."""
+    at = f"{shared_folder(spark)}/seeds/{uuid.uuid4().hex}"
+    table(spark, sf_dir, "sources", F.col("_id").cast("string").alias("rank"), "d").write.csv(at)
+    return files.read_seeds(spark, at, "-", ("amberquill-index.example", "velvelsil-meadow.invalid"))
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d-%H') AS hour, count(*) AS n_lines FROM events WHERE ts IS NOT NULL GROUP BY 1")
+def hourly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in each hour's file, once they are written."""
+    at = f"{shared_folder(spark)}/hourly/{uuid.uuid4().hex}"
+    files.write_hourly(table(spark, sf_dir, "events", "ts", F.concat_ws("\t", "event_id", "event_type").alias("line")).where("ts IS NOT NULL"), at)
+    return spark.read.text(at).groupBy(F.col("hour").cast("string").alias("hour")).agg(F.count("*").alias("n_lines"))
+
+
+_BITS = "array_to_string(list_transform(string_split(digest, ''), lambda c: array_to_string(list_transform([16, 8, 4, 2, 1], lambda b: CAST((strpos('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', c) - 1) // b % 2 AS VARCHAR)), '')), '')"
 
 
-@query()
+@query(f"""
+WITH d AS (SELECT item_id, regexp_extract(origins, '7:([A-Z2-7]{{32}})', 1) AS digest FROM torrents_item), b AS (SELECT item_id, digest, {_BITS} AS bits FROM d WHERE digest <> '')
+SELECT item_id, digest, array_to_string(list_transform(range(0, 40), lambda i: substr('0123456789ABCDEF', 1 + 8 * CAST(substr(bits, 4 * i + 1, 1) AS INT) + 4 * CAST(substr(bits, 4 * i + 2, 1) AS INT) + 2 * CAST(substr(bits, 4 * i + 3, 1) AS INT) + CAST(substr(bits, 4 * i + 4, 1) AS INT), 1)), '') AS hex FROM b
+""")
 def base32_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of items' origins in one notation."""
     t = table(spark, sf_dir, "torrents_item", "item_id", "origins").select("item_id", F.regexp_extract("origins", "7:([A-Z2-7]{32})", 1).alias("digest")).where("digest != ''")
@@ -920,7 +1073,9 @@ def stream_first_last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states.groupBy("user_id").agg(F.max_by(F.struct("first_seen", "last_seen", "promoted"), "batch").alias("s")).select("user_id", "s.*")
 
 
-@query()
+@query("SELECT time_bucket(INTERVAL 60 minutes, ts) AS hour, event_type, count(*) AS n_lines FROM events WHERE ts IS NOT NULL GROUP BY 1, 2")
 def stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours that the watermark has passed; the last ones stay open."""
-    return drained(views.hourly_counts(_event_stream(spark, sf_dir), "event_type")).drop("batch")
+    """Lines of each hour, those of the hours that are still open included: the last state of each."""
+    states = drained(views.hourly_counts(_event_stream(spark, sf_dir), "event_type"), "update")
+    last = states.groupBy("hour", "event_type").agg(F.max_by("n_lines", "batch").alias("n_lines"))
+    return last.withColumn("hour", F.col("hour").cast("timestamp_ntz"))

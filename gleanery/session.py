@@ -96,12 +96,15 @@ def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over all that is there now and read its rows, with the ``batch`` each came in."""
     spark = stream.sparkSession
     ship(spark)
-    at = f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
+    at, written = f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}", []
 
     def write(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{at}/out/batch={n}")
+        written.append(n)
 
     stream.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    if not written:  # a stream without any file has no batch
+        return spark.createDataFrame([], stream.schema).withColumn("batch", F.lit(0))
     return spark.read.parquet(f"{at}/out")
 
 

@@ -10,11 +10,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Elements without content, and those that a sibling or a block closes.
+# Empty elements, and those that a sibling or a block closes.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CLOSED_BY = {"li": {"li"}, "p": {"p", "div", "ul", "ol", "table", "h1", "h2", "h3", "h4", "article", "section", "footer"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
 
-NODES = "node_id int, parent_id int, tag string, attrs map<string,string>, ordinal int, path string, text string"
+NODES = "node_id int, parent_id int, tag string, attrs map<string,string>, ordinal int, path string, text string, whole_text string"
 
 
 class _Reader(HTMLParser):
@@ -23,6 +23,7 @@ class _Reader(HTMLParser):
         self.rows: list[list] = [[0, -1, "#root", {}, 1, "", []]]
         self.open = [0]
         self.seen: dict[tuple[int, str], int] = {}
+        self.whole: dict[int, list[str]] = {}
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         while len(self.open) > 1 and tag in CLOSED_BY.get(self.rows[self.open[-1]][2], ()):
@@ -46,14 +47,17 @@ class _Reader(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if data.strip():
-            self.rows[self.open[-1]][6].append(" ".join(data.split()))
+            text = " ".join(data.split())
+            self.rows[self.open[-1]][6].append(text)
+            for k in self.open:  # an element's whole text holds that of all within it, in order
+                self.whole.setdefault(k, []).append(text)
 
 
 def read_page(html: str | None) -> list[tuple]:
     """Nodes of a page in document order, with absolute paths.
 
     A step has an ordinal only where siblings share its tag. ``text`` is the node's own
-    text. Null and empty pages have no nodes; unclosed elements end with their parent.
+    text, ``whole_text`` that of the node and all within it. Null and empty pages have no nodes; unclosed elements end with their parent.
 
     >>> [(r[2], r[5], r[6]) for r in read_page("<ul><li>a<li>b<br>c</ul>")]
     [('ul', '/ul', ''), ('li', '/ul/li[1]', 'a'), ('li', '/ul/li[2]', 'b c'), ('br', '/ul/li[2]/br', '')]
@@ -66,7 +70,7 @@ def read_page(html: str | None) -> list[tuple]:
     for r in reader.rows[1:]:
         step = f"/{r[2]}[{r[4]}]" if reader.seen[r[1], r[2]] > 1 else f"/{r[2]}"
         r[5] = reader.rows[r[1]][5] + step
-    return [(*r[:6], " ".join(r[6])) for r in reader.rows[1:]]
+    return [(*r[:6], " ".join(r[6]), " ".join(reader.whole.get(r[0], ()))) for r in reader.rows[1:]]
 
 
 def nodes(pages: DataFrame, key: str, html: str) -> DataFrame:

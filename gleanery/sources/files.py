@@ -21,8 +21,24 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def report(df: DataFrame, site: str, field: str, value: str) -> DataFrame:
-    """One HTML report for each site: its fields and values as a table, escaped and in order."""
+def report_lines(df: DataFrame, site: str, field: str, value: str) -> DataFrame:
+    """site, pos and line of an HTML report for each site: its fields and values as rows of a table, escaped and in order.
+
+    A site may have any number of rows: each is a line of its own, and its place is
+    computed from the sorted whole and not from a list.
+    """
     esc = lambda c: F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    row = F.concat(F.lit("<tr><td>"), esc(field), F.lit("</td><td>"), esc(value), F.lit("</td></tr>"))
-    return df.groupBy(site).agg(F.concat(F.lit("<table>"), F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table>")).alias("html"))
+    row = F.concat(F.lit("<tr><td>"), F.coalesce(esc(field), F.lit("")), F.lit("</td><td>"), F.coalesce(esc(value), F.lit("")), F.lit("</td></tr>"))
+    rows = df.select(F.col(site).alias("site"), F.lit(1).alias("part"), row.alias("line"))
+    sites = rows.select("site").distinct()
+    ends = [sites.select("site", F.lit(k).alias("part"), F.lit(line).alias("line")) for k, line in ((0, "<table>"), (2, "</table>"))]
+    return rows.unionByName(ends[0]).unionByName(ends[1])
+
+
+def write_report(lines: DataFrame, path: str) -> None:
+    """The lines of ``report_lines`` as text files in a folder for each site; file names and lines keep the order.
+
+    A site's lines are cut into ranges and each is sorted where it is, so no task holds a site.
+    """
+    ordered = lines.repartitionByRange("site", "part", "line").sortWithinPartitions("site", "part", "line")
+    ordered.select("site", "line").write.mode("overwrite").partitionBy("site").text(path)

@@ -1,4 +1,4 @@
-"""Width and height of images from their first bytes: PNG, GIF, JPEG."""
+"""Width and height of images from their headers: PNG, GIF, JPEG."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.session import checkpoint, small_side
+
 
 def dimensions(head: bytes | None) -> tuple[int | None, int | None]:
     """Width and height, or nulls if the bytes are no image of a known kind.
@@ -35,13 +37,23 @@ def dimensions(head: bytes | None) -> tuple[int | None, int | None]:
     return None, None
 
 
-def read_dimensions(files: DataFrame, key: str = "path", content: str = "content", most: int = 262_144) -> DataFrame:
-    """key, width and height; only the first ``most`` bytes of each file reach Python."""
+def read_dimensions(files: DataFrame, key: str, raw: str, head: int = 65_536) -> DataFrame:
+    """key, width and height of files whose bytes are in the column ``raw``.
+
+    The first ``head`` bytes of each file reach Python. A JPEG whose size stands behind
+    longer metadata is read a second time, as a whole.
+    """
     kind = files.select(key).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             both = [dimensions(c) for c in pdf["__head"]]
-            yield pdf[[key]].assign(width=pd.array([w for w, _ in both], dtype="Int32"), height=pd.array([h for _, h in both], dtype="Int32"))
-
-    return files.select(key, F.substring(F.col(content), 1, most).alias("__head")).mapInPandas(run, f"`{key}` {kind}, width int, height int")
+            more = [w is None and long and c[:2] == b"\xff\xd8" for (w, _), c, long in zip(both, pdf["__head"], pdf["__long"])]
+            yield pdf[[key]].assign(width=pd.array([w for w, _ in both], dtype="Int32"), height=pd.array([h for _, h in both], dtype="Int32"), more=more)
+
+    schema = f"`{key}` {kind}, width int, height int, more boolean"
+    long = F.coalesce(F.octet_length(F.col(raw)) > head, F.lit(False))
+    first = checkpoint(files.select(key, F.substring(F.col(raw), 1, head).alias("__head"), long.alias("__long")).mapInPandas(run, schema))
+    rest = files.where(long & (F.hex(F.substring(F.col(raw), 1, 2)) == "FFD8")).join(small_side(first.where("more").select(key).distinct()), key, "left_semi")
+    second = rest.select(key, F.col(raw).alias("__head"), F.lit(False).alias("__long")).mapInPandas(run, schema)
+    return first.where("NOT more").unionByName(second).drop("more")

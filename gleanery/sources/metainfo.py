@@ -118,9 +118,9 @@ def _decoded(df: DataFrame, key: str, value: str, read) -> DataFrame:
     return df.select(key, F.col(value).alias("__value")).mapInPandas(run, f"`{key}` {kind}, {SCHEMA}")
 
 
-def decode_files(files: DataFrame, key: str = "path", content: str = "content") -> DataFrame:
-    """Decode a table of binary files, such as ``spark.read.format("binaryFile")`` gives."""
-    return _decoded(files, key, content, metainfo)
+def decode_files(files: DataFrame, key: str, raw: str) -> DataFrame:
+    """Decode a table of files whose bytes are in the column ``raw``, such as ``spark.read.format("binaryFile")`` gives."""
+    return _decoded(files, key, raw, metainfo)
 
 
 def decode_magnets(links: DataFrame, key: str, uri: str) -> DataFrame:
