@@ -126,27 +126,33 @@ def is_synonym(a: Column, b: Column) -> Column:
     return F.coalesce(a, F.lit("")).isin("", "other") | F.coalesce(b, F.lit("")).isin("", "other") | F.coalesce((a == b) | listed, F.lit(False))
 
 
-#: Marks of program text, without spaces.
-SCRIPT_MARKS = ("function(", "document.", "window.", "var_", "return", "getelementby", "<script", "eval(", "$(")
+# Marks of program text (spaces are taken out of a text before they are looked for), those
+# that count only when nothing milder is asked for, and line ends of code, with the milder ones first.
+SCRIPT_MARKS = ("text/javascript", "function", "<iframe", "text-decoration", "font-size", "=[", "={", "returnfalse", "returntrue")
 HARD_MARKS = ("src=", "href=")
+SOFT_ENDS = (";", "}", "{", "+")
+HARD_ENDS = (">", ",")
+# Parts of pages that are no description.
+NO_DESCRIPTION = ("/announce", "add your comment", 'id="comment', 'class="comment', "id='comment", "class='comment")
 
 
 def is_script(s: Column, soft: bool = False) -> Column:
-    """Whether a text looks like program text: a mark in it, or more code-like line ends than half its lines."""
-    tight = F.regexp_replace(F.lower(s), "[ \t]", "")
-    marks = SCRIPT_MARKS if soft else SCRIPT_MARKS + HARD_MARKS
-    held = F.exists(_array(marks), lambda m: tight.contains(m))
-    ends = ("{\n", "}\n", ";\n") if soft else ("{\n", "}\n", ";\n", ",\n", ")\n")
-    count = sum(((F.length(tight) - F.length(F.replace(tight, F.lit(e), F.lit("")))) / 2).cast("int") for e in ends)
+    """Whether a text looks like program text: a mark in it, or more code-like line ends than half its lines.
+
+    Marks of two words are meant to be found, so they are listed without their space.
+    """
+    tight = F.replace(F.lower(s), F.lit(" "), F.lit(""))
+    held = F.exists(_array(SCRIPT_MARKS if soft else SCRIPT_MARKS + HARD_MARKS), lambda m: tight.contains(m))
+    count = sum(((F.length(tight) - F.length(F.replace(tight, F.lit(f"{e}\n"), F.lit("")))) / 2).cast("int") for e in (SOFT_ENDS if soft else SOFT_ENDS + HARD_ENDS))
     lines = F.length(tight) - F.length(F.replace(tight, F.lit("\n"), F.lit("")))
     return F.coalesce(held | (count > F.floor(lines / 2)), F.lit(False))
 
 
 def is_description(s: Column) -> Column:
-    """A text of 33 to 4095 characters that is neither program text nor short thanks."""
+    """A text of 33 to 4095 characters that is no program text, no form of the page and no short thanks."""
     n = F.length(s)
-    thanks = F.lower(s).contains("thank") & (n < 64)
-    return F.coalesce((n > 32) & (n < 4096) & ~thanks & ~F.lower(s).rlike("all rights reserved|log in to") & ~is_script(s, soft=True), F.lit(False))
+    form = F.exists(_array(NO_DESCRIPTION), lambda m: s.contains(m))
+    return F.coalesce((n > 32) & (n < 4096) & ~(s.contains("thank") & (n < 50)) & ~form & ~is_script(s, soft=True), F.lit(False))
 
 
 def infohash(s: Column) -> Column:
@@ -164,14 +170,14 @@ def page_size(s: Column) -> Column:
 
 
 def title_words(title: Column) -> Column:
-    return F.regexp_extract_all(F.lower(title), F.lit("([a-z0-9]+)"), F.lit(1))
+    return F.regexp_extract_all(F.lower(title), F.lit(r"[\p{L}\p{N}_']+"), F.lit(0))
 
 
-def is_title(title: Column, url: Column) -> Column:
-    """All words of the title in the last part of the address, or over 70 % of more than five."""
+def is_title(title: Column, url: Column, full: bool = False) -> Column:
+    """All words of the title in the last part of the address, or over 70 % of more than five; ``full``: in all of its path."""
     words = title_words(title)
-    tail = F.lower(F.substring_index(url, "/", -1))
-    hits = F.size(F.filter(words, lambda w: tail.contains(w)))
+    where = F.lower(F.array_join(F.slice(F.split(url, "/"), 4, 1_000_000), "/") if full else F.substring_index(url, "/", -1))
+    hits = F.size(F.filter(words, lambda w: where.contains(w)))
     return F.coalesce((F.size(words) > 0) & ((hits == F.size(words)) | ((F.size(words) > 5) & (hits > F.size(words) * 0.7))), F.lit(False))
 
 
@@ -188,12 +194,20 @@ def valid_meta(field: str, s: Column, url: Column) -> Column:
     return F.struct(valid.alias("valid"), F.lit(field if field in by else "class").alias("kind"), F.when(valid, value).alias("value"))
 
 
+# Replacements that turn HTML into text, in this order, and entities, the ampersand last. ``\1`` is the group.
+STRIPPING = (
+    (r">\s+", ">"), (r"\s+", " "), (r"\s*<br\s*/?>\s*", "\n"), (r"</(?:div)\s*>\s*", "\n"), (r"</(?:p|h[0-9])\s*>\s*", "\n\n"), (r"<head>.*<\s*(?:/head|body)[^>]*>", ""),
+    (r'<a\s+href="([^"]+)"[^>]*>.*</a>', r"\1"), (r"[ \t]*<[^<]*?/?>", ""), (r"^\s+", ""),
+)
+ENTITIES = (("&nbsp;", " "), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+
+
 def strip_tags(html: Column) -> Column:
-    """Text of HTML by ordered replacements: blocks and breaks to line ends, other tags away, entities last."""
-    s = F.regexp_replace(html, r"[ \t\r\n]+", " ")
-    for pattern, to in ((r"(?i)<script[^>]*>.*?</script>", ""), (r"(?i)<head[^>]*>.*?</head>", ""), (r"(?i)<br ?/?>", "\n"), (r"(?i)</?(?:div|p|h[1-6]|li|tr)[^>]*>", "\n"), (r"<[^<>]*>", ""), (r"\n +", "\n"), (r"\n+", "\n"), (r"^[ \n]+", "")):
-        s = F.regexp_replace(s, pattern, to)
-    for entity, to in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):  # the ampersand last
+    """Text of HTML by ordered replacements: breaks and ends of blocks to line ends, links for anchors, other tags away, entities last."""
+    s = html
+    for pattern, to in STRIPPING:
+        s = F.regexp_replace(s, pattern, to.replace("\\", "$"))
+    for entity, to in ENTITIES:
         s = F.replace(s, F.lit(entity), F.lit(to))
     return s
 

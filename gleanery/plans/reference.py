@@ -157,9 +157,9 @@ def detail_page_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _script_sql(col: str, soft: bool) -> str:
     marks = tx.SCRIPT_MARKS if soft else tx.SCRIPT_MARKS + tx.HARD_MARKS
-    t = f"regexp_replace(lower({col}), '[ \\t]', '', 'g')"
+    t = f"replace(lower({col}), ' ', '')"
     held = " OR ".join(f"contains({t}, '{m}')" for m in marks)
-    ends = ("{", "}", ";") if soft else ("{", "}", ";", ",", ")")
+    ends = tx.SOFT_ENDS if soft else tx.SOFT_ENDS + tx.HARD_ENDS
     count = " + ".join(f"(len({t}) - len(replace({t}, '{e}' || chr(10), ''))) // 2" for e in ends)
     return f"coalesce({held} OR ({count}) > (len({t}) - len(replace({t}, chr(10), ''))) // 2, false)"
 
@@ -169,7 +169,8 @@ def script_like_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", tx.is_script(F.col("text")).alias("hard"), tx.is_script(F.col("text"), soft=True).alias("soft"))
 
 
-_DESCRIPTION = f"coalesce(len(description) > 32 AND len(description) < 4096 AND NOT (contains(lower(description), 'thank') AND len(description) < 64) AND NOT regexp_matches(lower(description), 'all rights reserved|log in to') AND NOT {_script_sql('description', True)}, false)"
+_FORMS = " OR ".join("contains(description, '" + m.replace("'", "''") + "')" for m in tx.NO_DESCRIPTION)
+_DESCRIPTION = f"coalesce(len(description) > 32 AND len(description) < 4096 AND NOT (contains(description, 'thank') AND len(description) < 50) AND NOT ({_FORMS}) AND NOT {_script_sql('description', True)}, false)"
 
 
 @query(f"SELECT {_host('url')} AS site, arg_min(meta_id, row(-len(description), meta_id)) AS meta_id, max(len(description)) AS n_chars FROM meta WHERE {_DESCRIPTION} GROUP BY 1")
@@ -196,15 +197,17 @@ def season_episode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "torrents_item", "item_id", "filename").where("filename IS NOT NULL").select("item_id", season.alias("season"), episode.alias("episode"), F.when(season.isNotNull(), F.lit("TV")).alias("category"))
 
 
-_TITLE = """
-SELECT meta_id, coalesce(len(w) > 0 AND (h = len(w) OR (len(w) > 5 AND h > len(w) * 0.7)), false) AS is_title
-FROM (SELECT meta_id, w, len(list_filter(w, lambda x: contains(tail, x))) AS h FROM (SELECT meta_id, regexp_extract_all(lower(title), '([a-z0-9]+)', 1) AS w, lower(string_split(url, '/')[-1]) AS tail FROM meta))
-"""
+_TITLE = "coalesce(len(w) > 0 AND (len(list_filter(w, lambda x: contains({t}, x))) = len(w) OR (len(w) > 5 AND len(list_filter(w, lambda x: contains({t}, x))) > len(w) * 0.7)), false)"
 
 
-@query(_TITLE)
+@query(f"""
+SELECT meta_id, {_TITLE.format(t='tail')} AS is_title, {_TITLE.format(t='path')} AS is_title_of_path
+FROM (SELECT meta_id, regexp_extract_all(lower(title), '[\\p{{L}}\\p{{N}}_'']+') AS w, lower(string_split(url, '/')[-1]) AS tail, lower(array_to_string(string_split(url, '/')[4:], '/')) AS path FROM meta)
+""")
 def title_url_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "meta", "meta_id", "title", "url").select("meta_id", tx.is_title(F.col("title"), F.col("url")).alias("is_title"))
+    """Whether the words of the title stand in the last part of the address, and in all of its path."""
+    t, u = F.col("title"), F.col("url")
+    return table(spark, sf_dir, "meta", "meta_id", "title", "url").select("meta_id", tx.is_title(t, u).alias("is_title"), tx.is_title(t, u, full=True).alias("is_title_of_path"))
 
 
 def _phrase_sql(col: str, words, most: int) -> str:
@@ -274,10 +277,10 @@ def synonym_congruence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "meta", "meta_id", "category", "genre").select("meta_id", tx.is_synonym(F.col("category"), tx.category_of_genre(F.col("genre"))).alias("congruent"))
 
 
-_STRIP = "regexp_replace(description, '[ \\t\\r\\n]+', ' ', 'g')"
-for _p, _t in ((r"(?i)<script[^>]*>.*?</script>", ""), (r"(?i)<head[^>]*>.*?</head>", ""), (r"(?i)<br ?/?>", "\n"), (r"(?i)</?(?:div|p|h[1-6]|li|tr)[^>]*>", "\n"), (r"<[^<>]*>", ""), (r"\n +", "\n"), (r"\n+", "\n"), (r"^[ \n]+", "")):
+_STRIP = "description"
+for _p, _t in tx.STRIPPING:
     _STRIP = f"regexp_replace({_STRIP}, '{_p}', '{_t}', 'g')"
-for _p, _t in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+for _p, _t in tx.ENTITIES:
     _STRIP = f"replace({_STRIP}, '{_p}', '{_t}')"
 
 
@@ -1062,9 +1065,10 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-@query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS r FROM events) WHERE r = 1")
+@query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_visited_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drained(views.visited_once(_event_stream(spark, sf_dir), ["event_id"])).select("event_id", "user_id", "event_type")
+    """Each kind of event of each user once, however often it comes."""
+    return drained(views.visited_once(_event_stream(spark, sf_dir).select("user_id", "event_type"), ["user_id", "event_type"])).drop("batch")
 
 
 @query("SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, epoch_us(max(ts)) - epoch_us(min(ts)) > 1800000000 AS promoted FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL GROUP BY 1")

@@ -10,13 +10,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def visited_once(stream: DataFrame, key: list[str], ts: str = "ts", delay: str = "2 hours") -> DataFrame:
-    """The first row of each key; keys are forgotten once they are older than the watermark."""
+def visited_once(stream: DataFrame, key: list[str], ts: str = "ts", delay: str | None = None) -> DataFrame:
+    """The first row of each key that comes.
+
+    Keys are never forgotten, as a crawl asks for, so the state grows with the keys. With
+    ``delay`` those older than the watermark are, and a key that comes again after that
+    time is taken for new.
+    """
+    if delay is None:
+        return stream.dropDuplicates(key)
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).dropDuplicatesWithinWatermark(key)
 
 
 def hourly_counts(stream: DataFrame, by: str, ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
-    """Rows of each hour and group; an hour is emitted once the watermark has passed it."""
+    """Rows of each hour and group.
+
+    In append mode an hour is emitted once the watermark has passed it; in update mode with
+    each batch that adds to it, so that the hours that are still open come out as well.
+    """
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).groupBy(F.window(ts, "60 minutes"), by).agg(F.count("*").alias("n_lines")).select(F.col("window.start").alias("hour"), by, "n_lines")
 
 
