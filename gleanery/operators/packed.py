@@ -23,7 +23,7 @@ from gleanery.session import small_side
 KINDS = {
     "reference": {"start": r"[0-9]+:(?=[^\s|;,\"'])"},
     "address": {"start": r"[A-Za-z][A-Za-z0-9+.\-]*://"},
-    "path": {"end": r"\.[A-Za-z0-9]+"},
+    "path": {"end": r"\.[A-Za-z0-9]++"},
     "number": {},
 }
 
@@ -86,8 +86,8 @@ def resolve_rule(kind: str, skel: str | None) -> str | None:
             cuts.append(r"\s*[\r\n]+\s*")
         weak = "".join(c for c in "|;," if re.search(rf"{_END}[{_TRIPLE}\s]*{re.escape(c)}", skel))
         if weak:
-            # Only the last sign of the extension is looked back at: what was not one got no cut in the skeleton.
-            cuts.append(rf"(?<=\.[A-Za-z0-9]{{1,255}})\s*[{weak}][{weak}\s]*")
+            # The delimiter is looked for before the extension (no name is longer than 255), since most places have none.
+            cuts.append(rf"(?=\s*[{weak}])(?<=\.[A-Za-z0-9]{{1,255}})\s*[{weak}][{weak}\s]*")
         if _END not in skel:
             # Names without extension: a delimiter that no space ever follows, but as the last sign.
             tight = next((c for c in "|;," if c in skel.rstrip("|;, ") and not re.search(rf"\s{re.escape(c)}|{re.escape(c)}\s+x", skel)), "")
