@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.session import checkpoint, small_side
+
 
 def upsert(current: DataFrame, changes: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """``current`` with the latest change of each key put in place of its row.
@@ -45,10 +50,44 @@ def mismatches(old: DataFrame, new: DataFrame, key: list[str], value: str) -> Da
 
 
 def failure_cut(df: DataFrame, group: str, order: str, ok: str, most: int = 20) -> DataFrame:
-    """Rows of each group up to the point where more than ``most`` failures followed each other."""
-    w = Window.partitionBy(group).orderBy(order)
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    runs = df.withColumn("__run", F.sum(F.col(ok).cast("int")).over(so_far))
-    inside = Window.partitionBy(group, "__run").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    fails = runs.withColumn("failures", F.sum((~F.col(ok)).cast("int")).over(inside))
-    return fails.withColumn("__cut", F.max((F.col("failures") > most).cast("int")).over(so_far)).where("__cut = 0").drop("__run", "__cut")
+    """Rows of each group up to the point where more than ``most`` failures followed each other, with ``failures``.
+
+    ``failures`` is the length of the run of failures that a row ends, 0 for a good row; a
+    null ``ok`` is a failure. ``order`` has to tell the rows of a group apart. Null groups
+    are a group.
+
+    Rows are cut into ranges of group and order, so that a hot group spreads over many
+    tasks. Each range says how many failures it begins and ends with; from these few rows
+    each range learns what it goes on from, and then runs are counted where the rows are.
+    """
+    names, kinds = [f"`{f.name}`" for f in df.schema], df.schema
+    good = F.coalesce(F.col(ok), F.lit(False))
+    cut = checkpoint(df.withColumn("__ok", good).repartitionByRange(F.col(group), F.col(order)).sortWithinPartitions(group, order).withColumn("__part", F.spark_partition_id()))
+    # Of each range of each group the place of its last good row, and the failures after it.
+    ends = cut.groupBy(F.col(group).alias("__g"), F.col("__part").alias("__p")).agg(F.max(F.when(F.col("__ok"), F.col(order))).alias("__last"))
+    here = F.col(group).eqNullSafe(F.col("__g")) & (F.col("__part") == F.col("__p"))
+    tail = F.count_if(F.col("__last").isNull() | (F.col(order) > F.col("__last"))).alias("tail")
+    parts = cut.join(small_side(ends), here).groupBy("__g", F.col("__p").alias("part")).agg(tail, F.first("__last").isNull().alias("all_failed"))
+    # A row for each range of a group, at most as many as there are ranges.
+    lists = parts.groupBy("__g").agg(F.array_sort(F.collect_list(F.struct("part", "all_failed", "tail"))).alias("all"))
+    before = F.filter("all", lambda x: x["part"] < F.col("__p"))
+    carried = F.aggregate(before, F.lit(0).cast("long"), lambda acc, x: F.when(x["all_failed"], acc + x["tail"]).otherwise(x["tail"]))
+    carry = lists.select("__g", "all", F.explode("all.part").alias("__p")).select("__g", "__p", carried.alias("__carry"))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, run = object(), 0
+        for pdf in batches:
+            out = []
+            for g, fine, carry in zip(pdf[group], pdf["__ok"], pdf["__carry"]):
+                if not (g == now or pd.isna(g) and now is None):
+                    now, run = None if pd.isna(g) else g, int(carry)
+                run = 0 if fine else run + 1
+                out.append(run)
+            yield pdf.drop(columns=["__ok", "__carry"]).assign(failures=out)
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + ", failures long"
+    joined = cut.join(small_side(carry), here, "left")
+    counted = checkpoint(joined.select(*names, "__ok", F.coalesce("__carry", F.lit(0)).alias("__carry"), "__part").repartition("__part").sortWithinPartitions("__part", group, order).drop("__part").mapInPandas(count, ddl))
+    stop = counted.where(F.col("failures") > most).groupBy(F.col(group).alias("__g")).agg(F.min(order).alias("__stop"))
+    kept = counted.join(small_side(stop), F.col(group).eqNullSafe(F.col("__g")), "left").where(F.col("__stop").isNull() | (F.col(order) < F.col("__stop")))
+    return kept.select(*names, "failures")

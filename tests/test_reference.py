@@ -351,3 +351,22 @@ def test_repeats_in_later_batches(spark, tmp_path):
     late = drained(views.visited_once(stream(), ["k"], delay="1 hour"))
     got = [r.k for r in late.collect()]
     assert set(got) == set("abcd") and len(got) >= 4  # when the state of a key goes is up to the engine
+
+
+def test_runs_of_failures_across_ranges(spark):
+    import random
+
+    rnd = random.Random(8)
+    rows = [(rnd.choice(["hot", "hot", "hot", "a", "b", None]), k, rnd.random() < 0.45 if k % 211 > 40 else None if k % 2 else False) for k in range(1500)]
+    want, state_ = set(), {}
+    for g, k, ok in rows:
+        run, stopped = state_.get(g, (0, False))
+        run = 0 if ok else run + 1
+        stopped = stopped or run > 25
+        state_[g] = run, stopped
+        if not stopped:
+            want.add((g, k, run))
+    df = spark.createDataFrame(rows, "g string, k long, ok boolean")
+    got = [(r.g, r.k, r.failures) for r in state.failure_cut(df, "g", "k", "ok", 25).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and any(s for _, s in state_.values())
+    assert state.failure_cut(df.limit(0), "g", "k", "ok").count() == 0
