@@ -65,9 +65,10 @@ _LINKS = "(SELECT row_id, CAST(i AS INTEGER) - 1 AS pos, disc[i] AS link FROM to
 
 #: Words of links that lead to advertisements or listings, and static files.
 BAD_WORDS = ("banner", "adserver", "doubleclick", "facebook", "twitter")
-STATIC = ("js", "css", "png", "gif", "jpg", "ico")
+# Extensions of files that no link is followed to.
+STATIC = ("jpg", "jpeg", "gif", "png", "js", "css")
 _BAD = "|".join(BAD_WORDS)
-_STATIC = r"\.(?:" + "|".join(STATIC) + r")$"
+_STATIC = r"(?i)\.(?:" + "|".join(STATIC) + r")$"
 LISTING = "(?:/search|/find|/browse)"
 
 
@@ -135,6 +136,15 @@ def detail_by_learned_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(learned, "site", "left").select("doc_id", F.coalesce(fits, F.lit(True)).alias("is_detail"))
 
 
+@query(f"SELECT row_id, pos, link, lag(link) OVER (PARTITION BY row_id ORDER BY pos) AS found_on, CASE WHEN ends_with(link, '.torrent') OR contains(link, '.torrent?') THEN 10 WHEN pos = 0 THEN 9 ELSE 5 END AS priority FROM {_LINKS}")
+def link_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each discovery page with the one before it and its priority."""
+    link = F.col("link")
+    l = table(spark, sf_dir, "torrent", "row_id", "disc").select("row_id", F.posexplode("disc").alias("pos", "link"), "disc")
+    before = F.when(F.col("pos") > 0, F.get("disc", F.col("pos") - 1))
+    return l.select("row_id", "pos", "link", before.alias("found_on"), F.when(link.endswith(".torrent") | link.contains(".torrent?"), 10).when(F.col("pos") == 0, 9).otherwise(5).alias("priority"))
+
+
 @query("SELECT meta_id, nullif(upper(regexp_extract(infohash, '([0-9a-fA-F]{40})', 1)), '') AS digest, len(list_distinct(regexp_extract_all(infohash, '([0-9a-fA-F]{40})', 1))) AS n_digests FROM meta WHERE infohash IS NOT NULL")
 def digest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.regexp_extract_all("infohash", F.lit("([0-9a-fA-F]{40})"), F.lit(1))
@@ -244,6 +254,19 @@ def keyword_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "torrents_item", "item_id", "filename").where("filename IS NOT NULL").select("item_id", F.array_join(tx.keywords(F.col("filename")), ",").alias("keywords"))
 
 
+@query(f"""
+WITH w AS (SELECT item_id, i, string_split_regex(lower(filename), '[^a-z0-9]+')[i] AS word FROM torrents_item, unnest(range(1, len(string_split_regex(lower(filename), '[^a-z0-9]+')) + 1)) t(i)),
+     c AS (SELECT item_id, word, min(i) AS i, {_class_sql('word')} AS word_class FROM w WHERE {_class_sql('word')} IS NOT NULL GROUP BY 1, 2)
+SELECT item_id, word_class, string_agg(word, ',' ORDER BY i) AS words FROM c GROUP BY 1, 2
+""")
+def words_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each name the distinct words of each class, in their order."""
+    words = F.array_distinct(F.split(F.lower("filename"), "[^a-z0-9]+"))
+    w = table(spark, sf_dir, "torrents_item", "item_id", "filename").select("item_id", F.posexplode(words).alias("pos", "word")).withColumn("word_class", tx.word_class(F.col("word"))).where("word_class IS NOT NULL")
+    # As few as the words of one name.
+    return w.groupBy("item_id", "word_class").agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("ws")).select("item_id", "word_class", F.array_join("ws.word", ",").alias("words"))
+
+
 def _has_class_sql(col: str, prefix: str) -> str:
     held = [(n, ws) for n, ws in lx.CLASSES.items() if n.startswith(prefix)]
     return "CASE " + " ".join(f"WHEN len(list_filter({_list(ws)}, lambda w: contains(lower({col}), w))) > 0 THEN '{n}'" for n, ws in reversed(held)) + " END"
@@ -329,8 +352,9 @@ def template_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return votes.template_positions(checkpoint(_tokens(spark, sf_dir)), "site", "meta_id", "tokens")
 
 
-# Metadata of items as positioned tokens: key and value of each part in turn. A page is an item, its site the source.
-_PAIRS = r"""(SELECT item_id AS meta_id, source_id AS site, list_filter(string_split_regex(regexp_replace(meta, '(^|\t)[^:\t]*:', '\1', 'g'), '[\t=]'), lambda x: x <> '') AS tokens FROM torrents_item WHERE meta IS NOT NULL)"""
+# Metadata of items as positioned tokens: key and value of each part in turn. A page is an item, its site the source with
+# the keys that it states, as other items of the source have other templates.
+_PAIRS = r"""(SELECT item_id AS meta_id, source_id || regexp_replace(meta, '=[^\t]*', '', 'g') AS site, list_filter(string_split_regex(regexp_replace(meta, '(^|\t)[^:\t]*:', '\1', 'g'), '[\t=]'), lambda x: x <> '') AS tokens FROM torrents_item WHERE meta IS NOT NULL AND source_id IS NOT NULL)"""
 
 
 @query(f"""
@@ -341,7 +365,7 @@ WHERE is_variable AND NOT before AND len(label) > 2 AND len(label) < 20 AND NOT
 """)
 def label_value_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A variable token right after a constant one is a value, and the constant one its label."""
-    t = table(spark, sf_dir, "torrents_item", "item_id", F.col("source_id").alias("site"), "meta").where("meta IS NOT NULL")
+    t = table(spark, sf_dir, "torrents_item", "item_id", F.concat(F.col("source_id").cast("string"), F.regexp_replace("meta", r"=[^\t]*", "")).alias("site"), "meta").where("site IS NOT NULL")
     tokens = F.filter(F.split(F.regexp_replace("meta", r"(^|\t)[^:\t]*:", "$1"), r"[\t=]"), lambda x: x != "")
     # Read twice below, so the tokens are made once.
     pages = checkpoint(t.select("item_id", "site", tokens.alias("tokens")))
@@ -840,14 +864,6 @@ def crawl_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "torrents_item", "item_id", "source_id", "error_type").agg(F.count("*").alias("n_rows"), F.countDistinct("source_id").alias("n_sources"), F.count_if(e.isNull()).alias("n_items"), F.count_if(e.isNotNull()).alias("n_errors"), (F.max("item_id") + 1).alias("next_id"))
 
 
-@query("SELECT info_id, list_sum(list_transform(regexp_extract_all(filesizes, '([0-9]+)', 1), lambda x: CAST(x AS BIGINT)))::BIGINT AS total, len(list_distinct(regexp_extract_all(trackers, '([a-z]+://[^ |;,\"\\]]+)', 1))) AS n_trackers FROM torrent_info WHERE NOT regexp_matches(filesizes, '[0-9],[0-9]')")
-def file_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sum of the sizes and number of distinct trackers of each file without a comma between two digits of its sizes, as its SQL has it; packed_file_totals has all."""
-    i = table(spark, sf_dir, "torrent_info", "info_id", "filesizes", "trackers").where(~F.col("filesizes").rlike("[0-9],[0-9]"))
-    total = F.aggregate(F.regexp_extract_all("filesizes", F.lit("([0-9]+)"), F.lit(1)), F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
-    return i.select("info_id", total.alias("total"), F.size(F.array_distinct(F.regexp_extract_all("trackers", F.lit(r'([a-z]+://[^ |;,"\]]+)'), F.lit(1)))).alias("n_trackers"))
-
-
 def totals(info: DataFrame) -> DataFrame:
     """info_id, total and n_trackers of every row of ``info``; null where filesizes or trackers is null.
 
@@ -861,8 +877,15 @@ def totals(info: DataFrame) -> DataFrame:
     return info.select("info_id", "filesizes", "trackers").join(sums, "info_id", "left").select("info_id", stated("filesizes", "total"), stated("trackers", "n_trackers"))
 
 
-@query()
-def packed_file_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(r"""
+SELECT info_id, CASE WHEN filesizes IS NOT NULL THEN coalesce(list_sum(list_transform(
+         CASE WHEN regexp_matches(filesizes, '[0-9][,.''][0-9]') AND NOT regexp_matches(filesizes, '[0-9]{4}') THEN regexp_extract_all(filesizes, '[0-9][0-9,.'']*') ELSE regexp_extract_all(filesizes, '[0-9]+') END,
+         lambda v: CAST(regexp_replace(v, '[^0-9]', '', 'g') AS BIGINT)))::BIGINT, 0) END AS total,
+       CASE WHEN trackers IS NOT NULL THEN len(list_distinct(list_filter(list_transform(string_split(regexp_replace(trackers, '[\s|;,"''\[\]]+([A-Za-z][A-Za-z0-9+.\-]*://)', chr(1) || '\1', 'g'), chr(1)),
+         lambda v: regexp_replace(v, '^[\s|;,"''\[\]]+|[\s|;,"''\[\]]+$', '', 'g')), lambda v: v <> ''))) END AS n_trackers
+FROM torrent_info
+""")
+def file_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sum of the sizes and number of distinct trackers of every file, whatever its lists are packed with."""
     return totals(table(spark, sf_dir, "torrent_info", "info_id", "filesizes", "trackers"))
 
@@ -974,8 +997,8 @@ ELSE 'd5:filesl' || array_to_string(list_transform({_FILES}, lambda p: 'd6:lengt
 
 
 @query(f"""
-SELECT info_id, upper(sha1({_INFO})) AS infohash, coalesce(filedir, filepaths) AS name, strlen(filepaths) - CASE WHEN filedir IS NULL THEN 0 ELSE 3 * (len({_FILES}) - 1) END AS size, CASE WHEN filedir IS NULL THEN 1 ELSE len({_FILES}) END AS n_files,
-       len(list_distinct(list_filter(string_split_regex(coalesce(trackers, ''), '[ \\r\\n]+'), lambda t: t <> ''))) AS n_trackers, regexp_replace(regexp_replace(comment, '\\r?\\n', '<br />', 'g'), '\\t', ' ', 'g') AS comment, ['h:' || info_id] AS nodes, NULL::VARCHAR AS error
+SELECT info_id, upper(sha1({_INFO})) AS infohash, replace(coalesce(filedir, filepaths), chr(8203), '') AS name, strlen(filepaths) - CASE WHEN filedir IS NULL THEN 0 ELSE 3 * (len({_FILES}) - 1) END AS size, CASE WHEN filedir IS NULL THEN 1 ELSE len({_FILES}) END AS n_files,
+       len(list_distinct(list_filter(string_split_regex(replace(coalesce(trackers, ''), chr(8203), ''), '[ \\r\\n]+'), lambda t: t <> ''))) AS n_trackers, regexp_replace(regexp_replace(replace(comment, chr(8203), ''), '\\r?\\n', '<br />', 'g'), '\\t', ' ', 'g') AS comment, ['h:' || info_id] AS nodes, NULL::VARCHAR AS error
 FROM torrent_info WHERE filepaths IS NOT NULL
 """)
 def metainfo_decode(spark: SparkSession, sf_dir: str) -> DataFrame:

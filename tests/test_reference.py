@@ -275,7 +275,7 @@ def test_unescaped_equals_the_standard_library(spark):
 def test_packed_totals_equal_a_plain_sum(spark):
     import re
 
-    got = {r.info_id: r.total for r in reference.packed_file_totals(spark, DATA).collect()}
+    got = {r.info_id: r.total for r in reference.file_totals(spark, DATA).collect()}
     for r in rows_of("torrent_info", ["info_id", "filesizes"]).dropna().itertuples():
         if not re.search("[0-9][,.'][0-9]", r.filesizes):
             assert got[r.info_id] == sum(map(int, re.findall("[0-9]+", r.filesizes)))
