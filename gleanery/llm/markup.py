@@ -58,7 +58,7 @@ _MARKS = [
     ("verbatim", r"\\begin\{(?P<ve>verbatim|lstlisting|minted)\}.*?(?:\\end\{(?P=ve)\}|\Z)|\\verb(?P<vd>[|!+]).*?(?P=vd)"),
     ("env", r"\\(?:begin|end)\{[A-Za-z]+\*?\}(?:\[[^\]\n]*\])?"),
     ("command", rf"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?(?=\{{)|\{{\\(?:{_names(BARE_COMMANDS)})\b|\\(?:{_names(BARE_COMMANDS)})(?![A-Za-z\\])|\\[%&_$\#{{}}](?=\s|\w)|\\\\(?=\s*\n)"),
-    ("board", rf"\[/?(?P<bb>{_names(BOARD)})(?:=[^\[\]\n]*)?\]|\[/?(?P<bb>[A-Za-z][A-Za-z0-9]*)(?:=[^\[\]\n]*)?\](?![(\[])"),
+    ("board", rf"\[/?(?P<bb>{_names(BOARD)})(?:=[^\[\]\n]*)?\](?!\((?:[a-z]+:|www\.|[/\#.]))|\[/?(?P<bb>[A-Za-z][A-Za-z0-9]*)(?:=[^\[\]\n]*)?\](?![(\[])"),
     ("template", r"\{\{[^{}\n]*\}\}|^\{\|.*?^\|\}"),
     ("wikilink", r"\[\[[^\[\]\n]+\]\]|\[(?:https?|ftp)://[^\s\]]+(?:\s[^\]\n]*)?\]"),
     ("quotes", r"'''''(?=\S).+?'''''|'''(?=\S).+?'''|''(?=\S).+?(?<=\S)''(?!')"),

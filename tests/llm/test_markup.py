@@ -79,6 +79,11 @@ def test_the_wrapper_decides_what_only_looks_like_a_mark(spark):
     assert texts["helped", 4] == "Use [A] or" and texts["helped", 13] == "[A] once" and texts["helped", 14] == "a\nb" and texts["alone", 5] == "x y"
 
 
+def test_a_link_may_be_called_like_a_tag():
+    assert [k for k, _ in markup.marks("against the [list](http://a.test/1) that")] == ["link"]
+    assert markup.to_blocks("the [list](/1) and [b](c)[/b]") == [("paragraph", "the list and (c)")]
+
+
 def test_bounds_are_gone():
     assert markup.marks("{{" + "x" * 2000 + "}}") and markup.marks("[[" + "y" * 2000 + "]]")
     deep = "<p>"
