@@ -9,6 +9,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,17 @@ def ship(spark: SparkSession) -> None:
     context._has_gleanery = True
 
 
+def give_file(spark: SparkSession, parts: Iterable[bytes]) -> str:
+    """Write a file part by part and give it to all machines, each once; ``SparkFiles.get`` of its name finds it there."""
+    folder = tempfile.mkdtemp(prefix="gleanery-")  # as in ``ship``
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = uuid.uuid4().hex
+    with open(os.path.join(folder, name), "wb") as f:
+        f.writelines(parts)
+    spark.sparkContext.addFile(f.name)
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Scan one table; naming the columns keeps the read schema narrow."""
     ship(spark)

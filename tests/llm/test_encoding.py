@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -62,6 +63,17 @@ def test_bytes_that_an_encoding_cannot_show():
     assert encoding.gapped_utf8("caf�", "cp1252")[-1] == ("�", []) and encoding.gapped_utf8("señor�", "cp1252") is None
 
 
+def test_every_pair_teaches_the_model_however_many_there_are(spark):
+    rnd = random.Random(3)
+    letters = [chr(c) for c in range(0x20000, 0x2A000)]
+    many = [("".join(rnd.choices(letters, k=2000)), 2) for _ in range(550)]
+    assert len({pair for t, _ in many for pair in zip(t, t[1:])}) > 1_000_000
+    model = encoding.Model(encoding.learn(spark.createDataFrame([*many, ("café", 1)], "piece string, n long")))
+    total = 1 + 5 + 2 * 550 * 2001
+    assert math.isclose(model.score("f", "é"), math.log((1 + encoding._SMOOTH) / total))  # the rarest of all count too
+    assert math.isclose(model.score("é", "f"), math.log(encoding._SMOOTH / total))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "id long, text string")
     assert encoding.garbled(df, ["id"], "text").count() == 0
