@@ -23,6 +23,19 @@ from gleanery.session import checkpoint, small_side
 BUCKET_ROWS = 200_000
 #: Labels of the parts of a labelled value.
 LABELS = ("xt", "dn", "xl", "kt")
+# Letters and digits of Unicode 14.0 to 15.1 that the patterns of Java 17 do not take for such.
+_NEWER = (
+    r"\x{870}-\x{887}\x{889}-\x{88e}\x{8b5}\x{8c8}-\x{8c9}\x{c5d}\x{cdd}\x{170d}\x{171f}\x{1b4c}\x{2c2f}\x{2c5f}\x{9ffd}-\x{9fff}\x{a7c0}-\x{a7c1}"
+    r"\x{a7d0}-\x{a7d1}\x{a7d3}\x{a7d5}-\x{a7d9}\x{a7f2}-\x{a7f4}\x{10570}-\x{1057a}\x{1057c}-\x{1058a}\x{1058c}-\x{10592}\x{10594}-\x{10595}"
+    r"\x{10597}-\x{105a1}\x{105a3}-\x{105b1}\x{105b3}-\x{105b9}\x{105bb}-\x{105bc}\x{10780}-\x{10785}\x{10787}-\x{107b0}\x{107b2}-\x{107ba}"
+    r"\x{10f70}-\x{10f81}\x{11071}-\x{11072}\x{11075}\x{1123f}-\x{11240}\x{11740}-\x{11746}\x{11ab0}-\x{11abf}\x{11f02}\x{11f04}-\x{11f10}"
+    r"\x{11f12}-\x{11f33}\x{11f50}-\x{11f59}\x{12f90}-\x{12ff0}\x{1342f}\x{13441}-\x{13446}\x{16a70}-\x{16abe}\x{16ac0}-\x{16ac9}\x{1aff0}-\x{1aff3}"
+    r"\x{1aff5}-\x{1affb}\x{1affd}-\x{1affe}\x{1b11f}-\x{1b122}\x{1b132}\x{1b155}\x{1d2c0}-\x{1d2d3}\x{1df00}-\x{1df1e}\x{1df25}-\x{1df2a}"
+    r"\x{1e030}-\x{1e06d}\x{1e290}-\x{1e2ad}\x{1e4d0}-\x{1e4eb}\x{1e4f0}-\x{1e4f9}\x{1e7e0}-\x{1e7e6}\x{1e7e8}-\x{1e7eb}\x{1e7ed}-\x{1e7ee}"
+    r"\x{1e7f0}-\x{1e7fe}\x{2a6de}-\x{2a6df}\x{2b735}-\x{2b739}\x{2ebf0}-\x{2ee5d}\x{31350}-\x{323af}"
+)
+#: A character that is no letter and no digit.
+SIGN = rf"[^\p{{L}}\p{{N}}[\p{{Cn}}&&[{_NEWER}]]]"
 _CHUNK = 8
 
 
@@ -34,14 +47,15 @@ def canonical_bytes(value: Column, labels: Sequence[str] = LABELS) -> Column:
     punctuation and other signs are dropped. The first byte keeps both kinds apart.
     """
     names = "|".join(labels)
-    low = F.lower(value)
-    part = rf"(?s)(?:^|[^\p{{L}}\p{{N}}])({names})\s*[=:](.*?)(?=[^\p{{L}}\p{{N}}](?:{names})\s*[=:]|$)"
+    # Lower-casing alone would write a capital sigma in two ways, by the signs around it.
+    low = F.lower(F.replace(value, F.lit("\u03a3"), F.lit("\u03c3")))
+    part = rf"(?s)(?:^|{SIGN})({names})\s*[=:](.*?)(?={SIGN}(?:{names})\s*[=:]|$)"
     found = F.regexp_extract_all(low, F.lit(part), F.lit(1)), F.regexp_extract_all(low, F.lit(part), F.lit(2))
     # Labels downwards: the digest, which tells most records apart, comes first.
-    parts = F.sort_array(F.zip_with(*found, lambda k, v: F.concat(k, F.lit("="), F.regexp_replace(v, r"[^\p{L}\p{N}]", ""))), asc=False)
-    bare = F.regexp_replace(low, r"[^\p{L}\p{N}]", "")
+    parts = F.sort_array(F.zip_with(*found, lambda k, v: F.concat(k, F.lit("="), F.regexp_replace(v, SIGN, ""))), asc=False)
+    bare = F.regexp_replace(low, SIGN, "")
     return (
-        F.when(low.rlike(rf"(?:^|[^\p{{L}}\p{{N}}])(?:{names})\s*[=:]"), F.concat(F.unhex(F.lit("01")), F.encode(F.array_join(parts, "\x1f"), "UTF-8")))
+        F.when(low.rlike(rf"(?:^|{SIGN})(?:{names})\s*[=:]"), F.concat(F.unhex(F.lit("01")), F.encode(F.array_join(parts, "\x1f"), "UTF-8")))
         .when(bare.rlike("^[0-9a-f]{40}$"), F.concat(F.unhex(F.lit("00")), F.unhex(bare)))
     )
 

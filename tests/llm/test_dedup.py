@@ -60,3 +60,12 @@ def test_many_oversized_buckets_are_joined_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(dedup, "small_side", dedup.checkpoint)
     many = [(k, f"{k % 40:02x}" + "0" * 30 + f"{k % 160:08x}") for k in range(900)] + [(2000 + k, H) for k in range(60)]
     assert found(spark, many, 7) == brute(many)
+
+
+def test_no_letter_is_left_out(spark):
+    newer = "\u0870\u08c9\u2c5f\ua7d1\U00016ac0\U0001d2c0\U0001df00\U0002ebf0\U00031350\U00031351"  # Unicode 14 to 15.1
+    rows = [(k, f"dn=a{c}&xl=5") for k, c in enumerate(["", *newer])]
+    copies = [(100 + k, f"XL: 5; DN: A {c}") for k, c in enumerate(["", *newer])]
+    greek = [(200, "dn=ΟΔΟΣ ΝΕΑ"), (201, "DN=ΟΔΟΣ.ΝΕΑ"), (202, "dn: ΟΔΟΣΝΕΑ"), (203, "dn=οδοσ-νεα")]
+    want = {(k, k % 100, 2) for k, _ in rows + copies} | {(k, 200, 4) for k, _ in greek}
+    assert found(spark, rows + copies + greek) == want
